@@ -12,9 +12,10 @@ MISSING_TOKENS = ("[ND]", "NN")
 UNNAMED = "[ND]"
 
 
-def without_tokens(column: Column, tokens: Sequence[str] = MISSING_TOKENS) -> Column:
-    """Null in place of a missing-value token."""
-    return F.when(~column.isin(*tokens), column)
+def without_tokens(name: str, tokens: Sequence[str] = MISSING_TOKENS) -> str:
+    """Select expression of a column with null in place of a missing-value token."""
+    listed = ", ".join(f"'{token}'" for token in tokens)
+    return f"case when {name} not in ({listed}) then {name} end as {name}"
 
 
 def present(column: Column) -> Column:

@@ -5,21 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regloom.functions.missing import MISSING_TOKENS, without_tokens
-from regloom.sources.layouts import Layout
+from regloom.sources.layouts import Field, Layout
 
 
-def _columns_of(df: DataFrame, kind: type[T.DataType]) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, kind)]
+def _columns_of(df: DataFrame, kind) -> set[str]:
+    return {f.name for f in df.schema.fields if isinstance(f.dataType, kind)}
 
 
 def drop_tokens(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
     """Null in place of the tokens, in every string column."""
-    names = _columns_of(df, T.StringType)
-    return df.withColumns({n: without_tokens(F.col(n), tokens) for n in names})
+    strings = _columns_of(df, T.StringType)
+    return df.selectExpr(*[without_tokens(n, tokens) if n in strings else n for n in df.columns])
 
 
 def rename_headers(df: DataFrame, layout: Layout) -> DataFrame:
@@ -35,21 +34,26 @@ def conform(
     Columns absent from the vintage become null. A cell that does not parse is
     null, or an error under ``strict``. ``keep`` names further columns to carry.
     """
-    renamed = rename_headers(df, layout)
-    have = set(renamed.columns)
+    headers = set(df.columns)
+    cast = "cast" if strict else "try_cast"
 
-    def typed(field):
-        if field.name not in have:
-            return F.lit(None).cast(field.type).alias(field.name)
-        column = F.col(field.name)
-        if field.type != "string":
-            column = column.cast(field.type) if strict else column.try_cast(field.type)
-        return column.alias(field.name)
+    def typed(field: Field) -> str:
+        source = field.header if field.header in headers else "null"
+        if source == "null" or field.type != "string":
+            source = f"{cast}({source} as {field.type})"
+        return f"{source} as {field.name}"
 
-    return renamed.select(*keep, *[typed(field) for field in layout.fields])
+    return df.selectExpr(*keep, *[typed(field) for field in layout.fields])
 
 
 def fill_missing(df: DataFrame) -> DataFrame:
     """Empty text in place of null, and null in place of NaN."""
-    numbers = _columns_of(df, (T.DoubleType, T.FloatType))
-    return df.na.fill("").withColumns({n: F.nanvl(F.col(n), F.lit(None)) for n in numbers})
+    strings = _columns_of(df, T.StringType)
+    floats = _columns_of(df, (T.DoubleType, T.FloatType))
+
+    def filled(name: str) -> str:
+        if name in strings:
+            return f"coalesce({name}, '') as {name}"
+        return f"nanvl({name}, null) as {name}" if name in floats else name
+
+    return df.selectExpr(*[filled(name) for name in df.columns])

@@ -15,9 +15,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
-from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COUNT, FIRST, LAST = "_rows", "_first_seq", "_last_seq"
@@ -25,13 +24,13 @@ COUNT, FIRST, LAST = "_rows", "_first_seq", "_last_seq"
 
 @dataclass(frozen=True)
 class Constant:
-    """A value written as it is, rather than read from a source column."""
+    """A literal in SQL, written as it is rather than read from a source column."""
 
-    value: Any
-    type: str = "string"
+    sql: str
 
-    def column(self) -> Column:
-        return F.lit(self.value).cast(self.type)
+    @staticmethod
+    def text(value: str) -> Constant:
+        return Constant("'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'")
 
 
 @dataclass(frozen=True)
@@ -79,12 +78,8 @@ def _read(sources: Mapping[str, str | Constant]) -> dict[str, str]:
     return {c: s for c, s in sources.items() if isinstance(s, str)}
 
 
-def _value(source: str | Constant) -> Column:
-    return source.column() if isinstance(source, Constant) else F.col(source)
-
-
-def _missing(names: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
+def _sql(source: str | Constant) -> str:
+    return source.sql if isinstance(source, Constant) else source
 
 
 def split_by_key(df: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame | None]:
@@ -95,7 +90,24 @@ def split_by_key(df: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame
     """
     if not any(df.schema[name].nullable for name in names):
         return df, None
-    return df.dropna(subset=names), df.filter(_missing(names))
+    return df.dropna(subset=names), df.filter(" or ".join(f"{n} is null" for n in names))
+
+
+def _grouped(
+    df: DataFrame,
+    keys: Mapping[str, str],
+    count: str,
+    order: tuple[str, str],
+    sources: tuple[Mapping[str, str], Mapping[str, str]],
+) -> DataFrame:
+    """Per key: rows, first and last position, and a struct from each of the two."""
+    aggregates = [f"{count} as {COUNT}", f"min({order[0]}) as {FIRST}", f"max({order[1]}) as {LAST}"]
+    for pick, by, name, columns in zip(("min_by", "max_by"), order, ("_first", "_last"), sources):
+        if columns:
+            row = ", ".join(f"{s} as {c}" for c, s in columns.items())
+            aggregates.append(f"{pick}(struct({row}), {by}) as {name}")
+    by_key = df.groupBy(*[F.col(source).alias(key) for key, source in keys.items()])
+    return by_key.agg(*[F.expr(a) for a in aggregates])
 
 
 def collapse(source: DataFrame, spec: Upsert, sequence: str) -> DataFrame:
@@ -103,27 +115,17 @@ def collapse(source: DataFrame, spec: Upsert, sequence: str) -> DataFrame:
 
     Constants join the change after the aggregate, so they are never shuffled.
     """
-    order = F.col(sequence)
-    first_row = [F.col(s).alias(c) for c, s in _read(spec.written_first).items()]
-    last_row = [F.col(s).alias(c) for c, s in _read(spec.written_last).items()]
-    aggregates = [
-        F.count(F.lit(1)).alias(COUNT),
-        F.min(order).alias(FIRST),
-        F.max(order).alias(LAST),
-    ]
-    if first_row:
-        aggregates.append(F.min_by(F.struct(*first_row), order).alias("_first"))
-    if last_row:
-        aggregates.append(F.max_by(F.struct(*last_row), order).alias("_last"))
-    grouped = source.groupBy(*[F.col(spec.insert[k]).alias(k) for k in spec.keys]).agg(*aggregates)
-
-    def part(sources, row):
+    read = _read(spec.written_first), _read(spec.written_last)
+    keys = {k: spec.insert[k] for k in spec.keys}
+    grouped = _grouped(source, keys, "count(1)", (sequence, sequence), read)
+
+    def part(sources: Mapping[str, str | Constant], row: str) -> list[str]:
         return [
-            (s.column() if isinstance(s, Constant) else F.col(f"{row}.{c}")).alias(f"{row}_{c}")
+            f"{s.sql if isinstance(s, Constant) else f'{row}.{c}'} as {row}_{c}"
             for c, s in sources.items()
         ]
 
-    return grouped.select(
+    return grouped.selectExpr(
         *spec.keys,
         COUNT,
         FIRST,
@@ -135,13 +137,13 @@ def collapse(source: DataFrame, spec: Upsert, sequence: str) -> DataFrame:
 
 def single_changes(source: DataFrame, spec: Upsert, sequence: str) -> DataFrame:
     """Every source row as a change of its own, for rows without a complete key."""
-    return source.select(
-        *[F.col(spec.insert[k]).alias(k) for k in spec.keys],
-        F.lit(1).cast("bigint").alias(COUNT),
-        F.col(sequence).alias(FIRST),
-        F.col(sequence).alias(LAST),
-        *[_value(s).alias(f"_first_{c}") for c, s in spec.written_first.items()],
-        *[_value(s).alias(f"_last_{c}") for c, s in spec.written_last.items()],
+    return source.selectExpr(
+        *[f"{spec.insert[k]} as {k}" for k in spec.keys],
+        f"1L as {COUNT}",
+        f"{sequence} as {FIRST}",
+        f"{sequence} as {LAST}",
+        *[f"{_sql(s)} as _first_{c}" for c, s in spec.written_first.items()],
+        *[f"{_sql(s)} as _last_{c}" for c, s in spec.written_last.items()],
     )
 
 
@@ -149,29 +151,22 @@ def combine(changes: DataFrame, spec: Upsert) -> DataFrame:
     """One change per key from the changes of several batches."""
     firsts = [f"_first_{c}" for c in spec.written_first]
     lasts = [f"_last_{c}" for c in spec.written_last]
-    aggregates = [
-        F.sum(COUNT).alias(COUNT),
-        F.min(FIRST).alias(FIRST),
-        F.max(LAST).alias(LAST),
-    ]
-    if firsts:
-        aggregates.append(F.min_by(F.struct(*firsts), FIRST).alias("_first"))
-    if lasts:
-        aggregates.append(F.max_by(F.struct(*lasts), LAST).alias("_last"))
-    grouped = changes.groupBy(*spec.keys).agg(*aggregates)
-    return grouped.select(
+    keys = {k: k for k in spec.keys}
+    stored = {c: c for c in firsts}, {c: c for c in lasts}
+    grouped = _grouped(changes, keys, f"sum({COUNT})", (FIRST, LAST), stored)
+    return grouped.selectExpr(
         *spec.keys,
         COUNT,
         FIRST,
         LAST,
-        *[F.col(f"_first.{name}").alias(name) for name in firsts],
-        *[F.col(f"_last.{name}").alias(name) for name in lasts],
+        *[f"_first.{name} as {name}" for name in firsts],
+        *[f"_last.{name} as {name}" for name in lasts],
     )
 
 
 def inserts(source: DataFrame, spec: Upsert) -> DataFrame:
     """Every source row as a target row of its own."""
-    return source.select(*[_value(s).alias(c) for c, s in spec.insert.items()])
+    return source.selectExpr(*[f"{_sql(s)} as {c}" for c, s in spec.insert.items()])
 
 
 def apply_changes(target: DataFrame | None, changes: DataFrame, spec: Upsert) -> DataFrame:
@@ -181,42 +176,35 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, spec: Upsert) ->
     so the full outer join adds at most a shuffle of the target, and none if the
     target is bucketed by the key.
     """
-    repeated = F.col(COUNT) > 1
+    first, last = spec.written_first, spec.written_last
+
+    def fresh(c: str) -> str:
+        """Value of a key that the target lacks."""
+        if c in first and c in last:
+            return f"case when {COUNT} > 1 then _last_{c} else _first_{c} end"
+        return f"_first_{c}" if c in first else f"_last_{c}"
+
     if target is None:
+        return changes.selectExpr(
+            *[c if c in spec.keys else f"{fresh(c)} as {c}" for c in spec.columns]
+        )
 
-        def new(c: str) -> Column:
-            if c in spec.keys:
-                return F.col(c)
-            if c not in spec.written_last:
-                return F.col(f"_first_{c}")
-            if c not in spec.written_first:
-                return F.col(f"_last_{c}")
-            return F.when(repeated, F.col(f"_last_{c}")).otherwise(F.col(f"_first_{c}"))
-
-        return changes.select(*[new(c).alias(c) for c in spec.columns])
-
-    old = target.select(*spec.columns, F.lit(True).alias("_known")).alias("old")
-    new = changes.alias("new")
-    same = [F.col(f"old.{k}") == F.col(f"new.{k}") for k in spec.keys]
-    joined = old.join(new, reduce(lambda a, b: a & b, same), "full_outer")
-    known = F.col("_known").isNotNull()
-    touched = F.col(COUNT).isNotNull()
-
-    def merged(c: str) -> Column:
-        before = F.col(f"old.{c}")
+    def merged(c: str) -> str:
         if c in spec.keys:
-            return F.coalesce(before, F.col(f"new.{c}"))
-        if c not in spec.written_last:
-            return F.when(known, before).otherwise(F.col(f"_first_{c}"))
-        if c not in spec.written_first:
-            return F.when(touched, F.col(f"_last_{c}")).otherwise(before)
+            return f"coalesce(old.{c}, new.{c})"
+        if c not in last:
+            return f"case when _known then old.{c} else _first_{c} end"
+        if c not in first:
+            return f"case when {COUNT} is null then old.{c} else _last_{c} end"
         return (
-            F.when(~touched, before)
-            .when(known | repeated, F.col(f"_last_{c}"))
-            .otherwise(F.col(f"_first_{c}"))
+            f"case when {COUNT} is null then old.{c} when _known then _last_{c}"
+            f" else {fresh(c)} end"
         )
 
-    return joined.select(*[merged(c).alias(c) for c in spec.columns])
+    old = target.selectExpr(*spec.columns, "true as _known").alias("old")
+    same = F.expr(" and ".join(f"old.{k} = new.{k}" for k in spec.keys))
+    joined = old.join(changes.alias("new"), same, "full_outer")
+    return joined.selectExpr(*[f"{merged(c)} as {c}" for c in spec.columns])
 
 
 def merge(

@@ -25,148 +25,114 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _padded(column: Column, width: int) -> Column:
-    return F.lpad(column.cast("string"), width, "0")
-
-
 def etab_raw(spark: SparkSession, folder: str) -> DataFrame:
-    order = F.col("o_orderkey")
-
-    def by(divisor: int, cases: dict[int, Column], otherwise: Column) -> Column:
-        chosen = None
-        for rest, value in cases.items():
-            hit = order % divisor == rest
-            chosen = F.when(hit, value) if chosen is None else chosen.when(hit, value)
-        return chosen.otherwise(otherwise)
-
-    null, lit = F.lit(None).cast("string"), F.lit
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    return (
-        table(spark, folder, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            order.alias("seq"),
-            _padded(F.col("o_custkey"), 9).alias("siren"),
-            _padded(order % 100000, 5).alias("nic"),
-            _padded(order, 14).alias("siret"),
-            F.when(F.col("o_orderstatus") == "F", "F")
-            .when(F.col("o_orderstatus") == "O", "A")
-            .alias("etatAdministratifEtablissement"),
-            F.when(F.col("o_orderpriority") == "1-URGENT", "true")
-            .when(F.col("o_orderpriority") == "5-LOW", null)
-            .otherwise("false")
-            .alias("etablissementSiege"),
-            by(9, {0: lit("NN"), 1: lit("x")}, (1 + order % 4).cast("string")).alias(
-                "nombrePeriodesEtablissement"
-            ),
-            by(5, {0: lit("[ND]"), 1: lit(""), 2: null}, F.col("c_mktsegment")).alias(
-                "complementAdresseEtablissement"
-            ),
-            by(3, {0: null}, (order % 200).cast("string")).alias("numeroVoieEtablissement"),
-            by(7, {0: lit("B"), 1: lit("NN")}, null).alias("indiceRepetitionEtablissement"),
-            by(4, {0: null}, lit("RUE")).alias("typeVoieEtablissement"),
-            F.col("n_name").alias("libelleVoieEtablissement"),
-            F.col("n_name").alias("libelleCommuneEtablissement"),
-            by(11, {0: null}, _padded(order % 4, 5)).alias("codePostalEtablissement"),
-        )
+    orders = table(spark, folder, "orders")
+    sites = orders.join(customers, orders.o_custkey == customers.c_custkey)
+    sites = sites.join(nations, sites.c_nationkey == nations.n_nationkey)
+    return sites.selectExpr(
+        "o_orderkey as seq",
+        "lpad(string(o_custkey), 9, '0') as siren",
+        "lpad(string(o_orderkey % 100000), 5, '0') as nic",
+        "lpad(string(o_orderkey), 14, '0') as siret",
+        "case o_orderstatus when 'F' then 'F' when 'O' then 'A' end"
+        " as etatAdministratifEtablissement",
+        "case o_orderpriority when '1-URGENT' then 'true' when '5-LOW' then null else 'false' end"
+        " as etablissementSiege",
+        "case o_orderkey % 9 when 0 then 'NN' when 1 then 'x' else string(1 + o_orderkey % 4) end"
+        " as nombrePeriodesEtablissement",
+        "case o_orderkey % 5 when 0 then '[ND]' when 1 then '' when 2 then null"
+        " else c_mktsegment end as complementAdresseEtablissement",
+        "case when o_orderkey % 3 != 0 then string(o_orderkey % 200) end as numeroVoieEtablissement",
+        "case o_orderkey % 7 when 0 then 'B' when 1 then 'NN' end as indiceRepetitionEtablissement",
+        "case when o_orderkey % 4 != 0 then 'RUE' end as typeVoieEtablissement",
+        "n_name as libelleVoieEtablissement",
+        "n_name as libelleCommuneEtablissement",
+        "case when o_orderkey % 11 != 0 then lpad(string(o_orderkey % 4), 5, '0') end"
+        " as codePostalEtablissement",
     )
 
 
 def etab_raw_late(spark: SparkSession, folder: str) -> DataFrame:
     """The establishments once more, with headers of the wider vintage."""
-    return etab_raw(spark, folder).select(
+    return etab_raw(spark, folder).selectExpr(
         "seq",
         "siren",
         "siret",
-        F.when(F.col("seq") % 10 == 0, "[ND]")
-        .otherwise((F.col("seq") * 1.5).cast("string"))
-        .alias("coordonneeLambertAbscisseEtablissement"),
+        "case when seq % 10 = 0 then '[ND]' else string(seq * 1.5D) end"
+        " as coordonneeLambertAbscisseEtablissement",
     )
 
 
-def etab_clean(
-    spark: SparkSession, folder: str, source: str = ETAB_FILE, as_of: datetime = AS_OF
-) -> DataFrame:
-    return clean_establishments(etab_raw(spark, folder), source, as_of, keep=["seq"])
+def etab_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return clean_establishments(etab_raw(spark, folder), ETAB_FILE, AS_OF, keep=["seq"])
 
 
 def legal_raw(spark: SparkSession, folder: str) -> DataFrame:
-    customer = F.col("c_custkey")
-
-    def by(divisor: int, values: list[str | None]) -> Column:
-        chosen = F.when(customer % divisor == 0, F.lit(values[0]))
-        for rest, value in enumerate(values[1:], start=1):
-            chosen = chosen.when(customer % divisor == rest, F.lit(value))
-        return chosen
-
-    return table(spark, folder, "customer").select(
-        customer.alias("seq"),
-        _padded(customer, 9).alias("siren"),
-        F.when(customer % 13 == 0, "[ND]")
-        .when(customer % 13 == 1, F.lit(None))
-        .otherwise(F.col("c_name"))
-        .alias("denominationUniteLegale"),
-        by(6, ["5499", "5710", "5505", "1000", "0000"]).alias("categorieJuridiqueUniteLegale"),
-        by(7, ["00", "01", "2", "53", "NN", "null"]).alias("trancheEffectifsUniteLegale"),
-        by(5, ["A", "C"]).alias("etatAdministratifUniteLegale"),
-        _padded(F.col("c_nationkey"), 2).alias("activitePrincipaleUniteLegale"),
-        F.concat((1990 + customer % 30).cast("string"), F.lit("-01-01")).alias(
-            "dateCreationUniteLegale"
-        ),
+    return table(spark, folder, "customer").selectExpr(
+        "c_custkey as seq",
+        "lpad(string(c_custkey), 9, '0') as siren",
+        "case c_custkey % 13 when 0 then '[ND]' when 1 then null else c_name end"
+        " as denominationUniteLegale",
+        "case c_custkey % 6 when 0 then '5499' when 1 then '5710' when 2 then '5505'"
+        " when 3 then '1000' when 4 then '0000' end as categorieJuridiqueUniteLegale",
+        "case c_custkey % 7 when 0 then '00' when 1 then '01' when 2 then '2' when 3 then '53'"
+        " when 4 then 'NN' when 5 then 'null' end as trancheEffectifsUniteLegale",
+        "case c_custkey % 5 when 0 then 'A' when 1 then 'C' end as etatAdministratifUniteLegale",
+        "lpad(string(c_nationkey), 2, '0') as activitePrincipaleUniteLegale",
+        "string(1990 + c_custkey % 30) || '-01-01' as dateCreationUniteLegale",
     )
 
 
-def legal_clean(
-    spark: SparkSession, folder: str, source: str = LEGAL_FILE, as_of: datetime = AS_OF
-) -> DataFrame:
-    return clean_legal_units(legal_raw(spark, folder), source, as_of, keep=["seq"])
+def legal_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return clean_legal_units(legal_raw(spark, folder), LEGAL_FILE, AS_OF, keep=["seq"])
 
 
 def naf_translations(spark: SparkSession, folder: str) -> DataFrame:
     """Activity names; one region is left out, so the inner join drops rows."""
-    return (
-        table(spark, folder, "nation")
-        .filter(F.col("n_regionkey") != 4)
-        .select(
-            _padded(F.col("n_nationkey"), 2).alias("code"),
-            F.col("n_name").alias("name_en"),
-            F.concat(F.lit("FR_"), F.col("n_name")).alias("name_fr"),
-        )
+    nations = table(spark, folder, "nation").filter("n_regionkey != 4")
+    return nations.selectExpr(
+        "lpad(string(n_nationkey), 2, '0') as code",
+        "n_name as name_en",
+        "'FR_' || n_name as name_fr",
     )
 
 
 def siren_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Company numbers, some too short and some missing."""
-    customer = F.col("c_custkey")
-    return table(spark, folder, "customer").select(
-        customer.alias("seq"),
-        F.when(customer % 17 == 0, _padded(customer, 8))
-        .when(customer % 19 == 0, F.lit(None))
-        .otherwise(_padded(customer, 9))
-        .alias("siren"),
+    return table(spark, folder, "customer").selectExpr(
+        "c_custkey as seq",
+        "case when c_custkey % 17 = 0 then lpad(string(c_custkey), 8, '0')"
+        " when c_custkey % 19 != 0 then lpad(string(c_custkey), 9, '0') end as siren",
     )
 
 
 def batch_durations(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select(
-        F.col("event_id").alias("fragment_id"),
-        F.col("event_type").alias("flow"),
-        F.col("value").alias("seconds"),
+    return table(spark, folder, "events").selectExpr(
+        "event_id as fragment_id", "event_type as flow", "value as seconds"
     )
 
 
-def before(df: DataFrame, spark: SparkSession, folder: str, name: str, key: str, share: float):
-    """Rows up to a share of the highest key, standing for an earlier snapshot."""
-    return df.filter(F.col("seq") <= _threshold(spark, folder, name, key, share))
+def snapshots(
+    raw: DataFrame, keys: DataFrame, key: str, loaded: float, new: float
+) -> tuple[DataFrame, DataFrame]:
+    """An earlier and a newer snapshot out of the same rows.
+
+    The earlier one has the rows up to ``loaded`` of the highest key, the newer one
+    those beyond ``new`` of it. Together they hold every row.
+    """
+    highest = keys.agg(F.max(key))
+    seq = F.col("seq")
+    return raw.filter(seq <= loaded * highest.scalar()), raw.filter(seq > new * highest.scalar())
 
 
-def after(df: DataFrame, spark: SparkSession, folder: str, name: str, key: str, share: float):
-    """Rows beyond a share of the highest key, standing for the newer snapshot."""
-    return df.filter(F.col("seq") > _threshold(spark, folder, name, key, share))
+def etab_snapshots(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    orders = table(spark, folder, "orders")
+    return snapshots(etab_raw(spark, folder), orders, "o_orderkey", 0.3, 0.3)
 
 
-def _threshold(spark: SparkSession, folder: str, name: str, key: str, share: float) -> Column:
-    return table(spark, folder, name).agg(F.max(key) * F.lit(share)).scalar()
+def legal_snapshots(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The two overlap by a tenth of the key range."""
+    customers = table(spark, folder, "customer")
+    return snapshots(legal_raw(spark, folder), customers, "c_custkey", 0.4, 0.3)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from regloom.functions import naming, register
 from regloom.functions.codes import COMPANY_TYPES
 from regloom.operators import conform, filters, lookups, report, validate
-from regloom.operators.upsert import Upsert, apply_changes, collapse, upsert
+from regloom.operators.upsert import Upsert, collapse, upsert
 from regloom.plans import cleaning, inputs, loading, targets
 from regloom.plans.inputs import AS_OF, BEFORE, ETAB_FILE, ETAB_FILE_BEFORE, LEGAL_FILE, LEGAL_FILE_BEFORE
 from regloom.session import scratch_path
@@ -22,11 +22,6 @@ from regloom.streaming import loader
 Query = Callable[[SparkSession, str], DataFrame]
 TODAY = AS_OF.date()
 
-# Share of the key range already in the target, and where the new snapshot starts.
-ETAB_LOADED, ETAB_NEW = 0.3, 0.3
-LEGAL_LOADED, LEGAL_NEW = 0.4, 0.3
-
-
 def _dated(df: DataFrame) -> DataFrame:
     """Modification times as dates, which read the same in every engine."""
     return df.withColumn("last_modified_date", F.to_date("last_modified_date"))
@@ -112,20 +107,24 @@ def fragment_split(spark: SparkSession, folder: str) -> DataFrame:
 
 def staging_append(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "staging")
-    clean = inputs.etab_clean(spark, folder).select(*STAGED)
-    tables.append_staging(_loaded_etab(clean, spark, folder), path)
-    tables.append_staging(_new_etab(clean, spark, folder), path)
+    earlier, newer = inputs.etab_snapshots(spark, folder)
+    tables.append_staging(_staged(earlier), path)
+    tables.append_staging(_staged(newer), path)
     return spark.read.parquet(path)
 
 
 def staging_replace(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "staging")
-    clean = inputs.etab_clean(spark, folder).select(*STAGED)
-    tables.append_staging(_loaded_etab(clean, spark, folder), path)
-    tables.replace_staging(_new_etab(clean, spark, folder), path)
+    earlier, newer = inputs.etab_snapshots(spark, folder)
+    tables.append_staging(_staged(earlier), path)
+    tables.replace_staging(_staged(newer), path)
     return spark.read.parquet(path)
 
 
+def _staged(raw: DataFrame) -> DataFrame:
+    return cleaning.clean_establishments(raw, ETAB_FILE, AS_OF, keep=["seq"]).select(*STAGED)
+
+
 STAGED = ["seq", "siret", "id", "geo_md5", "address_line_1", "address_line_2"]
 
 
@@ -322,14 +321,6 @@ def batch_duration_stats(spark: SparkSession, folder: str) -> DataFrame:
 # Upserts
 
 
-def _loaded_etab(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.before(df, spark, folder, "orders", "o_orderkey", ETAB_LOADED)
-
-
-def _new_etab(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.after(df, spark, folder, "orders", "o_orderkey", ETAB_NEW)
-
-
 def collapse_by_key(spark: SparkSession, folder: str) -> DataFrame:
     clean = inputs.etab_clean(spark, folder)
     changes = collapse(clean, targets.geo_location(TODAY), "seq")
@@ -345,10 +336,10 @@ def collapse_by_key(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _upsert_etab(spark: SparkSession, folder: str, spec: Upsert) -> DataFrame:
-    earlier = inputs.etab_clean(spark, folder, ETAB_FILE_BEFORE, BEFORE)
-    newer = inputs.etab_clean(spark, folder)
-    target = upsert(None, _loaded_etab(earlier, spark, folder), spec, "seq")
-    return upsert(target, _new_etab(newer, spark, folder), spec, "seq")
+    earlier, newer = inputs.etab_snapshots(spark, folder)
+    old = cleaning.clean_establishments(earlier, ETAB_FILE_BEFORE, BEFORE, keep=["seq"])
+    new = cleaning.clean_establishments(newer, ETAB_FILE, AS_OF, keep=["seq"])
+    return upsert(upsert(None, old, spec, "seq"), new, spec, "seq")
 
 
 def upsert_geo_location(spark: SparkSession, folder: str) -> DataFrame:
@@ -360,16 +351,13 @@ def upsert_stock_etab(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _upsert_legal(spark: SparkSession, folder: str, spec: Upsert, named: bool = False) -> DataFrame:
-    translations = inputs.naf_translations(spark, folder)
-
-    def source(file: str, as_of) -> DataFrame:
-        clean = inputs.legal_clean(spark, folder, file, as_of)
-        return loading.with_activity_names(clean, translations) if named else clean
-
-    key = ("customer", "c_custkey")
-    earlier = inputs.before(source(LEGAL_FILE_BEFORE, BEFORE), spark, folder, *key, LEGAL_LOADED)
-    newer = inputs.after(source(LEGAL_FILE, AS_OF), spark, folder, *key, LEGAL_NEW)
-    return _dated(upsert(upsert(None, earlier, spec, "seq"), newer, spec, "seq"))
+    earlier, newer = inputs.legal_snapshots(spark, folder)
+    old = cleaning.clean_legal_units(earlier, LEGAL_FILE_BEFORE, BEFORE, keep=["seq"])
+    new = cleaning.clean_legal_units(newer, LEGAL_FILE, AS_OF, keep=["seq"])
+    if named:
+        translations = inputs.naf_translations(spark, folder)
+        old, new = (loading.with_activity_names(clean, translations) for clean in (old, new))
+    return _dated(upsert(upsert(None, old, spec, "seq"), new, spec, "seq"))
 
 
 def upsert_organisation(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, time
+from datetime import date
 
 from regloom.operators.upsert import Constant, Upsert
 from regloom.sources.layouts import ESTABLISHMENTS, LEGAL_UNITS
@@ -51,7 +51,7 @@ LEGAL_UNIT_INSERT_ONLY = ("company_type", "id", "company_status", "EmployeeCount
 
 
 def geo_location(as_of: date) -> Upsert:
-    today = Constant(as_of, "date")
+    today = Constant(f"date '{as_of:%Y-%m-%d}'")
     return Upsert(
         table="geo_location",
         keys=("md5_key",),
@@ -59,14 +59,14 @@ def geo_location(as_of: date) -> Upsert:
             "address_1": "address_line_1",
             "address_2": "address_line_2",
             "town": "AddressMunicipalityLabel",
-            "country": Constant(LOCATION_COUNTRY),
+            "country": Constant.text(LOCATION_COUNTRY),
             "post_code": "AddressPostcode",
             "address_type": "registered_office_type",
             "organisation_id": "id",
             "post_code_formatted": "AddressPostcode",
             "md5_key": "geo_md5",
             "date_last_modified": today,
-            "last_modified_by": Constant(LOCATION_INSERTED),
+            "last_modified_by": Constant.text(LOCATION_INSERTED),
         },
         update={
             "address_1": "address_line_1",
@@ -76,7 +76,7 @@ def geo_location(as_of: date) -> Upsert:
             "address_type": "registered_office_type",
             "post_code_formatted": "AddressPostcode",
             "date_last_modified": today,
-            "last_modified_by": Constant(LOCATION_UPDATED),
+            "last_modified_by": Constant.text(LOCATION_UPDATED),
         },
     )
 
@@ -95,7 +95,7 @@ def organisation() -> Upsert:
             "company_type": "company_type",
             "last_modified_by": "last_modified_by",
             "last_modified_date": "last_modified_date",
-            "country_code": Constant(ORGANISATION_COUNTRY_CODE),
+            "country_code": Constant.text(ORGANISATION_COUNTRY_CODE),
         },
         update={
             "company_name": "LegalEntityName",
@@ -120,8 +120,8 @@ def naf_code(as_of: date) -> Upsert:
             "last_modified_by": "last_modified_by",
         },
         update={
-            "last_modified_date": Constant(datetime.combine(as_of, time()), "timestamp"),
-            "last_modified_by": Constant(ACTIVITY_UPDATED),
+            "last_modified_date": Constant(f"timestamp '{as_of:%Y-%m-%d} 00:00:00'"),
+            "last_modified_by": Constant.text(ACTIVITY_UPDATED),
         },
     )
 
