@@ -21,9 +21,23 @@ def removal_report(df: DataFrame, kept: Column) -> DataFrame:
     )
 
 
-def observed(df: DataFrame, observation: Observation) -> DataFrame:
-    """Count rows as they pass, without a job of its own."""
-    return df.observe(observation, F.count(F.lit(1)).alias("rows"))
+class RowCounts:
+    """Rows before and after a step, counted while another action runs."""
+
+    def __init__(self) -> None:
+        self._before, self._after = Observation(), Observation()
+
+    def before(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._before, F.count(F.lit(1)).alias("rows"))
+
+    def after(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._after, F.count(F.lit(1)).alias("rows"))
+
+    def report(self) -> dict[str, float | None]:
+        """Counts and percentage removed; to be read once the action is over."""
+        before, after = self._before.get["rows"], self._after.get["rows"]
+        removed = round((before - after) / before * 100, 2) if before else None
+        return {"rows_before": before, "rows_after": after, "pct_removed": removed}
 
 
 def duration_stats(batches: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from regloom.functions.register import (
 from regloom.operators.conform import conform, drop_tokens, fill_missing
 from regloom.operators.filters import commercial_companies, named, open_establishments
 from regloom.operators.lookups import type_code, unknown_codes, with_company_type, with_employee_count
+from regloom.operators.report import RowCounts
 from regloom.operators.validate import quarantined_rows, valid_rows
 from regloom.sources.layouts import ESTABLISHMENTS, LEGAL_UNITS
 
@@ -65,13 +66,20 @@ def with_establishment_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_establishments(
-    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str] = ()
+    raw: DataFrame,
+    source: str,
+    as_of: datetime,
+    keep: Sequence[str] = (),
+    counts: RowCounts | None = None,
 ) -> DataFrame:
     """Open establishments with a valid company number, 60 columns and ``keep``."""
+    before, after = (counts.before, counts.after) if counts else (_as_is, _as_is)
     return (
         read_establishments(raw, keep)
         .transform(valid_rows)
+        .transform(before)
         .transform(open_establishments)
+        .transform(after)
         .transform(with_establishment_columns)
         .transform(with_provenance, source, as_of)
     )
@@ -109,14 +117,20 @@ def unknown_legal_codes(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def clean_legal_units(
-    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str] = ()
+    raw: DataFrame,
+    source: str,
+    as_of: datetime,
+    keep: Sequence[str] = (),
+    counts: RowCounts | None = None,
 ) -> DataFrame:
     """Named commercial companies with known codes, 42 columns and ``keep``."""
+    before, after = (counts.before, counts.after) if counts else (_as_is, _as_is)
     return (
-        kept_legal_units(raw, keep)
+        kept_legal_units(raw.transform(before), keep)
         .transform(with_company_type)
         .transform(with_employee_count)
         .dropna(subset=["company_type", "EmployeeCount"])
+        .transform(after)
         .withColumns(
             {
                 "id": organisation_id(F.col("company_number")),
@@ -127,3 +141,7 @@ def clean_legal_units(
         )
         .transform(with_provenance, source, as_of)
     )
+
+
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
