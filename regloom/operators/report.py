@@ -22,22 +22,26 @@ def removal_report(df: DataFrame, kept: Column) -> DataFrame:
 
 
 class RowCounts:
-    """Rows before and after a step, counted while another action runs."""
+    """Rows meeting a condition at points of a plan, counted by the action that runs it."""
 
     def __init__(self) -> None:
-        self._before, self._after = Observation(), Observation()
+        self._observations: dict[str, Observation] = {}
 
-    def before(self, df: DataFrame) -> DataFrame:
-        return df.observe(self._before, F.count(F.lit(1)).alias("rows"))
+    def count(self, df: DataFrame, name: str, condition: Column | None = None) -> DataFrame:
+        self._observations[name] = Observation()
+        rows = F.count(F.lit(1)) if condition is None else F.count_if(condition)
+        return df.observe(self._observations[name], rows.alias("rows"))
 
-    def after(self, df: DataFrame) -> DataFrame:
-        return df.observe(self._after, F.count(F.lit(1)).alias("rows"))
+    def values(self) -> dict[str, int]:
+        """The counts; to be read once the action is over."""
+        return {name: seen.get["rows"] for name, seen in self._observations.items()}
 
     def report(self) -> dict[str, float | None]:
-        """Counts and percentage removed; to be read once the action is over."""
-        before, after = self._before.get["rows"], self._after.get["rows"]
+        """The counts and the percentage removed between ``before`` and ``after``."""
+        counts = self.values()
+        before, after = counts["rows_before"], counts["rows_after"]
         removed = round((before - after) / before * 100, 2) if before else None
-        return {"rows_before": before, "rows_after": after, "pct_removed": removed}
+        return {**counts, "pct_removed": removed}
 
 
 def duration_stats(batches: DataFrame) -> DataFrame:

@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regloom.functions.codes import COMPANY_TYPES, HEADCOUNTS
 from regloom.functions.register import (
     activity_label,
     address_line,
     location_key,
     office_type,
     organisation_id,
+    valid_company_number,
 )
 from regloom.operators.conform import conform, drop_tokens, fill_missing
-from regloom.operators.filters import commercial_companies, named, open_establishments
-from regloom.operators.lookups import type_code, unknown_codes, with_company_type, with_employee_count
+from regloom.operators.filters import commercial_companies, is_open, named, open_establishments
+from regloom.operators.lookups import with_company_type, with_employee_count
 from regloom.operators.report import RowCounts
-from regloom.operators.validate import quarantined_rows, valid_rows
+from regloom.operators.validate import valid_rows
 from regloom.sources.layouts import ESTABLISHMENTS, LEGAL_UNITS
 
 # Constants of the cleaned tables.
@@ -29,6 +28,8 @@ INSERTED_SUFFIX = " - insert"
 LEGAL_COUNTRY = "FRANCE"
 LEGAL_COUNTRY_CODE = "FR"
 
+OUTCOME, CLEAN, QUARANTINED = "outcome", "clean", "quarantined"
+
 
 def with_provenance(df: DataFrame, source: str, as_of: datetime) -> DataFrame:
     """Who wrote the row and when; one moment for the whole run."""
@@ -45,10 +46,6 @@ def read_establishments(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return fill_missing(conform(drop_tokens(raw), ESTABLISHMENTS, strict=False, keep=keep))
 
 
-def quarantined_establishments(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return quarantined_rows(read_establishments(raw, keep))
-
-
 def with_establishment_columns(df: DataFrame) -> DataFrame:
     """Organisation id, location key, address lines and office type."""
     organisation = organisation_id(F.col("company_number"))
@@ -66,20 +63,31 @@ def with_establishment_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_establishments(
-    raw: DataFrame,
-    source: str,
-    as_of: datetime,
-    keep: Sequence[str] = (),
-    counts: RowCounts | None = None,
+    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Open establishments with a valid company number, 60 columns and ``keep``."""
-    before, after = (counts.before, counts.after) if counts else (_as_is, _as_is)
     return (
         read_establishments(raw, keep)
         .transform(valid_rows)
-        .transform(before)
         .transform(open_establishments)
-        .transform(after)
+        .transform(with_establishment_columns)
+        .transform(with_provenance, source, as_of)
+    )
+
+
+def sort_out_establishments(
+    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str], counts: RowCounts
+) -> DataFrame:
+    """Cleaned and quarantined establishments in one pass, told apart by ``outcome``."""
+    rows = read_establishments(raw, keep)
+    valid = valid_company_number(F.col("company_number"))
+    still_open = is_open(F.col("AdministrativeStatus"))
+    rows = counts.count(rows, "rows_before", valid)
+    rows = counts.count(rows, "rows_after", valid & still_open)
+    rows = counts.count(rows, "rows_quarantined", ~valid)
+    return (
+        rows.filter(~valid | still_open)
+        .withColumn(OUTCOME, F.when(valid, CLEAN).otherwise(QUARANTINED))
         .transform(with_establishment_columns)
         .transform(with_provenance, source, as_of)
     )
@@ -103,45 +111,50 @@ def kept_legal_units(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def unknown_legal_codes(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Kept units with a company type or headcount outside the lists, and which."""
-    kept = kept_legal_units(raw, keep)
-    found = [
-        unknown_codes(kept, code, codes).withColumn("code_list", F.lit(name))
-        for name, code, codes in (
-            ("company_type", type_code(F.col("LegalCategory")), COMPANY_TYPES),
-            ("employee_count", F.col("EmployeeCountCategory"), HEADCOUNTS),
-        )
-    ]
-    return reduce(lambda a, b: a.unionByName(b), found)
+def with_legal_unit_columns(df: DataFrame) -> DataFrame:
+    """Organisation id, country and activity label."""
+    return df.withColumns(
+        {
+            "id": organisation_id(F.col("company_number")),
+            "country": F.lit(LEGAL_COUNTRY),
+            "country_code": F.lit(LEGAL_COUNTRY_CODE),
+            "company_status": activity_label(F.col("AdministrativeStatus")),
+        }
+    )
 
 
 def clean_legal_units(
-    raw: DataFrame,
-    source: str,
-    as_of: datetime,
-    keep: Sequence[str] = (),
-    counts: RowCounts | None = None,
+    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Named commercial companies with known codes, 42 columns and ``keep``."""
-    before, after = (counts.before, counts.after) if counts else (_as_is, _as_is)
     return (
-        kept_legal_units(raw.transform(before), keep)
+        kept_legal_units(raw, keep)
         .transform(with_company_type)
         .transform(with_employee_count)
         .dropna(subset=["company_type", "EmployeeCount"])
-        .transform(after)
-        .withColumns(
-            {
-                "id": organisation_id(F.col("company_number")),
-                "country": F.lit(LEGAL_COUNTRY),
-                "country_code": F.lit(LEGAL_COUNTRY_CODE),
-                "company_status": activity_label(F.col("AdministrativeStatus")),
-            }
-        )
+        .transform(with_legal_unit_columns)
         .transform(with_provenance, source, as_of)
     )
 
 
-def _as_is(df: DataFrame) -> DataFrame:
-    return df
+def sort_out_legal_units(
+    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str], counts: RowCounts
+) -> DataFrame:
+    """Cleaned and quarantined legal units in one pass, told apart by ``outcome``.
+
+    ``unknown_codes`` names the code lists that lack the code of a quarantined unit.
+    """
+    rows = kept_legal_units(counts.count(raw, "rows_before"), keep)
+    rows = rows.transform(with_company_type).transform(with_employee_count)
+    no_type, no_count = F.col("company_type").isNull(), F.col("EmployeeCount").isNull()
+    rows = counts.count(rows, "rows_after", ~(no_type | no_count))
+    rows = counts.count(rows, "rows_quarantined", no_type | no_count)
+    unknown = F.concat_ws(
+        ",", F.when(no_type, "company_type"), F.when(no_count, "employee_count")
+    )
+    return (
+        rows.withColumn("unknown_codes", unknown)
+        .withColumn(OUTCOME, F.when(no_type | no_count, QUARANTINED).otherwise(CLEAN))
+        .transform(with_legal_unit_columns)
+        .transform(with_provenance, source, as_of)
+    )

@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regloom.operators.report import RowCounts
 from regloom.operators.upsert import Upsert
-from regloom.operators.validate import require_none
+from regloom.operators.validate import InvalidRows
 from regloom.plans import cleaning, loading, targets
+from regloom.plans.cleaning import CLEAN, OUTCOME
 from regloom.plans.loading import SEQUENCE
 from regloom.sources.csv import scan_csv
 from regloom.sources.tables import publish
@@ -25,7 +27,8 @@ class Run:
 
     ``store`` is a folder on shared storage for cleaned rows, quarantine and table
     versions. ``version`` names the table versions to write and must be new.
-    ``on_invalid`` says whether rows that break a rule are set aside or stop the run.
+    ``on_invalid`` says whether rows that break a rule are only set aside, or also
+    stop the run before anything is merged.
     """
 
     spark: SparkSession
@@ -63,15 +66,13 @@ def load_establishment_files(run: Run, paths: str | Sequence[str], source: str)
 
     Returns the row counts of the cleaning step.
     """
-    raw = scan_csv(run.spark, paths, file_order=SEQUENCE)
     specs = (targets.geo_location(run.as_of.date()), targets.stock_etab())
-    invalid = cleaning.quarantined_establishments(raw, [SEQUENCE])
-    clean, counts = _cleaned(
-        run, raw, source, cleaning.clean_establishments, invalid, "company number of 9 characters"
-    )
     current = run.current(specs)
+    raw = scan_csv(run.spark, paths, file_order=SEQUENCE)
+    path = run.path("establishments")
+    clean, report = _cleaned(run, raw, source, cleaning.sort_out_establishments, path)
     run.publish(loading.load_establishments(clean, current, run.as_of.date()), specs)
-    return counts
+    return report
 
 
 def load_legal_unit_files(
@@ -81,33 +82,29 @@ def load_legal_unit_files(
 
     Returns the row counts of the cleaning step.
     """
-    raw = scan_csv(run.spark, paths, mode="FAILFAST", file_order=SEQUENCE)
     specs = (targets.organisation(), targets.naf_code(run.as_of.date()), targets.stock_legal())
-    unknown = cleaning.unknown_legal_codes(raw, [SEQUENCE])
-    clean, counts = _cleaned(
-        run, raw, source, cleaning.clean_legal_units, unknown, "codes found in their lists"
-    )
     current = run.current(specs)
+    raw = scan_csv(run.spark, paths, mode="FAILFAST", file_order=SEQUENCE)
+    path = run.path("legal_units")
+    clean, report = _cleaned(run, raw, source, cleaning.sort_out_legal_units, path)
     contents = loading.load_legal_units(clean, translations, current, run.as_of.date())
     run.publish(contents, specs)
-    return counts
+    return report
 
 
 def _cleaned(
-    run: Run,
-    raw: DataFrame,
-    source: str,
-    clean: Callable[..., DataFrame],
-    broken: DataFrame,
-    rule: str,
+    run: Run, raw: DataFrame, source: str, sort_out: Callable[..., DataFrame], path: str
 ) -> tuple[DataFrame, dict]:
-    """Cleaned rows, written once so that every merge reads columns and not text."""
-    if run.on_invalid == STOP:
-        require_none(broken, rule)
-    else:
-        broken.write.mode("overwrite").parquet(run.path("quarantine", clean.__name__))
+    """Cleaned rows, and what became of the others.
+
+    The text is parsed once. Cleaned and quarantined rows go to partitions of one
+    dataset, so every merge reads only columns it needs of the cleaned partition.
+    """
     counts = RowCounts()
-    path = run.path("clean", clean.__name__)
-    rows = clean(raw, source, run.as_of, [SEQUENCE], counts)
-    rows.write.mode("overwrite").parquet(path)
-    return run.spark.read.parquet(path), counts.report()
+    rows = sort_out(raw, source, run.as_of, [SEQUENCE], counts)
+    rows.write.mode("overwrite").partitionBy(OUTCOME).parquet(path)
+    report = counts.report()
+    if run.on_invalid == STOP and report["rows_quarantined"]:
+        raise InvalidRows(f"{report['rows_quarantined']} rows of {source} are set aside in {path}")
+    stored = run.spark.read.schema(rows.schema).parquet(path)
+    return stored.filter(F.col(OUTCOME) == CLEAN).drop(OUTCOME), report

@@ -376,7 +376,8 @@ def stream_fragment_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Establishments arriving as fragments in three or so micro-batches."""
     path = scratch_path(spark, "arrivals")
     clean = inputs.etab_clean(spark, folder)
-    tables.write_fragments(clean, path, rows=4000)
+    rows = math.ceil(inputs.table(spark, folder, "orders").count() / 5)
+    tables.write_fragments(clean, path, rows=rows)
     arrived = spark.read.parquet(path)
     files_per_batch = max(1, math.ceil(len(arrived.inputFiles()) / 3))
     spec, intake = targets.geo_location(TODAY), loader.Intake(scratch_path(spark, "intake"))

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Write to a few buckets or partitions at once instead of sorting rows by them.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     # Do not look up the Python call site of every expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -56,16 +56,17 @@ def publish(
 ) -> DataFrame:
     """Write one version of a target table and point the view ``table`` at it.
 
-    A version is bucketed and sorted by the merge key. The next upsert then reads
-    it where it lies: only the collapsed source is shuffled, to as many partitions
-    as there are buckets. The bucket count therefore follows
-    ``spark.sql.shuffle.partitions`` unless given. The version being read is never
-    overwritten, and readers of ``table`` see the new one only once it is whole.
+    A version is bucketed by the merge key. The next upsert then reads it where it
+    lies: only the collapsed source is shuffled, to as many partitions as there are
+    buckets. The bucket count therefore follows ``spark.sql.shuffle.partitions``
+    unless given. A merged result is already partitioned that way, so each task
+    writes the one file of its bucket. The version being read is never overwritten,
+    and readers of ``table`` see the new one only once it is whole.
     """
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.format("parquet").mode("overwrite")
-    writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
+    writer = writer.bucketBy(buckets, *keys)
     if location:
         writer = writer.option("path", f"{location.rstrip('/')}/{table}/version={version}")
     writer.saveAsTable(f"{table}_v{version}")

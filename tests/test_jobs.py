@@ -51,8 +51,18 @@ def test_two_months(spark, tmp_path):
             jobs.load_legal_unit_files(run, legal, f"{month}-legal", names),
         )
 
-    assert reports["2024-07"][0] == {"rows_before": 4, "rows_after": 3, "pct_removed": 25.0}
-    assert reports["2024-07"][1] == {"rows_before": 5, "rows_after": 2, "pct_removed": 60.0}
+    assert reports["2024-07"][0] == {
+        "rows_before": 4,
+        "rows_after": 3,
+        "rows_quarantined": 1,
+        "pct_removed": 25.0,
+    }
+    assert reports["2024-07"][1] == {
+        "rows_before": 5,
+        "rows_after": 2,
+        "rows_quarantined": 1,
+        "pct_removed": 60.0,
+    }
 
     places = {(r.organisation_id, r.post_code): r for r in spark.table("geo_location").collect()}
     assert set(places) == {("FR000000001", "01000"), ("FR000000004", ""), ("FR000000005", "69001")}
@@ -84,10 +94,13 @@ def test_two_months(spark, tmp_path):
     assert legal["000000001"].company_type.startswith("SA ")
     assert (legal["000000001"].EmployeeCount, legal["000000001"].EmployeeCountCategory) == ("1-2 employees", None)
 
-    broken = spark.read.parquet(f"{tmp_path}/store/quarantine/clean_establishments/version=1")
+    kept_aside = f"{tmp_path}/store/{{}}/version=1/outcome=quarantined"
+    broken = spark.read.parquet(kept_aside.format("establishments"))
     assert [r.company_number for r in broken.collect()] == ["12345678"]
-    broken = spark.read.parquet(f"{tmp_path}/store/quarantine/clean_legal_units/version=1")
-    assert [(r.code, r.code_list) for r in broken.collect()] == [("50", "company_type")]
+    broken = spark.read.parquet(kept_aside.format("legal_units"))
+    assert [(r.company_number, r.unknown_codes) for r in broken.collect()] == [
+        ("000000004", "company_type")
+    ]
     assert spark.table("geo_location_v1").count() == 2
 
     with pytest.raises(ValueError, match="already has a version"):

@@ -110,6 +110,17 @@ SPEC = Upsert(
 )
 
 
+def test_published_version_has_one_file_per_bucket(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("string(id) as key", "string(id) as value", "id as seq")
+    spec = Upsert("buckets", ("k",), SPEC.insert, SPEC.update)
+    tables.publish(upsert(None, rows, spec, "seq"), "buckets", 1, ["k"], location=str(tmp_path))
+    target = upsert(spark.table("buckets"), rows, spec, "seq")
+    tables.publish(target, "buckets", 2, ["k"], location=str(tmp_path))
+    files = list((tmp_path / "buckets" / "version=2").glob("*.parquet"))
+    assert len(files) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.table("buckets").count() == 1000
+
+
 def test_upsert_reads_a_published_version_where_it_lies(spark, tmp_path):
     def source(low, high):
         rows = spark.range(low, high)
