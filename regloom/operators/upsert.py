@@ -90,7 +90,9 @@ def split_by_key(df: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame
     """
     if not any(df.schema[name].nullable for name in names):
         return df, None
-    return df.dropna(subset=names), df.filter(" or ".join(f"{n} is null" for n in names))
+    present = " and ".join(f"{n} is not null" for n in names)
+    absent = " or ".join(f"{n} is null" for n in names)
+    return df.filter(present), df.filter(absent)
 
 
 def _grouped(

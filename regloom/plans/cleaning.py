@@ -131,7 +131,7 @@ def clean_legal_units(
         kept_legal_units(raw, keep)
         .transform(with_company_type)
         .transform(with_employee_count)
-        .dropna(subset=["company_type", "EmployeeCount"])
+        .filter("company_type is not null and EmployeeCount is not null")
         .transform(with_legal_unit_columns)
         .transform(with_provenance, source, as_of)
     )

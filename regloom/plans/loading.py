@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from regloom.operators.lookups import join_dimension
 from regloom.operators.upsert import inserts, upsert
 from regloom.plans import targets
+from regloom.streaming.loader import Feed
 
 SEQUENCE = "seq"
 
@@ -63,3 +64,23 @@ def load_legal_units(
         (targets.stock_legal(), clean),
     )
     return {s.table: upsert(current.get(s.table), rows, s, sequence) for s, rows in sources}
+
+
+def establishment_feeds(as_of: date) -> list[Feed]:
+    """What a batch of cleaned establishments feeds."""
+    return [Feed(targets.geo_location(as_of)), Feed(targets.stock_etab())]
+
+
+def legal_unit_feeds(
+    translations: DataFrame, as_of: date, sequence: str = SEQUENCE
+) -> list[Feed]:
+    """What a batch of cleaned legal units feeds."""
+
+    def named(batch: DataFrame) -> DataFrame:
+        return with_activity_names(batch, translations, sequence)
+
+    return [
+        Feed(targets.organisation()),
+        Feed(targets.naf_code(as_of), named),
+        Feed(targets.stock_legal()),
+    ]

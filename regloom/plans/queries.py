@@ -86,9 +86,15 @@ LEGAL_RAW_STRINGS = [
 ]
 
 
+def _fragment_rows(spark: SparkSession, folder: str) -> int:
+    """The usual fragment size, or less so that small inputs are split as well."""
+    orders = inputs.table(spark, folder, "orders").count()
+    return min(tables.FRAGMENT_ROWS, math.ceil(orders / 5))
+
+
 def fragment_split(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per dataset after the split, and fragments beyond the limit (none)."""
-    rows = 1000
+    rows = _fragment_rows(spark, folder)
     path = scratch_path(spark, "split")
     tables.write_fragments(inputs.etab_clean(spark, folder), path, rows=rows)
     per_file = (
@@ -376,13 +382,12 @@ def stream_fragment_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Establishments arriving as fragments in three or so micro-batches."""
     path = scratch_path(spark, "arrivals")
     clean = inputs.etab_clean(spark, folder)
-    rows = math.ceil(inputs.table(spark, folder, "orders").count() / 5)
-    tables.write_fragments(clean, path, rows=rows)
+    tables.write_fragments(clean, path, rows=_fragment_rows(spark, folder))
     arrived = spark.read.parquet(path)
     files_per_batch = max(1, math.ceil(len(arrived.inputFiles()) / 3))
     spec, intake = targets.geo_location(TODAY), loader.Intake(scratch_path(spark, "intake"))
     stream = loader.fragment_stream(spark, path, arrived.schema, files_per_batch=files_per_batch)
-    loader.take_in(stream, spec, intake, "seq").awaitTermination()
+    loader.take_in(stream, [loader.Feed(spec)], intake, "seq").awaitTermination()
     return loader.merged(spark, None, spec, intake)
 
 

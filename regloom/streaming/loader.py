@@ -1,15 +1,15 @@
-"""Take in fragments as micro-batches and merge them into a target.
+"""Take in fragments as micro-batches and merge them into their targets.
 
-The checkpoint of the file source decides which fragments are new. Each batch is
-collapsed to one change per key and written under its batch id, so its cost follows
-the batch and not the target, and a batch run again overwrites its own output.
-The changes of all batches are applied to the target in one merge.
+The checkpoint of the file source decides which fragments are new. For every target
+a batch is collapsed to one change per key and written under its batch id, so its
+cost follows the batch and not the target, and a batch run again overwrites its own
+output. The changes of all batches are applied to a target in one merge.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,13 +24,12 @@ BATCH = "batch_id"
 
 @dataclass(frozen=True)
 class Intake:
-    """Where the batches of one target are kept."""
+    """Where batches are kept, on storage every executor can reach."""
 
     path: str
 
-    @property
-    def changes(self) -> str:
-        return f"{self.path}/changes"
+    def changes(self, table: str) -> str:
+        return f"{self.path}/changes/{table}"
 
     @property
     def log(self) -> str:
@@ -41,6 +40,14 @@ class Intake:
         return f"{self.path}/checkpoint"
 
 
+@dataclass(frozen=True)
+class Feed:
+    """A target, and how a batch of fragments becomes source rows of its upsert."""
+
+    spec: Upsert
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch
+
+
 def fragment_stream(
     spark: SparkSession,
     path: str,
@@ -66,28 +73,23 @@ def fragment_stream(
 
 
 def take_in(
-    stream: DataFrame,
-    spec: Upsert,
-    intake: Intake,
-    sequence: str,
-    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    stream: DataFrame, feeds: Sequence[Feed], intake: Intake, sequence: str
 ) -> StreamingQuery:
     """Start collecting everything that has arrived; stops by itself when done.
 
-    ``prepare`` turns a batch of fragments into source rows of the upsert.
+    Fragments carry ``sequence``, so the order in which they arrive does not matter.
     """
-    key_sources = [spec.insert[k] for k in spec.keys]
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        started = time.monotonic()
-        keyed, loose = split_by_key(prepare(batch), key_sources)
         part = f"{BATCH}={batch_id}"
-        changes = collapse(keyed, spec, sequence)
-        if loose is not None:
-            changes = changes.unionByName(single_changes(loose, spec, sequence))
-        changes.write.mode("overwrite").parquet(f"{intake.changes}/{part}")
+        started = time.monotonic()
+        for feed in feeds:
+            _changes(feed, batch, sequence).write.mode("overwrite").parquet(
+                f"{intake.changes(feed.spec.table)}/{part}"
+            )
+        flow = "+".join(feed.spec.table for feed in feeds)
         entry = batch.sparkSession.range(1).select(
-            F.lit(spec.table).alias("flow"),
+            F.lit(flow).alias("flow"),
             F.lit(round(time.monotonic() - started, 2)).alias("seconds"),
         )
         entry.write.mode("overwrite").parquet(f"{intake.log}/{part}")
@@ -100,11 +102,25 @@ def take_in(
     )
 
 
+def _changes(feed: Feed, batch: DataFrame, sequence: str) -> DataFrame:
+    source, spec = feed.prepare(batch), feed.spec
+    keyed, loose = split_by_key(source, [spec.insert[k] for k in spec.keys])
+    changes = collapse(keyed, spec, sequence)
+    if loose is None:
+        return changes
+    return changes.unionByName(single_changes(loose, spec, sequence))
+
+
 def merged(
-    spark: SparkSession, target: DataFrame | None, spec: Upsert, intake: Intake
+    spark: SparkSession,
+    target: DataFrame | None,
+    spec: Upsert,
+    intake: Intake,
+    after_batch: int = -1,
 ) -> DataFrame:
-    """The target after every batch taken in so far."""
-    stored = spark.read.parquet(intake.changes).drop(BATCH)
+    """The target after every batch beyond the last one it already holds."""
+    stored = spark.read.parquet(intake.changes(spec.table))
+    stored = stored.filter(F.col(BATCH) > after_batch).drop(BATCH)
     keyed, loose = split_by_key(stored, list(spec.keys))
     unkeyed = None if loose is None else apply_changes(None, loose, spec)
     return merge(target, combine(keyed, spec), unkeyed, spec)

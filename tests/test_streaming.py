@@ -4,6 +4,8 @@ import os
 
 from regloom.operators.report import duration_stats
 from regloom.operators.upsert import Constant, Upsert, upsert
+from regloom.plans import inputs, loading
+from regloom.sources import tables
 from regloom.streaming import loader
 
 SPEC = Upsert(
@@ -28,7 +30,7 @@ def source(spark, low, high):
 
 def run(spark, arrivals, intake, schema, **options):
     stream = loader.fragment_stream(spark, arrivals, schema, files_per_batch=1, **options)
-    query = loader.take_in(stream, SPEC, intake, "seq")
+    query = loader.take_in(stream, [loader.Feed(SPEC)], intake, "seq")
     query.awaitTermination()
     return query
 
@@ -40,7 +42,7 @@ def test_stream_equals_batch_and_continues_from_its_checkpoint(spark, tmp_path):
         source(spark, low, high).coalesce(1).write.mode("append").parquet(arrivals)
     schema = spark.read.parquet(arrivals).schema
     run(spark, arrivals, intake, schema)
-    assert len([d for d in os.listdir(intake.changes) if d.startswith("batch_id=")]) == 3
+    assert len([d for d in os.listdir(intake.changes("t")) if d.startswith("batch_id=")]) == 3
     expected = rows(upsert(None, source(spark, 0, 300), SPEC, "seq"))
     assert rows(loader.merged(spark, None, SPEC, intake)) == expected
 
@@ -57,6 +59,11 @@ def test_stream_equals_batch_and_continues_from_its_checkpoint(spark, tmp_path):
     expected = rows(upsert(target, source(spark, 0, 330), SPEC, "seq"))
     assert rows(loader.merged(spark, target, SPEC, intake)) == expected
 
+    # A target that already holds the first three batches needs only the fourth.
+    held = upsert(None, source(spark, 0, 300), SPEC, "seq")
+    expected = rows(upsert(held, source(spark, 300, 330), SPEC, "seq"))
+    assert rows(loader.merged(spark, held, SPEC, intake, after_batch=2)) == expected
+
     stats = duration_stats(loader.batch_log(spark, intake)).first()
     assert (stats.flow, stats.batches) == ("t", 4) and stats.total_seconds > 0
 
@@ -75,3 +82,19 @@ def test_only_named_fragments_are_taken_in(spark, tmp_path):
         file_format="csv",
     )
     assert rows(loader.merged(spark, None, SPEC, intake)) == [("l", "1", "1", "i")]
+
+
+def test_legal_units_feed_three_targets(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    names, day = inputs.naf_translations(spark, folder), inputs.AS_OF.date()
+    clean = inputs.legal_clean(spark, folder)
+    arrivals, intake = str(tmp_path / "in"), loader.Intake(str(tmp_path / "intake"))
+    tables.write_fragments(clean, arrivals, rows=20)
+    stream = loader.fragment_stream(spark, arrivals, clean.schema, files_per_batch=2)
+    feeds = loading.legal_unit_feeds(names, day)
+    loader.take_in(stream, feeds, intake, "seq").awaitTermination()
+    expected = loading.load_legal_units(clean, names, {}, day)
+    assert set(expected) == {"organisation", "naf_code", "stock_legal"}
+    for feed in feeds:
+        got = rows(loader.merged(spark, None, feed.spec, intake))
+        assert got and got == rows(expected[feed.spec.table])
