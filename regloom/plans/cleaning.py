@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regloom.functions.register import (
@@ -31,11 +31,15 @@ LEGAL_COUNTRY_CODE = "FR"
 OUTCOME, CLEAN, QUARANTINED = "outcome", "clean", "quarantined"
 
 
-def with_provenance(df: DataFrame, source: str, as_of: datetime) -> DataFrame:
-    """Who wrote the row and when; one moment for the whole run."""
+def with_provenance(df: DataFrame, source: str | Column, as_of: datetime) -> DataFrame:
+    """Who wrote the row and when; one moment for the whole run.
+
+    ``source`` is one name for all rows, or a column with the name of each.
+    """
+    name = F.lit(source) if isinstance(source, str) else source
     return df.withColumns(
         {
-            "last_modified_by": F.lit(source + INSERTED_SUFFIX),
+            "last_modified_by": F.concat(name, F.lit(INSERTED_SUFFIX)),
             "last_modified_date": F.lit(as_of),
         }
     )
@@ -63,7 +67,7 @@ def with_establishment_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_establishments(
-    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str] = ()
+    raw: DataFrame, source: str | Column, as_of: datetime, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Open establishments with a valid company number, 60 columns and ``keep``."""
     return (
@@ -76,7 +80,7 @@ def clean_establishments(
 
 
 def sort_out_establishments(
-    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str], counts: RowCounts
+    raw: DataFrame, source: str | Column, as_of: datetime, keep: Sequence[str], counts: RowCounts
 ) -> DataFrame:
     """Cleaned and quarantined establishments in one pass, told apart by ``outcome``."""
     rows = read_establishments(raw, keep)
@@ -124,7 +128,7 @@ def with_legal_unit_columns(df: DataFrame) -> DataFrame:
 
 
 def clean_legal_units(
-    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str] = ()
+    raw: DataFrame, source: str | Column, as_of: datetime, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Named commercial companies with known codes, 42 columns and ``keep``."""
     return (
@@ -138,7 +142,7 @@ def clean_legal_units(
 
 
 def sort_out_legal_units(
-    raw: DataFrame, source: str, as_of: datetime, keep: Sequence[str], counts: RowCounts
+    raw: DataFrame, source: str | Column, as_of: datetime, keep: Sequence[str], counts: RowCounts
 ) -> DataFrame:
     """Cleaned and quarantined legal units in one pass, told apart by ``outcome``.
 

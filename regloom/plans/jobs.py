@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regloom.functions.naming import path_basename
 from regloom.operators.report import RowCounts
 from regloom.operators.upsert import Upsert
 from regloom.operators.validate import InvalidRows
@@ -61,9 +62,12 @@ class Run:
             )
 
 
-def load_establishment_files(run: Run, paths: str | Sequence[str], source: str) -> dict:
+def load_establishment_files(
+    run: Run, paths: str | Sequence[str], source: str | None = None
+) -> dict:
     """Clean establishment files and merge them into their two tables.
 
+    Rows are marked with ``source``, or else with the name of the file they are from.
     Returns the row counts of the cleaning step.
     """
     specs = (targets.geo_location(run.as_of.date()), targets.stock_etab())
@@ -76,10 +80,11 @@ def load_establishment_files(run: Run, paths: str | Sequence[str], source: str)
 
 
 def load_legal_unit_files(
-    run: Run, paths: str | Sequence[str], source: str, translations: DataFrame
+    run: Run, paths: str | Sequence[str], translations: DataFrame, source: str | None = None
 ) -> dict:
     """Clean legal-unit files and merge them into their three tables.
 
+    Rows are marked with ``source``, or else with the name of the file they are from.
     Returns the row counts of the cleaning step.
     """
     specs = (targets.organisation(), targets.naf_code(run.as_of.date()), targets.stock_legal())
@@ -93,7 +98,7 @@ def load_legal_unit_files(
 
 
 def _cleaned(
-    run: Run, raw: DataFrame, source: str, sort_out: Callable[..., DataFrame], path: str
+    run: Run, raw: DataFrame, source: str | None, sort_out: Callable[..., DataFrame], path: str
 ) -> tuple[DataFrame, dict]:
     """Cleaned rows, and what became of the others.
 
@@ -101,10 +106,11 @@ def _cleaned(
     dataset, so every merge reads only columns it needs of the cleaned partition.
     """
     counts = RowCounts()
-    rows = sort_out(raw, source, run.as_of, [SEQUENCE], counts)
+    names = source or path_basename(F.col(f"{SEQUENCE}.file"))
+    rows = sort_out(raw, names, run.as_of, [SEQUENCE], counts)
     rows.write.mode("overwrite").partitionBy(OUTCOME).parquet(path)
     report = counts.report()
     if run.on_invalid == STOP and report["rows_quarantined"]:
-        raise InvalidRows(f"{report['rows_quarantined']} rows of {source} are set aside in {path}")
+        raise InvalidRows(f"{report['rows_quarantined']} rows are set aside in {path}")
     stored = run.spark.read.schema(rows.schema).parquet(path)
     return stored.filter(F.col(OUTCOME) == CLEAN).drop(OUTCOME), report

@@ -50,7 +50,11 @@ ESTABLISHMENT_INSERT_ONLY = (
 LEGAL_UNIT_INSERT_ONLY = ("company_type", "id", "company_status", "EmployeeCount")
 
 
-def geo_location(as_of: date) -> Upsert:
+def geo_location(as_of: date, name_source: bool = False) -> Upsert:
+    """Locations; marked with two constants, or with the source of the rows if asked."""
+    inserted, updated = Constant.text(LOCATION_INSERTED), Constant.text(LOCATION_UPDATED)
+    if name_source:
+        inserted = updated = "last_modified_by"
     today = Constant(f"date '{as_of:%Y-%m-%d}'")
     return Upsert(
         table="geo_location",
@@ -66,7 +70,7 @@ def geo_location(as_of: date) -> Upsert:
             "post_code_formatted": "AddressPostcode",
             "md5_key": "geo_md5",
             "date_last_modified": today,
-            "last_modified_by": Constant.text(LOCATION_INSERTED),
+            "last_modified_by": inserted,
         },
         update={
             "address_1": "address_line_1",
@@ -76,7 +80,7 @@ def geo_location(as_of: date) -> Upsert:
             "address_type": "registered_office_type",
             "post_code_formatted": "AddressPostcode",
             "date_last_modified": today,
-            "last_modified_by": Constant.text(LOCATION_UPDATED),
+            "last_modified_by": updated,
         },
     )
 

@@ -4,8 +4,9 @@ from datetime import datetime
 
 import pytest
 
+from regloom.operators.upsert import upsert
 from regloom.operators.validate import InvalidRows
-from regloom.plans import jobs
+from regloom.plans import jobs, targets
 
 ETAB = {
     "2024-07": """siren,siret,etatAdministratifEtablissement,etablissementSiege,numeroVoieEtablissement,typeVoieEtablissement,libelleVoieEtablissement,codePostalEtablissement,libelleCommuneEtablissement
@@ -48,7 +49,7 @@ def test_two_months(spark, tmp_path):
         etab, legal = str(tmp_path / "etab" / month), str(tmp_path / "legal" / month)
         reports[month] = (
             jobs.load_establishment_files(run, etab, f"{month}-etab"),
-            jobs.load_legal_unit_files(run, legal, f"{month}-legal", names),
+            jobs.load_legal_unit_files(run, legal, names),
         )
 
     assert reports["2024-07"][0] == {
@@ -101,6 +102,10 @@ def test_two_months(spark, tmp_path):
     assert [(r.company_number, r.unknown_codes) for r in broken.collect()] == [
         ("000000004", "company_type")
     ]
+    assert legal["000000001"].last_modified_by == "a.csv - insert"
+    clean = spark.read.parquet(f"{tmp_path}/store/establishments/version=2/outcome=clean")
+    named = upsert(None, clean, targets.geo_location(datetime(2024, 8, 1), name_source=True), "seq")
+    assert {r.last_modified_by for r in named.collect()} == {"2024-08-etab - insert"}
     assert spark.table("geo_location_v1").count() == 2
 
     with pytest.raises(ValueError, match="already has a version"):
