@@ -9,7 +9,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.functions.naming import path_basename
 from regloom.operators.report import RowCounts
 from regloom.operators.upsert import Upsert
 from regloom.operators.validate import InvalidRows
@@ -19,6 +18,8 @@ from regloom.plans.loading import SEQUENCE
 from regloom.sources.csv import scan_csv
 from regloom.sources.tables import publish
 
+# Column with the name of the file a row is from.
+FILE = "source_file"
 QUARANTINE, STOP = "quarantine", "stop"
 
 
@@ -72,7 +73,7 @@ def load_establishment_files(
     """
     specs = (targets.geo_location(run.as_of.date()), targets.stock_etab())
     current = run.current(specs)
-    raw = scan_csv(run.spark, paths, file_order=SEQUENCE)
+    raw = scan_csv(run.spark, paths, file_order=SEQUENCE, file_name=FILE)
     path = run.path("establishments")
     clean, report = _cleaned(run, raw, source, cleaning.sort_out_establishments, path)
     run.publish(loading.load_establishments(clean, current, run.as_of.date()), specs)
@@ -89,7 +90,7 @@ def load_legal_unit_files(
     """
     specs = (targets.organisation(), targets.naf_code(run.as_of.date()), targets.stock_legal())
     current = run.current(specs)
-    raw = scan_csv(run.spark, paths, mode="FAILFAST", file_order=SEQUENCE)
+    raw = scan_csv(run.spark, paths, mode="FAILFAST", file_order=SEQUENCE, file_name=FILE)
     path = run.path("legal_units")
     clean, report = _cleaned(run, raw, source, cleaning.sort_out_legal_units, path)
     contents = loading.load_legal_units(clean, translations, current, run.as_of.date())
@@ -106,8 +107,7 @@ def _cleaned(
     dataset, so every merge reads only columns it needs of the cleaned partition.
     """
     counts = RowCounts()
-    names = source or path_basename(F.col(f"{SEQUENCE}.file"))
-    rows = sort_out(raw, names, run.as_of, [SEQUENCE], counts)
+    rows = sort_out(raw, source or F.col(FILE), run.as_of, [SEQUENCE, FILE], counts)
     rows.write.mode("overwrite").partitionBy(OUTCOME).parquet(path)
     report = counts.report()
     if run.on_invalid == STOP and report["rows_quarantined"]:

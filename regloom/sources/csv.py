@@ -21,6 +21,7 @@ def scan_csv(
     name_glob: str | None = None,
     multiline: bool = False,
     file_order: str | None = None,
+    file_name: str | None = None,
 ) -> DataFrame:
     """Read register files as strings, by header name.
 
@@ -30,7 +31,8 @@ def scan_csv(
     name. ``mode="FAILFAST"`` stops on a malformed record. ``multiline`` admits
     line breaks inside quotes at the price of unsplittable files.
 
-    ``file_order`` names a column to add that orders rows as the files do.
+    ``file_order`` and ``file_name`` name columns to add: one that orders rows as the
+    files do, and one with the name of the file a row is from.
     """
     options = CSV_OPTIONS | {"mode": mode, "multiLine": str(multiline).lower()}
     if name_glob:
@@ -44,18 +46,23 @@ def scan_csv(
     for header, group in by_header.items():
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
         scan = spark.read.options(**options, enforceSchema="false").schema(schema).csv(group)
-        scans.append(scan.select("*", row_order().alias(file_order)) if file_order else scan)
+        extra = [row_order().alias(file_order)] if file_order else []
+        extra += [F.col("_metadata.file_name").alias(file_name)] if file_name else []
+        scans.append(scan.select("*", *extra))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def row_order() -> Column:
-    """Position of a row in its input: file, block start, then row within the block.
+    """Position of a row in its input: file, block, then row within the block.
 
-    Valid directly on a file scan only. Blocks are read by one task from start to
-    end, so ids grow within a block and no global sort or single task is needed.
+    Files are ordered by modification time, so what arrived later counts as later.
+    Blocks are read by one task from start to end, so ids grow within a block and no
+    global sort or single task is needed. Valid directly on a file scan only. All
+    parts are of fixed width, which keeps the shuffle of a merge narrow.
     """
     return F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )

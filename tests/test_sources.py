@@ -1,5 +1,7 @@
 """CSV scans, fragments, staging and published versions."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,13 +66,15 @@ def test_header_mismatch_in_one_folder_fails(spark, tmp_path):
 
 def test_line_breaks_inside_quotes_on_request(spark, tmp_path):
     path = write_text(tmp_path / "in", "a.csv", 'a,b\n1,"x\ny"\n')
-    assert csv.scan_csv(spark, path, multiline=True).collect() == [("1", "x\ny")]
+    scan = csv.scan_csv(spark, path, multiline=True, file_name="source")
+    assert scan.collect() == [("1", "x\ny", "a.csv")]
 
 
 def test_row_order_follows_files_across_splits(spark, tmp_path):
     for name, start in (("a.csv", 0), ("b.csv", 20_000)):
         lines = "\n".join(f"{i},{'x' * 20}" for i in range(start, start + 20_000))
         path = write_text(tmp_path / "in", name, "i,text\n" + lines + "\n")
+        os.utime(tmp_path / "in" / name, (1_700_000_000 + start, 1_700_000_000 + start))
     size = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
