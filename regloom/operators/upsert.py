@@ -102,14 +102,26 @@ def _grouped(
     order: tuple[str, str],
     sources: tuple[Mapping[str, str], Mapping[str, str]],
 ) -> DataFrame:
-    """Per key: rows, first and last position, and a struct from each of the two."""
-    aggregates = [f"{count} as {COUNT}", f"min({order[0]}) as {FIRST}", f"max({order[1]}) as {LAST}"]
-    for pick, by, name, columns in zip(("min_by", "max_by"), order, ("_first", "_last"), sources):
-        if columns:
-            row = ", ".join(f"{s} as {c}" for c, s in columns.items())
-            aggregates.append(f"{pick}(struct({row}), {by}) as {name}")
-    by_key = df.groupBy(*[F.col(source).alias(key) for key, source in keys.items()])
-    return by_key.agg(*[F.expr(a) for a in aggregates])
+    """Per key: rows, first and last position, and a struct from each of the two.
+
+    The aggregate of structs is sort-based. Rows are therefore put into shape and
+    sorted by key before it, in each map task: it then handles a row's columns as one
+    block, where structs made within the aggregate would be copied field by field.
+    """
+    first, last = (", ".join(f"{s} as {c}" for c, s in part.items()) for part in sources)
+    low, high = (FIRST, LAST) if order[0] != order[1] else (FIRST, FIRST)
+    shaped = [f"{source} as {key}" for key, source in keys.items()]
+    shaped += [f"{source} as {name}" for name, source in {low: order[0], high: order[1]}.items()]
+    shaped.append(f"{count} as {COUNT}")
+    aggregates = [f"sum({COUNT}) as {COUNT}", f"min({low}) as {FIRST}", f"max({high}) as {LAST}"]
+    if first:
+        shaped.append(f"struct({first}) as _first")
+        aggregates.append(f"min_by(_first, {low}) as _first")
+    if last:
+        shaped.append(f"struct({last}) as _last")
+        aggregates.append(f"max_by(_last, {high}) as _last")
+    ready = df.selectExpr(*shaped).sortWithinPartitions(*keys)
+    return ready.groupBy(*keys).agg(*[F.expr(a) for a in aggregates])
 
 
 def collapse(source: DataFrame, spec: Upsert, sequence: str) -> DataFrame:
@@ -119,7 +131,7 @@ def collapse(source: DataFrame, spec: Upsert, sequence: str) -> DataFrame:
     """
     read = _read(spec.written_first), _read(spec.written_last)
     keys = {k: spec.insert[k] for k in spec.keys}
-    grouped = _grouped(source, keys, "count(1)", (sequence, sequence), read)
+    grouped = _grouped(source, keys, "1L", (sequence, sequence), read)
 
     def part(sources: Mapping[str, str | Constant], row: str) -> list[str]:
         return [
@@ -155,7 +167,7 @@ def combine(changes: DataFrame, spec: Upsert) -> DataFrame:
     lasts = [f"_last_{c}" for c in spec.written_last]
     keys = {k: k for k in spec.keys}
     stored = {c: c for c in firsts}, {c: c for c in lasts}
-    grouped = _grouped(changes, keys, f"sum({COUNT})", (FIRST, LAST), stored)
+    grouped = _grouped(changes, keys, COUNT, (FIRST, LAST), stored)
     return grouped.selectExpr(
         *spec.keys,
         COUNT,
