@@ -25,16 +25,17 @@ class RowCounts:
     """Rows meeting a condition at points of a plan, counted by the action that runs it."""
 
     def __init__(self) -> None:
-        self._observations: dict[str, Observation] = {}
+        self._observations: list[Observation] = []
 
-    def count(self, df: DataFrame, name: str, condition: Column | None = None) -> DataFrame:
-        self._observations[name] = Observation()
-        rows = F.count(F.lit(1)) if condition is None else F.count_if(condition)
-        return df.observe(self._observations[name], rows.alias("rows"))
+    def count(self, df: DataFrame, **conditions: Column) -> DataFrame:
+        """Count rows under each name by its condition, all in one step of the plan."""
+        self._observations.append(Observation())
+        counts = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
+        return df.observe(self._observations[-1], *counts)
 
     def values(self) -> dict[str, int]:
         """The counts; to be read once the action is over."""
-        return {name: seen.get["rows"] for name, seen in self._observations.items()}
+        return {name: n for seen in self._observations for name, n in seen.get.items()}
 
     def report(self) -> dict[str, float | None]:
         """The counts and the percentage removed between ``before`` and ``after``."""

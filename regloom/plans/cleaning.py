@@ -86,9 +86,9 @@ def sort_out_establishments(
     rows = read_establishments(raw, keep)
     valid = valid_company_number(F.col("company_number"))
     still_open = is_open(F.col("AdministrativeStatus"))
-    rows = counts.count(rows, "rows_before", valid)
-    rows = counts.count(rows, "rows_after", valid & still_open)
-    rows = counts.count(rows, "rows_quarantined", ~valid)
+    rows = counts.count(
+        rows, rows_before=valid, rows_after=valid & still_open, rows_quarantined=~valid
+    )
     return (
         rows.filter(~valid | still_open)
         .withColumn(OUTCOME, F.when(valid, CLEAN).otherwise(QUARANTINED))
@@ -148,17 +148,17 @@ def sort_out_legal_units(
 
     ``unknown_codes`` names the code lists that lack the code of a quarantined unit.
     """
-    rows = kept_legal_units(counts.count(raw, "rows_before"), keep)
+    rows = kept_legal_units(counts.count(raw, rows_before=F.lit(True)), keep)
     rows = rows.transform(with_company_type).transform(with_employee_count)
     no_type, no_count = F.col("company_type").isNull(), F.col("EmployeeCount").isNull()
-    rows = counts.count(rows, "rows_after", ~(no_type | no_count))
-    rows = counts.count(rows, "rows_quarantined", no_type | no_count)
+    unlisted = no_type | no_count
+    rows = counts.count(rows, rows_after=~unlisted, rows_quarantined=unlisted)
     unknown = F.concat_ws(
         ",", F.when(no_type, "company_type"), F.when(no_count, "employee_count")
     )
     return (
         rows.withColumn("unknown_codes", unknown)
-        .withColumn(OUTCOME, F.when(no_type | no_count, QUARANTINED).otherwise(CLEAN))
+        .withColumn(OUTCOME, F.when(unlisted, QUARANTINED).otherwise(CLEAN))
         .transform(with_legal_unit_columns)
         .transform(with_provenance, source, as_of)
     )
