@@ -41,3 +41,25 @@ select conv_id, count(*) as n_turns,
         + length(case when escaped then regexp_replace(text, '(\\*)(<<SYS>>|\[INST\]|<s>|\[ROLE (?:-|[0-9A-F]*)\]|<</SYS>>|\[/INST\]|</s>|\[/ROLE\])', '\1\\\2', 'g') else text end)) as bigint) as formatted_chars
 from whole group by conv_id
 """
+
+ORACLES["op1_decontamination"] = r"""
+with doc as (
+    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
+item as (
+    select cast(item_id as varchar) as item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from benchmark),
+pieces as (
+    select distinct item_id, least(10, len(w)) as n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') as s
+    from item, lateral (select unnest(range(1, greatest(1, len(w) - 8))) as i) where len(w) > 0),
+lengths as (select distinct n from pieces),
+windows as (
+    select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as s
+    from doc, lengths, lateral (select unnest(range(1, len(w) - n + 2)) as i) where len(w) >= n),
+hits as (select doc_id, windows.n, i, item_id from windows join pieces using (n, s)),
+words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
+found as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct item_id, ',' order by item_id) as names from hits group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join words using (doc_id) left join found using (doc_id)
+"""

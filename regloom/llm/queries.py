@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, urlfilter
+from regloom.llm import chat, decontaminate, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,20 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find_occurrences(documents, _table(spark, folder, "benchmark"), keep=["doc_id"])
+    n_hit = decontaminate.hit_words()
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 #: Host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -53,6 +67,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
 }
