@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, decontaminate, urlfilter
+from regloom.llm import chat, decontaminate, simhash, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,12 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(documents)
+    return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 #: Host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -68,6 +74,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op6_simhash": op6_simhash,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
 }
