@@ -63,3 +63,19 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
     sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc left join words using (doc_id) left join found using (doc_id)
 """
+
+ORACLES["op3_substring_dedup"] = r"""
+with doc as (
+    select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+windows as (
+    select doc_id, i, sha256(array_to_string(w[i:i + 19], ' ')) as s
+    from doc, lateral (select unnest(range(1, len(w) - 18)) as i) where len(w) >= 20),
+judged as (select doc_id, i, row_number() over (partition by s order by doc_id, i) as r from windows),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as p from judged where r > 1),
+words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as p from doc),
+kept as (
+    select doc_id, count(*) as n, string_agg(word, ' ' order by p) as t
+    from words anti join gone using (doc_id, p) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from doc left join kept using (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, decontaminate, simhash, urlfilter
+from regloom.llm import chat, decontaminate, simhash, substrings, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,12 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    done = substrings.dedup_substrings(documents, keep=["doc_id"])
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(documents)
@@ -74,6 +80,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op3_substring_dedup": op3_substring_dedup,
     "op6_simhash": op6_simhash,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
