@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, decontaminate, simhash, substrings, urlfilter
+from regloom.llm import chat, decontaminate, simhash, substrings, suffix_levels, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,18 @@ def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    done = suffix_levels.dedup_suffixes(documents, keep=["doc_id"])
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.floor(F.size("repeats") / 2).cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(documents)
@@ -81,6 +93,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_simhash": op6_simhash,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,

@@ -154,14 +154,17 @@ def changes(*columns: np.ndarray) -> np.ndarray:
 # Blocks
 
 
-def write_blocks(documents: DataFrame, id: str, text: str) -> DataFrame:
-    """The documents as rows ``block``, ``rows`` (an Arrow stream), bucketed by block."""
+def write_blocks(documents: DataFrame, id: str, text: str, batch: int = 0) -> DataFrame:
+    """The documents as rows ``block``, ``rows`` (an Arrow stream), bucketed by block.
+
+    The number of a block holds its batch, its task and its place there.
+    """
     spark = documents.sparkSession
     ship(spark)
-    path, name = scratch_path(spark, "blocks"), f"regloom_blocks_{uuid.uuid4().hex}"
+    first, path, name = batch << 48, scratch_path(spark, "blocks"), f"regloom_blocks_{uuid.uuid4().hex}"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number = first + (TaskContext.get().partitionId() << 20)
         for batch in batches:
             for part in tx.slices(batch, text, BLOCK_BYTES):
                 sink = pa.BufferOutputStream()
@@ -275,7 +278,9 @@ def window_entries(blocks: DataFrame, found: DataFrame, shape: Shape, id: str, t
             for block, rows, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 units = units_of(read_block(rows.as_buffer()), shape, id, text)
                 at, n = unpack_all(SPAN, wanted)
-                n = n.astype(np.int64)
+                # An earlier batch's segment may be wanted by several later ones.
+                at, once = np.unique(at, return_index=True)
+                n = n[once].astype(np.int64)
                 at = np.repeat(at.astype(np.int64) - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())
                 hashes = tx.Rolling(units.values, 3).of(at, at + shape.length)
                 second = tx.Rolling(units.values, 2).of(at, at + shape.length).astype(np.uint32)
@@ -305,7 +310,7 @@ def repeated_windows(entries: DataFrame) -> DataFrame:
                 own = [r for r in rows if r["entries"]]
                 hashes, second, order, at = unpack_all(WINDOW, [r["entries"] for r in own])
                 block = np.repeat(np.array([r["block"] for r in own], np.int64), [len(r["entries"]) // size for r in own])
-                sort = np.lexsort((at, block, order, second, hashes))
+                sort = np.lexsort((at, block, order, block >> 48, second, hashes))
                 again = sort[~changes(hashes[sort], second[sort])]
                 found = Found([(None, r["block"], None, r["spans"], None) for r in rows if r["spans"]])
                 found.add(block[again], at[again], np.ones(len(again)))
