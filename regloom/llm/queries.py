@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, decontaminate, simhash, substrings, suffix_levels, urlfilter
+from regloom.llm import chat, decontaminate, packing, simhash, substrings, suffix_levels, urlfilter, winnow
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,12 +48,29 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return winnow.map_with_next(documents, winnow.compare_edited, winnow.EDITED)
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(documents)
     return found.select("doc_id", simhash.as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def tokenizer_path() -> str:
+    """The file of the public tokenizer; installed on every executor under the same path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack_documents(documents, tokenizer_path(), ids=False).drop("ids")
+
+
 #: Host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -94,7 +111,9 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op6_simhash": op6_simhash,
+    "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
 }

@@ -77,7 +77,7 @@ class Segments:
     text: np.ndarray
 
 
-def _least(keys: np.ndarray, width: int) -> np.ndarray:
+def least_of_runs(keys: np.ndarray, width: int) -> np.ndarray:
     """The minimum of every run of so many keys."""
     span = 1
     while span * 2 <= width:
@@ -93,7 +93,7 @@ def segments_of(units: Units, shape: Shape) -> Segments:
     seeds = tx.Rolling(units.values).every(shape.seed)
     low = np.uint64(0xFFFFFFFF)
     keys = (seeds & ~low) | (low - np.arange(len(seeds), dtype=np.uint64))
-    picks = (low - (_least(keys, shape.length - shape.seed + 1) & low)).astype(np.int64)
+    picks = (low - (least_of_runs(keys, shape.length - shape.seed + 1) & low)).astype(np.int64)
     # Windows that would reach into the next text are none.
     begin, end = units.offsets[:-1], units.offsets[1:]
     count = np.maximum(0, end - begin - shape.length + 1)
