@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, decontaminate, packing, simhash, substrings, suffix_levels, urlfilter, winnow
+from regloom.llm import chat, decontaminate, packing, quality, simhash, substrings, suffix_levels, urlfilter, warc, winnow
+from regloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,20 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(_table(spark, folder, "pages").select("page_id", "url", "html"), path)
+    captures = warc.assemble_captures(warc.read_records(spark, path))
+    revisit = F.col("record_type") == "revisit"
+    return captures.select(
+        F.col("capture_id").alias("page_id"),
+        F.when(revisit, F.col("original.payload_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        F.when(revisit, F.col("original.capture_id")).alias("refers_to"),
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     done = substrings.dedup_substrings(documents, keep=["doc_id"])
@@ -71,6 +86,13 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer_path(), ids=False).drop("ids")
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(documents, _table(spark, folder, "labels"))
+    scored = quality.score(documents, model, keep=["doc_id"])
+    return scored.select("doc_id", F.coalesce(quality.fold("doc_id") == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 #: Host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -109,10 +131,12 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_warc": op2_warc,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
