@@ -37,11 +37,15 @@ NO_ID = np.iinfo(np.int64).min
 
 @dataclass(frozen=True)
 class Shape:
-    """What is compared: ``bytes_`` or else words, windows of ``length`` and seeds of ``seed`` units."""
+    """What is compared: ``bytes_`` or else words, windows of ``length`` and seeds of ``seed`` units.
+
+    ``group``: so many windows next to each other are first compared by what they all hold.
+    """
 
     bytes_: bool
     length: int
     seed: int
+    group: int = 1
 
 
 @dataclass
@@ -68,10 +72,12 @@ def units_of(rows: pa.RecordBatch, shape: Shape, id: str, text: str) -> Units:
 
 @dataclass
 class Segments:
-    """Stretches of windows with one anchor: first window, number of windows, hashes, text."""
+    """Stretches of windows with one anchor: first window, number of windows, how far from
+    the first to the anchor, hashes, text."""
 
     at: np.ndarray
     n: np.ndarray
+    reach: np.ndarray
     anchor: np.ndarray
     content: np.ndarray
     text: np.ndarray
@@ -89,7 +95,7 @@ def least_of_runs(keys: np.ndarray, width: int) -> np.ndarray:
 def segments_of(units: Units, shape: Shape) -> Segments:
     none = np.zeros(0, np.int64)
     if len(units.values) < shape.length:
-        return Segments(none, none, none.view(np.uint64), none.view(np.uint64), none)
+        return Segments(none, none, none, none.view(np.uint64), none.view(np.uint64), none)
     seeds = tx.Rolling(units.values).every(shape.seed)
     low = np.uint64(0xFFFFFFFF)
     keys = (seeds & ~low) | (low - np.arange(len(seeds), dtype=np.uint64))
@@ -100,20 +106,21 @@ def segments_of(units: Units, shape: Shape) -> Segments:
     text = np.flatnonzero(count)
     at = np.repeat(begin[text] - np.concatenate([[0], np.cumsum(count[text])])[:-1], count[text]) + np.arange(count.sum())
     if not len(at):
-        return Segments(none, none, none.view(np.uint64), none.view(np.uint64), none)
+        return Segments(none, none, none, none.view(np.uint64), none.view(np.uint64), none)
     picks = picks[at]
     first = np.flatnonzero(np.concatenate([[True], (picks[1:] != picks[:-1]) | (at[1:] != at[:-1] + 1)]))
     n = np.diff(np.append(first, len(at)))
     at, picks = at[first], picks[first]
     content = tx.Rolling(units.values, 2).of(at, at + n + shape.length - 1)
     content = tx.mix(content + (picks - at).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return Segments(at, n, seeds[picks], content, np.searchsorted(units.offsets, at, "right") - 1)
+    return Segments(at, n, picks - at, seeds[picks], content, np.searchsorted(units.offsets, at, "right") - 1)
 
 
 # Arrays of entries as binary values, column by column.
 
-ENTRY = ("<u8", "<u8", "<i8", "<u4", "<u2")  # anchor, content, order of the text, first window, windows (0: several)
+ENTRY = ("<u8", "<u8", "<i8", "<u4", "<u2", "<u2")  # anchor, content, order of the text, first window, windows (0: several), reach
 SPAN = ("<u4", "<u2")  # first window, windows
+WANTED = ("<u4", "<u2", "<u2")  # first window, windows, reach
 
 
 def pack(kinds: tuple[str, ...], columns: list[np.ndarray]) -> bytes:
@@ -217,16 +224,16 @@ def seed_entries(blocks: DataFrame, shape: Shape, id: str, text: str, buckets: i
                 order = units.order[s.text]
                 # By anchor, content, order of the text, place.
                 sort = np.lexsort((order, s.content, s.anchor))
-                at, n, anchor, content, order = s.at[sort], s.n[sort], s.anchor[sort], s.content[sort], order[sort]
+                at, n, reach, anchor, content, order = s.at[sort], s.n[sort], s.reach[sort], s.anchor[sort], s.content[sort], order[sort]
                 fresh = changes(anchor, content)
                 spans = pack(SPAN, [at[~fresh], n[~fresh]])
-                at, n, anchor, content, order = (x[fresh] for x in (at, n, anchor, content, order))
+                at, n, reach, anchor, content, order = (x[fresh] for x in (at, n, reach, anchor, content, order))
                 first = np.flatnonzero(changes(anchor))
                 several = np.diff(np.append(first, len(anchor))) > 1
                 each = np.repeat(several, np.diff(np.append(first, len(anchor))))
-                wanted = pack(SPAN, [at[each], n[each]])
+                wanted = pack(WANTED, [at[each], n[each], reach[each]])
                 n = np.where(each, 0, n)
-                columns = [x[first] for x in (anchor, content, order, at, n)]
+                columns = [x[first] for x in (anchor, content, order, at, n, reach)]
                 bucket = (tx.mix(columns[0]) % np.uint64(buckets)).astype(np.int64)
                 out = [(int(b), block, pack(ENTRY, [c[places] for c in columns]), None, None) for b, places in by_key(bucket)]
                 out.append((int(block) % buckets, block, None, spans, wanted))
@@ -246,10 +253,13 @@ class Found:
 
     rows: list[tuple]
 
-    def add(self, block: np.ndarray, at: np.ndarray, n: np.ndarray, wanted: bool = False) -> None:
+    def add(self, block: np.ndarray, at: np.ndarray, n: np.ndarray) -> None:
         for b, places in by_key(block):
-            blob = pack(SPAN, [at[places], n[places]])
-            self.rows.append((None, int(b), None, *((None, blob) if wanted else (blob, None))))
+            self.rows.append((None, int(b), None, pack(SPAN, [at[places], n[places]]), None))
+
+    def want(self, block: np.ndarray, at: np.ndarray, n: np.ndarray, reach: np.ndarray) -> None:
+        for b, places in by_key(block):
+            self.rows.append((None, int(b), None, None, pack(WANTED, [at[places], n[places], reach[places]])))
 
 
 def received(sent_rows: list[dict]) -> tuple[list[np.ndarray], np.ndarray, Found]:
@@ -267,9 +277,80 @@ def by_block(found: DataFrame, column: str) -> DataFrame:
     return found.where(F.col(column).isNotNull()).groupBy("block").agg(F.collect_list(column).alias("found")).withColumnRenamed("block", "found_block")
 
 
+CORE = ("<u8", "<u4", "<u2", "<u2")  # hash, first window, windows (0: several), reach
+
+
+def core_entries(blocks: DataFrame, found: DataFrame, shape: Shape, id: str, text: str, buckets: int) -> DataFrame:
+    """Of wanted segments, what groups of windows next to each other have in common, as entries.
+
+    Windows are grouped by their distance to the anchor, so equal windows are in groups with
+    equal cores. Cores that a block has several times are wanted at once.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, rows, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                units = units_of(read_block(rows.as_buffer()), shape, id, text)
+                at, n, reach = unpack_all(WANTED, wanted)
+                # An earlier batch's segment may be wanted by several later ones.
+                at, once = np.unique(at.astype(np.int64), return_index=True)
+                n, reach = n[once].astype(np.int64), reach[once].astype(np.int64)
+                low, high = (reach - n + 1) // shape.group, reach // shape.group
+                count = high - low + 1
+                owner = np.repeat(np.arange(len(at)), count)
+                group = np.arange(count.sum()) - np.repeat(np.concatenate([[0], np.cumsum(count)])[:-1] - low, count)
+                far = np.minimum(reach[owner], group * shape.group + shape.group - 1)
+                near = np.maximum((reach - n + 1)[owner], group * shape.group)
+                start = (at + reach)[owner] - group * shape.group
+                hashes = tx.mix(tx.Rolling(units.values, 3).of(start, start + shape.length - shape.group + 1) + group.astype(np.uint64))
+                columns = [hashes, at[owner] + reach[owner] - far, far - near + 1, far]
+                sort = np.argsort(hashes, kind="stable")
+                columns = [c[sort] for c in columns]
+                first = np.flatnonzero(changes(columns[0]))
+                sizes = np.diff(np.append(first, len(sort)))
+                several = np.repeat(sizes > 1, sizes)
+                wanted_here = pack(WANTED, [c[several] for c in columns[1:]])
+                columns[2] = np.where(several, 0, columns[2])
+                columns = [c[first] for c in columns]
+                bucket = (tx.mix(columns[0]) % np.uint64(buckets)).astype(np.int64)
+                out = [(int(b), block, pack(CORE, [c[places] for c in columns]), None, None) for b, places in by_key(bucket)]
+                out.append((int(block) % buckets, block, None, None, wanted_here))
+                yield sent(out)
+
+    return _wanted_blocks(blocks, found).mapInArrow(work, SENT)
+
+
+def repeated_cores(entries: DataFrame) -> DataFrame:
+    """The groups of windows whose cores are met again, as wanted by their blocks."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = sum(np.dtype(k).itemsize for k in CORE)
+        for batch in batches:
+            for rows in batch.column(1).to_pylist():
+                own = [r for r in rows if r["entries"]]
+                hashes, at, n, reach = unpack_all(CORE, [r["entries"] for r in own])
+                block = np.repeat(np.array([r["block"] for r in own], np.int64), [len(r["entries"]) // size for r in own])
+                sort = np.argsort(hashes, kind="stable")
+                first = np.flatnonzero(changes(hashes[sort]))
+                sizes = np.diff(np.append(first, len(sort)))
+                met = sort[np.repeat(sizes > 1, sizes)]
+                met = met[n[met] > 0]
+                found = Found([(None, r["block"], None, None, r["wanted"]) for r in rows if r["wanted"]])
+                found.want(block[met], at[met], n[met], reach[met])
+                if found.rows:
+                    yield sent(found.rows)
+
+    return gathered(entries).mapInArrow(work, SENT).select("block", "wanted")
+
+
 WINDOW = ("<u8", "<u4", "<i8", "<u4")  # hash, second hash, order of the text, place
 
 
+def _wanted_blocks(blocks: DataFrame, found: DataFrame) -> DataFrame:
+    wanted = by_block(found, "wanted")
+    return blocks.join(wanted, blocks["block"] == wanted["found_block"]).select("block", "rows", "found")
+
+
 def window_entries(blocks: DataFrame, found: DataFrame, shape: Shape, id: str, text: str, buckets: int) -> DataFrame:
     """The windows of wanted segments as entries for the buckets of their hashes."""
 
@@ -277,11 +358,10 @@ def window_entries(blocks: DataFrame, found: DataFrame, shape: Shape, id: str, t
         for batch in batches:
             for block, rows, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 units = units_of(read_block(rows.as_buffer()), shape, id, text)
-                at, n = unpack_all(SPAN, wanted)
-                # An earlier batch's segment may be wanted by several later ones.
-                at, once = np.unique(at, return_index=True)
+                at, n, _ = unpack_all(WANTED, wanted)
+                at, once = np.unique(at.astype(np.int64), return_index=True)
                 n = n[once].astype(np.int64)
-                at = np.repeat(at.astype(np.int64) - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())
+                at = np.repeat(at - np.concatenate([[0], np.cumsum(n)])[:-1], n) + np.arange(n.sum())
                 hashes = tx.Rolling(units.values, 3).of(at, at + shape.length)
                 second = tx.Rolling(units.values, 2).of(at, at + shape.length).astype(np.uint32)
                 order = units.order[np.searchsorted(units.offsets, at, "right") - 1]
@@ -295,9 +375,7 @@ def window_entries(blocks: DataFrame, found: DataFrame, shape: Shape, id: str, t
                 out.append((int(block) % buckets, block, None, spans, None))
                 yield sent(out)
 
-    wanted = by_block(found, "wanted")
-    joined = blocks.join(wanted, blocks["block"] == wanted["found_block"]).select("block", "rows", "found")
-    return joined.mapInArrow(work, SENT)
+    return _wanted_blocks(blocks, found).mapInArrow(work, SENT)
 
 
 def repeated_windows(entries: DataFrame) -> DataFrame:

@@ -50,9 +50,9 @@ def _matched(entries: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in batch.column(1).to_pylist():
-                (anchor, content, order, at, n), block, found = repeats.received(rows)
+                (anchor, content, order, at, n, reach), block, found = repeats.received(rows)
                 sort = np.lexsort((at, block, order, content, n == 0, anchor))
-                anchor, content, at, n, block = anchor[sort], content[sort], at[sort], n[sort], block[sort]
+                anchor, content, at, n, reach, block = (x[sort] for x in (anchor, content, at, n, reach, block))
                 whole = n > 0
                 fresh = repeats.changes(anchor, content) | ~whole
                 again = ~fresh
@@ -62,7 +62,7 @@ def _matched(entries: DataFrame) -> DataFrame:
                 kinds = np.add.reduceat(fresh.astype(np.int64), first) if len(first) else first
                 sizes = np.diff(np.append(first, len(anchor)))
                 wanted = np.repeat(kinds > 1, sizes) & fresh & whole
-                found.add(block[wanted], at[wanted], n[wanted], wanted=True)
+                found.want(block[wanted], at[wanted], n[wanted], reach[wanted])
                 if found.rows:
                     yield repeats.sent(found.rows)
 

@@ -14,8 +14,9 @@ the same bucket; levels are bucketed tables and are not shuffled for it.
 
 An entry stands for all windows of ``length`` bytes with its anchor, compared by hash: equal
 entries repeat as a whole. An anchor that begins different entries is marked as such in the
-level; the windows of its entries, of old documents too, are compared one by one when
-``resolve`` is called. See ``repeats`` for how that stays even under hot passages.
+level; the windows of its entries, of old documents too, are compared when ``resolve`` is
+called: first groups of eight by the bytes that all of them hold, then, where these are met
+again, one by one. See ``repeats`` for how that stays even under hot passages.
 
 "Earlier" is an earlier batch, in a batch a smaller id, in a document an earlier start.
 
@@ -41,7 +42,7 @@ from regloom.llm import repeats
 from regloom.llm.repeats import Shape
 from regloom.session import scratch_path
 
-LENGTH, SEED = 100, 24
+LENGTH, SEED, GROUP = 100, 24, 8
 
 RESULTS = T.StructType(
     [
@@ -52,24 +53,24 @@ RESULTS = T.StructType(
     ]
 )
 
-#: An entry of a level: anchor, content, block, first window, windows (0: several contents).
-LEVEL = ("<u8", "<u8", "<i8", "<u4", "<u2")
+#: An entry of a level: anchor, content, block, first window, windows (0: several contents), reach.
+LEVEL = ("<u8", "<u8", "<i8", "<u4", "<u2", "<u2")
 
 
 def _scan_bucket(sent_rows: list[dict], levels: list[bytes]) -> tuple[list[np.ndarray], repeats.Found]:
     """The new level's entries for a bucket, and what its suffixes repeat."""
-    (anchor, content, order, at, n), block, found = repeats.received(sent_rows)
+    (anchor, content, order, at, n, reach), block, found = repeats.received(sent_rows)
     sort = np.lexsort((at, block, order, content, n == 0, anchor))
-    anchor, content, at, n, block = anchor[sort], content[sort], at[sort], n[sort], block[sort]
+    anchor, content, at, n, reach, block = (x[sort] for x in (anchor, content, at, n, reach, block))
     first = np.flatnonzero(repeats.changes(anchor))
     sizes = np.diff(np.append(first, len(anchor)))
     heads = anchor[first]
     # Of each anchor, what the levels know: nothing, one content, or that there are several.
     known, several = np.zeros(len(heads), bool), np.zeros(len(heads), bool)
     old_content, old_block = np.zeros(len(heads), np.uint64), np.zeros(len(heads), np.int64)
-    old_at, old_n = np.zeros(len(heads), np.uint32), np.zeros(len(heads), np.uint16)
+    old_at, old_n, old_reach = np.zeros(len(heads), np.uint32), np.zeros(len(heads), np.uint16), np.zeros(len(heads), np.uint16)
     for blob in levels:
-        l_anchor, l_content, l_block, l_at, l_n = repeats.unpack(LEVEL, blob)
+        l_anchor, l_content, l_block, l_at, l_n, l_reach = repeats.unpack(LEVEL, blob)
         if not len(l_anchor):
             continue
         place = np.minimum(np.searchsorted(l_anchor, heads), len(l_anchor) - 1)
@@ -79,7 +80,8 @@ def _scan_bucket(sent_rows: list[dict], levels: list[bytes]) -> tuple[list[np.nd
         one = l_n[place] > 0
         met, place = met[one], place[one]
         known[met] = True
-        old_content[met], old_block[met], old_at[met], old_n[met] = l_content[place], l_block[place], l_at[place], l_n[place]
+        old_content[met], old_block[met] = l_content[place], l_block[place]
+        old_at[met], old_n[met], old_reach[met] = l_at[place], l_n[place], l_reach[place]
     # Several contents in a newer level: the old entry was asked for then.
     known &= ~several
     whole = n > 0
@@ -91,13 +93,13 @@ def _scan_bucket(sent_rows: list[dict], levels: list[bytes]) -> tuple[list[np.nd
     # A single mark of several contents within one block counts as several.
     split |= np.logical_or.reduceat(~whole, first) if len(first) else split
     wanted = np.repeat(split, sizes) & fresh & whole
-    found.add(block[wanted], at[wanted], n[wanted], wanted=True)
+    found.want(block[wanted], at[wanted], n[wanted], reach[wanted])
     ask = known & split
-    found.add(old_block[ask], old_at[ask], old_n[ask], wanted=True)
+    found.want(old_block[ask], old_at[ask], old_n[ask], old_reach[ask])
     # New anchors, and those that have just got several contents.
     enter = np.flatnonzero(~several & (~known | split))
     rows = first[enter]
-    return [heads[enter], content[rows], block[rows], at[rows], np.where(split[enter], 0, n[rows])], found
+    return [heads[enter], content[rows], block[rows], at[rows], np.where(split[enter], 0, n[rows]), reach[rows]], found
 
 
 def _merged(older: bytes, newer: bytes) -> bytes:
@@ -114,7 +116,7 @@ class SuffixLevels:
 
     def __init__(self, spark: SparkSession, *, id: str, text: str, length: int = LENGTH, seed: int = SEED):
         self.spark, self.id, self.text = spark, id, text
-        self.shape = Shape(True, length, seed)
+        self.shape = Shape(True, length, seed, GROUP)
         self.parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.buckets = repeats.BUCKETS_PER_PARTITION * self.parts
         #: (batches in it, table) from the largest to the smallest.
@@ -175,9 +177,13 @@ class SuffixLevels:
     def resolve(self, result, schema: T.StructType) -> DataFrame:
         """Compares the windows still open and applies ``result`` to every block of every batch."""
         found = reduce(DataFrame.unionByName, self.found)
-        entries = [repeats.window_entries(b, found, self.shape, self.id, self.text, self.buckets) for b in self.blocks]
-        path = scratch_path(self.spark, "windows")
-        repeats.repeated_windows(reduce(DataFrame.unionByName, entries)).write.parquet(path)
+        options = (self.shape, self.id, self.text, self.buckets)
+        narrow, path = scratch_path(self.spark, "cores"), scratch_path(self.spark, "windows")
+        cores = reduce(DataFrame.unionByName, [repeats.core_entries(b, found, *options) for b in self.blocks])
+        repeats.repeated_cores(cores).write.parquet(narrow)
+        close = self.spark.read.parquet(narrow)
+        windows = reduce(DataFrame.unionByName, [repeats.window_entries(b, close, *options) for b in self.blocks])
+        repeats.repeated_windows(windows).write.parquet(path)
         spans = found.select("block", "spans").unionByName(self.spark.read.parquet(path))
         done = [repeats.finish(b, spans, self.shape, self.id, self.text, result, schema) for b in self.blocks]
         return reduce(DataFrame.unionByName, done)
