@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from regloom.llm import text as tx
 from regloom.llm.ship import ship
+from regloom.llm.wrapping import unwrapped, wrapped
 from regloom.session import scratch_path
 
 #: Words in a test string, and words in a block.
@@ -248,6 +249,5 @@ def hit_words(spans: str = "spans"):
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without any occurrence, with the columns that they came with."""
-    names = documents.columns
-    found = find_occurrences(documents.select(F.struct(*names).alias("row"), F.col("text").alias("text")), benchmark, keep=["row"], **options)
-    return found.where(F.size("spans") == 0).select("row.*")
+    found = find_occurrences(wrapped(documents), benchmark, keep=["row", "text"], **options)
+    return unwrapped(found.where(F.size("spans") == 0), documents)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +36,13 @@ from regloom.session import scratch_path
 SIZE, OPEN_WINDOWS, LEAST_PIECE, FAN_IN = 2048, 32, 8, 64
 END_MARK = 1
 #: Words remembered by a worker.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 PIECES = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s")
+#: Marks that the tokenizer's pattern parts from a word of letters before them.
+MARKS = ".,!?;:|#$%&*"
 
 
 class Encoder:
@@ -51,7 +54,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Tokens of words with a space in front, and of what stands at the beginning or is marks.
         self.known: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -60,22 +65,54 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def _words(self, text: str) -> list[str]:
-        # A word keeps the space in front of it; where white space meets white space, only
-        # spaces between two other characters part words.
-        parts = text.split(" ") if not _WIDE.search(text) and text[:1] != " " and text[-1:] != " " else _CUT.split(text)
-        return [parts[0], *map(" ".__add__, parts[1:])]
+    @staticmethod
+    def words(text: str) -> list[str]:
+        """A text cut at single spaces; where white space meets white space, only at spaces between two other characters."""
+        if _WIDE.search(text) or text[:1] == " " or text[-1:] == " ":
+            return _CUT.split(text)
+        return text.split(" ")
+
+    def _learn(self, memory: dict[str, bytes], words: set[str], before: str) -> None:
+        new = sorted(words - memory.keys())
+        for at in range(0, len(new), 10_000):
+            some = new[at : at + 10_000]
+            for word, found in zip(some, self.tokenizer.encode_batch_fast([before + w for w in some], add_special_tokens=False)):
+                memory[word] = array("I", found.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [self._words(t) for t in texts]
-        if len(self.known) > REMEMBERED:
+        if len(self.known) + len(self.bare) > REMEMBERED:
             self.known.clear()
-        missing = sorted(set().union(*words) - self.known.keys())
-        for at in range(0, len(missing), 10_000):
-            some = missing[at : at + 10_000]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+            self.bare.clear()
+        parts = [self.words(t) for t in texts]
+        found = [[*map(self.known.get, p)] for p in parts]
+        missing, holes = set(), []
+        for p, f in zip(parts, found):
+            f[0] = b""
+            own, at = [], 0
+            if None in f:
+                while True:
+                    try:
+                        at = f.index(None, at + 1)
+                    except ValueError:
+                        break
+                    own.append(at)
+                missing.update([p[i] for i in own])
+            holes.append(own)
+        # Letters and the marks behind them are tokens of their own, so they are learned apart.
+        split = {}
+        for word in missing:
+            stem = word.rstrip(MARKS)
+            if len(stem) < len(word) and stem.isalpha() and max(stem) < "\u0250":
+                split[word] = stem
+        self._learn(self.known, (missing - split.keys()) | set(split.values()), " ")
+        self._learn(self.bare, {w[len(s) :] for w, s in split.items()} | {p[0] for p in parts}, "")
+        for word, stem in split.items():
+            self.known[word] = self.known[stem] + self.bare[word[len(stem) :]]
+        for p, f, own in zip(parts, found, holes):
+            f[0] = self.bare[p[0]]
+            for i in own:
+                f[i] = self.known[p[i]]
+        return list(map(b"".join, found))
 
 
 class Windows:

@@ -1,0 +1,204 @@
+"""One document of each group of near duplicates, by SimHash over a byte-position index.
+
+Two texts are near duplicates if their sets of shingles of five words have a Jaccard
+similarity of at least 0.8. That is far more than four bits of 64, so this stage takes
+fingerprints of 192 bits over the set of a text's words. Two fingerprints that differ in at
+most 15 bits share at least 9 of 24 bytes at the same positions: the guaranteed minimum. The
+positions are in four groups of six; whoever shares nine shares three of one group, and so
+meets in the list of those three bytes. Pairs that meet are tallied over all positions; from
+nine on they are candidates, and candidates are verified by their shingles.
+
+Of its candidates in a list each text names the one that shares most and the one of least
+hash, so a list of n texts gives at most 2n pairs; groups are what verified pairs connect.
+Texts that only a pair named by neither would connect both stay. Equal texts are one from the
+start. Documents are kept as blocks (see ``repeats``): neither the verification nor the
+result shuffles texts.
+
+Defined results: of each group the document of least id stays, null ids last; of equal rows
+one stays. Null and empty texts are equal. A text of fewer than five words has one shingle.
+Columns stay as they are.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
+
+from regloom.llm import repeats, simhash
+from regloom.llm import text as tx
+from regloom.llm.components import components
+from regloom.session import scratch_path
+
+WORDS, SIMILARITY = 5, 0.8
+POSITIONS, GROUP, SHARED = 24, 6, 9
+CHOICES = [c for g in range(0, POSITIONS, GROUP) for c in combinations(range(g, g + GROUP), 3)]
+
+
+def _word_runs(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of so many words (or of a shorter text's words), and the texts' offsets."""
+    joined, starts, ends, firsts = simhash.joined_words(column)
+    values = tx.Rolling(tx.BYTE_VALUES[np.frombuffer(joined, np.uint8)]).of(starts, ends)
+    n = np.diff(firsts)
+    counts = np.where(n == 0, 0, np.maximum(1, n - words + 1))
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    first = np.repeat(firsts[:-1] - offsets[:-1], counts) + np.arange(offsets[-1])
+    last = np.minimum(first + words, np.repeat(firsts[1:], counts))
+    return tx.Rolling(values, 5).of(first, last), offsets
+
+
+def _sets(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct hashes in order, and their offsets."""
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    order = np.lexsort((hashes, text))
+    fresh = order[repeats.changes(text[order], hashes[order])]
+    return hashes[fresh], np.searchsorted(text[fresh], np.arange(len(offsets)))
+
+
+def wide_fingerprints(column: pa.Array) -> np.ndarray:
+    """Three words of 64 bits for each text."""
+    hashes, offsets = _sets(*_word_runs(column, 1))
+    return np.stack([simhash.fingerprints(tx.mix(hashes + np.uint64(k)), offsets) for k in (1, 2, 3)], 1)
+
+
+def _prints(blocks: DataFrame, id: str, text: str) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = repeats.read_block(data.as_buffer())
+                column, n = rows.column(text), rows.num_rows
+                nodes = np.array([xxh64_intdigest(t or "") for t in column.to_pylist()], np.uint64).view(np.int64)
+                prints = wide_fingerprints(column)
+                columns = [pa.array(nodes), rows.column(id).cast(pa.int64()), pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32))]
+                blobs = prints.tobytes()
+                columns.append(pa.array([blobs[24 * i : 24 * i + 24] for i in range(n)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["node", "id", "block", "row", "print"])
+
+    return blocks.select("block", "rows").mapInArrow(work, "node long, id long, block long, row int, print binary")
+
+
+def _named_pairs(prints: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text of a list, the candidate that shares most bytes and the one of least hash."""
+    octets = prints.view(np.uint8).reshape(-1, POSITIONS)
+    left, right = [], []
+    step = max(1, (1 << 20) // len(nodes))
+    for at in range(0, len(nodes), step):
+        part = octets[at : at + step]
+        shared = np.zeros((len(part), len(nodes)), np.int8)
+        for p in range(POSITIONS):
+            shared += part[:, p, None] == octets[None, :, p]
+        shared[np.arange(len(part)), np.arange(at, at + len(part))] = 0
+        close = shared >= SHARED
+        some = np.flatnonzero(close.any(1))
+        # Nodes are in order, so the first of equals is the least.
+        left += [some + at, some + at]
+        right += [shared[some].argmax(1), close[some].argmax(1)]
+    a, b = nodes[np.concatenate(left)], nodes[np.concatenate(right)]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _candidates(reps: DataFrame, rows: int) -> DataFrame:
+    """Pairs of nodes that share enough bytes, as named by either."""
+    buckets = max(16, rows >> 18)
+    octets_of = lambda prints: prints.view(np.uint8).reshape(-1, POSITIONS).astype(np.uint64)
+
+    def keys(octets: np.ndarray, choice: tuple[int, ...]) -> np.ndarray:
+        return (octets[:, choice[0]] << np.uint64(16)) | (octets[:, choice[1]] << np.uint64(8)) | octets[:, choice[2]]
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column(0).to_numpy()
+            prints = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(-1, 3)
+            octets = octets_of(prints)
+            for n, choice in enumerate(CHOICES):
+                bucket = (tx.mix(keys(octets, choice) + np.uint64(n << 32)) % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(bucket, kind="stable")
+                places = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                blobs = [nodes[o].tobytes() + prints[o].tobytes() for o in (order[s:e] for s, e in zip(places[:-1], places[1:]))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets), pa.int32()), pa.array(np.full(buckets, n), pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "choice", "entries"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, n), blobs in simhash._runs(batches):
+            sizes = [len(b) // 32 for b in blobs]
+            nodes = np.concatenate([np.frombuffer(b, np.int64, m) for b, m in zip(blobs, sizes)])
+            prints = np.concatenate([np.frombuffer(b, np.uint64, 3 * m, 8 * m) for b, m in zip(blobs, sizes)]).reshape(-1, 3)
+            key = keys(octets_of(prints), CHOICES[n])
+            order = np.lexsort((nodes, key))
+            nodes, prints, key = nodes[order], prints[order], key[order]
+            first = np.flatnonzero(repeats.changes(key))
+            length = np.diff(np.append(first, len(key)))
+            found = [_named_pairs(prints[s : s + m], nodes[s : s + m]) for s, m in zip(first[length > 1].tolist(), length[length > 1].tolist())]
+            if found:
+                a, b = (np.concatenate(x) for x in zip(*found))
+                a, b = np.unique(np.stack([a, b]), axis=1) if len(a) else (a, b)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = reps.select("node", "print").mapInArrow(index, "bucket int, choice int, entries binary")
+    return lists.repartition(parts, "bucket", "choice").sortWithinPartitions("bucket", "choice").mapInArrow(meet, "a long, b long").distinct()
+
+
+def _profiles(blocks: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+    """The shingles of wanted rows (node, block, row), 32 bits of each hash, in order."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, found in zip(batch.column(0), batch.column(1).to_pylist()):
+                rows = repeats.read_block(data.as_buffer())
+                column = rows.column(text).take(pa.array([f["row"] for f in found], pa.int64()))
+                hashes, offsets = _word_runs(column, WORDS)
+                values, cut = _sets(hashes >> np.uint64(32), offsets)
+                data4 = values.astype("<u4").tobytes()
+                blobs = [data4[4 * s : 4 * e] for s, e in zip(cut[:-1].tolist(), cut[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array([f["node"] for f in found], pa.int64()), pa.array(blobs, pa.binary())], ["node", "shingles"])
+
+    by_block = wanted.groupBy(F.col("block").alias("at")).agg(F.collect_list(F.struct("node", "row")).alias("found"))
+    return blocks.join(by_block, blocks["block"] == by_block["at"]).select("rows", "found").mapInArrow(work, "node long, shingles binary")
+
+
+def _verified(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+                both = len(np.intersect1d(u, v, assume_unique=True))
+                keep.append(both >= SIMILARITY * (len(u) + len(v) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = profiles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = profiles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(work, "a long, b long")
+
+
+def drop_near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents of which each group of near duplicates keeps one."""
+    spark = documents.sparkSession
+    blocks = repeats.write_blocks(documents, id, text)
+    prints_path, pairs_path, profile_path = (scratch_path(spark, x) for x in ("prints", "pairs", "profiles"))
+    _prints(blocks, id, text).write.parquet(prints_path)
+    prints = spark.read.parquet(prints_path)
+    # Null ids last: of a group, the row that stays.
+    place = F.struct(F.col("id").isNull().alias("nameless"), "id", "block", "row")
+    reps = prints.groupBy("node").agg(F.min(place).alias("place"), F.min("print").alias("print"))
+    _candidates(reps, prints.count()).write.parquet(pairs_path)
+    pairs = spark.read.parquet(pairs_path)
+    named = pairs.select(F.explode(F.array("a", "b")).alias("named")).distinct()
+    wanted = reps.join(named, reps["node"] == named["named"], "left_semi").select("node", "place.block", "place.row")
+    _profiles(blocks, wanted, text).write.parquet(profile_path)
+    roots = components(_verified(pairs, spark.read.parquet(profile_path)))
+    grouped = reps.join(roots.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
+    kept = grouped.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("place").alias("place"))
+    stay = kept.groupBy(F.col("place.block").alias("at")).agg(F.collect_list("place.row").alias("stay"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, rows in zip(batch.column(0), batch.column(1).to_pylist()):
+                yield repeats.read_block(data.as_buffer()).take(pa.array(sorted(rows), pa.int64()))
+
+    return blocks.join(stay, blocks["block"] == stay["at"]).select("rows", "stay").mapInArrow(work, documents.schema)

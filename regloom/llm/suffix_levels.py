@@ -22,7 +22,8 @@ again, one by one. See ``repeats`` for how that stays even under hot passages.
 
 Defined results: null and empty texts have no bytes; a text of fewer than ``length`` bytes
 loses nothing. Null ids come first, rows with equal ids are in the order of their blocks.
-``kept`` is binary, since a removed run may begin or end inside a character. Result columns
+``kept`` is binary, since a removed run may begin or end inside a character, unless
+``characters`` are kept whole. Result columns
 replace columns of the same name, other columns are kept. A text is held in memory whole.
 """
 
@@ -195,7 +196,17 @@ class SuffixLevels:
         self.levels = []
 
 
-def _result(rows: pa.RecordBatch, units: repeats.Units, covered: np.ndarray, keep: list[str]) -> pa.RecordBatch:
+def _whole_characters(data: np.ndarray, covered: np.ndarray) -> np.ndarray:
+    """Covers all bytes of a character of which one is covered."""
+    if not len(data):
+        return covered
+    character = np.cumsum((data & 0xC0) != 0x80) - 1
+    return (np.bincount(character, covered) > 0)[character]
+
+
+def _result(rows: pa.RecordBatch, units: repeats.Units, covered: np.ndarray, keep: list[str], characters: bool) -> pa.RecordBatch:
+    if characters:
+        covered = _whole_characters(units.data, covered)
     starts, ends, firsts = repeats.runs(covered, units.offsets)
     begin = np.repeat(units.offsets[:-1], np.diff(firsts))
     flat = np.stack([starts - begin, ends - begin], 1).reshape(-1)
@@ -210,10 +221,13 @@ def _result(rows: pa.RecordBatch, units: repeats.Units, covered: np.ndarray, kee
 
 
 def dedup_suffixes(
-    documents: DataFrame, *, id: str = "doc_id", text: str = "text", keep: list[str] | None = None, batches: int = 4, length: int = LENGTH, seed: int = SEED
+    documents: DataFrame, *, id: str = "doc_id", text: str = "text", keep: list[str] | None = None, batches: int = 4, length: int = LENGTH,
+    seed: int = SEED, characters: bool = False,
 ) -> DataFrame:
     """Adds ``n_bytes``, ``n_removed``, ``repeats`` (flat pairs of start and end, in bytes) and ``kept``.
 
+    With ``characters``, runs are widened to whole characters in the end, so ``kept`` is UTF-8.
+
     The documents are appended in so many batches of about equal size, by ascending id.
     """
     wanted = [c for c in (keep if keep is not None else documents.columns) if c.lower() not in RESULTS.names]
@@ -225,6 +239,7 @@ def dedup_suffixes(
         for i in range(len(cuts) + 1):
             family.append(rows.where(number == i))
         schema = T.StructType([*(documents.schema[c] for c in wanted), *RESULTS.fields])
-        return family.resolve(lambda r, units, covered: _result(r, units, covered, wanted), schema)
+        return family.resolve(lambda r, units, covered: _result(r, units, covered, wanted, characters), schema)
     finally:
         family.close()
+

@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from regloom.llm.ship import ship
 from regloom.session import scratch_path
 
-#: Captures in a file, and zlib's level.
-MOST_CAPTURES, LEVEL = 20_000, 4
+#: Captures in a file, zlib's level, and bytes given to it at once in reading.
+MOST_CAPTURES, LEVEL, FEED = 20_000, 4, 4096
 
 
 def member(data: bytes) -> bytes:
@@ -114,13 +114,18 @@ def write_archives(pages: DataFrame, path: str, *, id: str = "page_id", url: str
 
 def members(content: bytes) -> Iterator[bytes]:
     """What each gzip member of a file holds; empty ones are left out."""
-    view = memoryview(content)
-    while len(view):
-        press = zlib.decompressobj(31)
-        data = press.decompress(view)
-        if not press.eof:
-            raise ValueError("the archive ends inside a record")
-        view = view[len(view) - len(press.unused_data) :]
+    view, at = memoryview(content), 0
+    while at < len(view):
+        press, parts = zlib.decompressobj(31), []
+        # Fed bit by bit, so that what is left over of a step stays small.
+        while not press.eof:
+            if at >= len(view):
+                raise ValueError("the archive ends inside a record")
+            step = view[at : at + FEED]
+            parts.append(press.decompress(step))
+            at += len(step)
+        at -= len(press.unused_data)
+        data = b"".join(parts)
         if data:
             yield data
 
