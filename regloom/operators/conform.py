@@ -15,10 +15,15 @@ def _columns_of(df: DataFrame, kind) -> set[str]:
     return {f.name for f in df.schema.fields if isinstance(f.dataType, kind)}
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def drop_tokens(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
     """Null in place of the tokens, in every string column."""
     strings = _columns_of(df, T.StringType)
-    return df.selectExpr(*[without_tokens(n, tokens) if n in strings else n for n in df.columns])
+    return df.selectExpr(*[without_tokens(n, tokens) if n in strings else quoted(n) for n in df.columns])
 
 
 def rename_headers(df: DataFrame, layout: Layout) -> DataFrame:
@@ -38,22 +43,22 @@ def conform(
     cast = "cast" if strict else "try_cast"
 
     def typed(field: Field) -> str:
-        source = field.header if field.header in headers else "null"
+        source = quoted(field.header) if field.header in headers else "null"
         if source == "null" or field.type != "string":
             source = f"{cast}({source} as {field.type})"
         return f"{source} as {field.name}"
 
-    return df.selectExpr(*keep, *[typed(field) for field in layout.fields])
+    return df.selectExpr(*map(quoted, keep), *[typed(field) for field in layout.fields])
 
 
-def fill_missing(df: DataFrame) -> DataFrame:
-    """Empty text in place of null, and null in place of NaN."""
-    strings = _columns_of(df, T.StringType)
+def fill_missing(df: DataFrame, identifiers: Sequence[str] = ()) -> DataFrame:
+    """Empty text in place of null, and null in place of NaN; identifiers stay null."""
+    strings = _columns_of(df, T.StringType) - set(identifiers)
     floats = _columns_of(df, (T.DoubleType, T.FloatType))
 
     def filled(name: str) -> str:
         if name in strings:
-            return f"coalesce({name}, '') as {name}"
-        return f"nanvl({name}, null) as {name}" if name in floats else name
+            return f"coalesce({quoted(name)}, '') as {quoted(name)}"
+        return f"nanvl({quoted(name)}, null) as {quoted(name)}" if name in floats else quoted(name)
 
     return df.selectExpr(*[filled(name) for name in df.columns])

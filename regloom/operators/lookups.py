@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from regloom.functions.codes import COMPANY_TYPES, HEADCOUNTS, NO_HEADCOUNT
 
-# Copies of the dimension and shares of the facts in a dimension join. One code
-# holding a third of the facts is then spread over this many tasks.
-SHARES = 32
-
 
 def code_list(spark: SparkSession, codes: Mapping[str, str]) -> DataFrame:
     """An inline relation (code, label)."""
@@ -64,23 +60,11 @@ def unknown_codes(df: DataFrame, code: Column, codes: Mapping[str, str]) -> Data
 
 
 def join_dimension(
-    facts: DataFrame,
-    dimension: DataFrame,
-    fact_key: str,
-    dimension_key: str,
-    spread_by: str,
-    shares: int = SHARES,
+    facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str
 ) -> DataFrame:
     """Inner join of facts to a dimension table of unknown size.
 
-    No broadcast is forced: Spark takes one when the dimension is under
-    ``spark.sql.autoBroadcastJoinThreshold``. Otherwise both sides are shuffled on
-    key and share, so that a hot key is met by ``shares`` tasks. The share comes
-    from ``spread_by`` and is the same on a retried task.
+    Spark takes a broadcast when the dimension is under its size threshold, and else
+    splits the partitions of hot codes at run time.
     """
-    share = F.pmod(F.xxhash64(spread_by), F.lit(shares)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))
-    left = facts.withColumn("_share", share)
-    right = dimension.withColumn("_copy", copies)
-    same = (left[fact_key] == right[dimension_key]) & (left["_share"] == right["_copy"])
-    return left.join(right, same, "inner").drop("_share", "_copy")
+    return facts.join(dimension, facts[fact_key] == dimension[dimension_key], "inner")

@@ -37,13 +37,15 @@ class Constant:
 class Upsert:
     """Which target columns an insert and an update write, and from what.
 
-    Both map a target column to a source column name or a ``Constant``.
+    Both map a target column to a source column name or a ``Constant``. ``complete``
+    says that every source row has a whole key; plans then have no branch for others.
     """
 
     table: str
     keys: tuple[str, ...]
     insert: Mapping[str, str | Constant]
     update: Mapping[str, str | Constant]
+    complete: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -82,13 +84,15 @@ def _sql(source: str | Constant) -> str:
     return source.sql if isinstance(source, Constant) else source
 
 
-def split_by_key(df: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame | None]:
-    """Rows with a complete key, and the others; None if the plan rules them out.
+def split_by_key(
+    df: DataFrame, names: list[str], complete: bool = False
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with a complete key, and the others; None if there are none by the plan or by promise.
 
     A row without a complete key matches nothing. Apart from the rest, such rows
     need no shuffle and cannot pile up in one partition.
     """
-    if not any(df.schema[name].nullable for name in names):
+    if complete or not any(df.schema[name].nullable for name in names):
         return df, None
     present = " and ".join(f"{n} is not null" for n in names)
     absent = " or ".join(f"{n} is null" for n in names)
@@ -245,6 +249,6 @@ def upsert(
     ``sequence`` must be unique among rows that share a key. Source rows without a
     complete key never conflict and are appended.
     """
-    keyed, loose = split_by_key(source, [spec.insert[k] for k in spec.keys])
+    keyed, loose = split_by_key(source, [spec.insert[k] for k in spec.keys], spec.complete)
     unkeyed = None if loose is None else inserts(loose, spec)
     return merge(target, collapse(keyed, spec, sequence), unkeyed, spec)

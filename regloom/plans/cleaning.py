@@ -20,7 +20,6 @@ from regloom.operators.conform import conform, drop_tokens, fill_missing
 from regloom.operators.filters import commercial_companies, is_open, named, open_establishments
 from regloom.operators.lookups import with_company_type, with_employee_count
 from regloom.operators.report import RowCounts
-from regloom.operators.validate import valid_rows
 from regloom.sources.layouts import ESTABLISHMENTS, LEGAL_UNITS
 
 # Constants of the cleaned tables.
@@ -28,6 +27,9 @@ INSERTED_SUFFIX = " - insert"
 LEGAL_COUNTRY = "FRANCE"
 LEGAL_COUNTRY_CODE = "FR"
 
+# Identifiers: never filled, so that a missing one is not taken for a key.
+IDENTIFIERS = ("company_number", "siret")
+
 OUTCOME, CLEAN, QUARANTINED = "outcome", "clean", "quarantined"
 
 
@@ -47,7 +49,13 @@ def with_provenance(df: DataFrame, source: str | Column, as_of: datetime) -> Dat
 
 def read_establishments(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Named, typed rows with missing values made uniform; nothing dropped yet."""
-    return fill_missing(conform(drop_tokens(raw), ESTABLISHMENTS, strict=False, keep=keep))
+    typed = conform(drop_tokens(raw), ESTABLISHMENTS, strict=False, keep=keep)
+    return fill_missing(typed, identifiers=IDENTIFIERS)
+
+
+def identified(company_number: Column, establishment: Column) -> Column:
+    """Whether a row has a valid company number and an establishment number."""
+    return valid_company_number(company_number) & F.coalesce(F.trim(establishment) != "", F.lit(False))
 
 
 def with_establishment_columns(df: DataFrame) -> DataFrame:
@@ -69,10 +77,10 @@ def with_establishment_columns(df: DataFrame) -> DataFrame:
 def clean_establishments(
     raw: DataFrame, source: str | Column, as_of: datetime, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Open establishments with a valid company number, 60 columns and ``keep``."""
+    """Open establishments with valid identifiers, 60 columns and ``keep``."""
     return (
         read_establishments(raw, keep)
-        .transform(valid_rows)
+        .filter(identified(F.col("company_number"), F.col("siret")))
         .transform(open_establishments)
         .transform(with_establishment_columns)
         .transform(with_provenance, source, as_of)
@@ -84,7 +92,7 @@ def sort_out_establishments(
 ) -> DataFrame:
     """Cleaned and quarantined establishments in one pass, told apart by ``outcome``."""
     rows = read_establishments(raw, keep)
-    valid = valid_company_number(F.col("company_number"))
+    valid = identified(F.col("company_number"), F.col("siret"))
     still_open = is_open(F.col("AdministrativeStatus"))
     rows = counts.count(
         rows, rows_before=valid, rows_after=valid & still_open, rows_quarantined=~valid
@@ -135,7 +143,7 @@ def clean_legal_units(
         kept_legal_units(raw, keep)
         .transform(with_company_type)
         .transform(with_employee_count)
-        .filter("company_type is not null and EmployeeCount is not null")
+        .filter("company_type is not null and EmployeeCount is not null and company_number is not null")
         .transform(with_legal_unit_columns)
         .transform(with_provenance, source, as_of)
     )
@@ -146,15 +154,17 @@ def sort_out_legal_units(
 ) -> DataFrame:
     """Cleaned and quarantined legal units in one pass, told apart by ``outcome``.
 
-    ``unknown_codes`` names the code lists that lack the code of a quarantined unit.
+    ``unknown_codes`` names the code lists that lack the code of a quarantined unit, and
+    the company number where that is missing.
     """
     rows = kept_legal_units(counts.count(raw, rows_before=F.lit(True)), keep)
     rows = rows.transform(with_company_type).transform(with_employee_count)
     no_type, no_count = F.col("company_type").isNull(), F.col("EmployeeCount").isNull()
-    unlisted = no_type | no_count
+    nameless = F.col("company_number").isNull()
+    unlisted = no_type | no_count | nameless
     rows = counts.count(rows, rows_after=~unlisted, rows_quarantined=unlisted)
     unknown = F.concat_ws(
-        ",", F.when(no_type, "company_type"), F.when(no_count, "employee_count")
+        ",", F.when(no_type, "company_type"), F.when(no_count, "employee_count"), F.when(nameless, "company_number")
     )
     return (
         rows.withColumn("unknown_codes", unknown)

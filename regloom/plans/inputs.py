@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regloom.plans.cleaning import clean_establishments, clean_legal_units
+from regloom.sources.layouts import ESTABLISHMENTS, LEGAL_UNITS, Layout
 
 AS_OF = datetime(2024, 8, 1)
 BEFORE = datetime(2024, 7, 1)
@@ -25,33 +26,56 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def etab_raw(spark: SparkSession, folder: str) -> DataFrame:
+def _filled(layout: Layout, given: list[str], seq: str, shift: int) -> list[str]:
+    """A value for every header that is not given, another for each header and each shift."""
+    others = [f for f in layout.fields if f.header not in given]
+    text = {
+        "int": f"string(2000 + ({seq} + {shift}) % 20)",
+        "double": f"string({seq} + {shift})",
+    }
+    return [
+        f"{text.get(f.type, f"'e{i}-' || string(({seq} + {shift}) % {7 + i})")} as {f.header}"
+        for i, f in enumerate(others)
+    ]
+
+
+def etab_raw(spark: SparkSession, folder: str, shift: int = 0) -> DataFrame:
+    """Every column of the wide vintage; ``shift`` changes their values, not the ``siret``."""
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
     orders = table(spark, folder, "orders")
     sites = orders.join(customers, orders.o_custkey == customers.c_custkey)
     sites = sites.join(nations, sites.c_nationkey == nations.n_nationkey)
-    return sites.selectExpr(
-        "o_orderkey as seq",
-        "lpad(string(o_custkey), 9, '0') as siren",
-        "lpad(string(o_orderkey % 100000), 5, '0') as nic",
-        "lpad(string(o_orderkey), 14, '0') as siret",
-        "case o_orderstatus when 'F' then 'F' when 'O' then 'A' end"
-        " as etatAdministratifEtablissement",
-        "case o_orderpriority when '1-URGENT' then 'true' when '5-LOW' then null else 'false' end"
-        " as etablissementSiege",
-        "case o_orderkey % 9 when 0 then 'NN' when 1 then 'x' else string(1 + o_orderkey % 4) end"
-        " as nombrePeriodesEtablissement",
-        "case o_orderkey % 5 when 0 then '[ND]' when 1 then '' when 2 then null"
-        " else c_mktsegment end as complementAdresseEtablissement",
-        "case when o_orderkey % 3 != 0 then string(o_orderkey % 200) end as numeroVoieEtablissement",
-        "case o_orderkey % 7 when 0 then 'B' when 1 then 'NN' end as indiceRepetitionEtablissement",
-        "case when o_orderkey % 4 != 0 then 'RUE' end as typeVoieEtablissement",
-        "n_name as libelleVoieEtablissement",
-        "n_name as libelleCommuneEtablissement",
-        "case when o_orderkey % 11 != 0 then lpad(string(o_orderkey % 4), 5, '0') end"
-        " as codePostalEtablissement",
-    )
+    office, other = ("false", "true") if shift else ("true", "false")
+    given = {
+        "siren": f"lpad(string(o_custkey + {shift}), 9, '0')",
+        "nic": f"lpad(string((o_orderkey + {shift}) % 100000), 5, '0')",
+        "siret": "case when o_orderkey % 23 != 0 then lpad(string(o_orderkey), 14, '0') end",
+        "etatAdministratifEtablissement": "case o_orderstatus when 'F' then 'F' when 'O' then 'A' end",
+        "etablissementSiege": f"case o_orderpriority when '1-URGENT' then '{office}'"
+        f" when '5-LOW' then null else '{other}' end",
+        "nombrePeriodesEtablissement": "case o_orderkey % 9 when 0 then 'NN' when 1 then 'x'"
+        f" else string(1 + (o_orderkey + {shift}) % 4) end",
+        "complementAdresseEtablissement": f"case (o_orderkey + {shift}) % 5 when 0 then '[ND]'"
+        " when 1 then '' when 2 then null else c_mktsegment end",
+        "numeroVoieEtablissement": "case when o_orderkey % 3 != 0"
+        f" then string((o_orderkey + {shift}) % 200) end",
+        "indiceRepetitionEtablissement": f"case (o_orderkey + {shift}) % 7 when 0 then 'B'"
+        " when 1 then 'NN' end",
+        "typeVoieEtablissement": f"case when (o_orderkey + {shift}) % 4 != 0 then 'RUE' end",
+        "libelleVoieEtablissement": "n_name",
+        "libelleCommuneEtablissement": f"n_name || '{' B' * shift}'",
+        "codePostalEtablissement": "case when o_orderkey % 11 != 0"
+        f" then lpad(string((o_orderkey + {shift}) % 4), 5, '0') end",
+    }
+    columns = [f"{e} as {h}" for h, e in given.items()]
+    columns += _filled(ESTABLISHMENTS, list(given), "o_orderkey", shift)
+    return sites.selectExpr("o_orderkey as seq", *columns)
+
+
+def etab_raw_early(spark: SparkSession, folder: str) -> DataFrame:
+    """The establishments with headers of the narrower vintage."""
+    return etab_raw(spark, folder).select("seq", *ESTABLISHMENTS.early_headers)
 
 
 def etab_raw_late(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,20 +93,25 @@ def etab_clean(spark: SparkSession, folder: str) -> DataFrame:
     return clean_establishments(etab_raw(spark, folder), ETAB_FILE, AS_OF, keep=["seq"])
 
 
-def legal_raw(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "customer").selectExpr(
-        "c_custkey as seq",
-        "lpad(string(c_custkey), 9, '0') as siren",
-        "case c_custkey % 13 when 0 then '[ND]' when 1 then null else c_name end"
-        " as denominationUniteLegale",
-        "case c_custkey % 6 when 0 then '5499' when 1 then '5710' when 2 then '5505'"
-        " when 3 then '1000' when 4 then '0000' end as categorieJuridiqueUniteLegale",
-        "case c_custkey % 7 when 0 then '00' when 1 then '01' when 2 then '2' when 3 then '53'"
-        " when 4 then 'NN' when 5 then 'null' end as trancheEffectifsUniteLegale",
-        "case c_custkey % 5 when 0 then 'A' when 1 then 'C' end as etatAdministratifUniteLegale",
-        "lpad(string(c_nationkey), 2, '0') as activitePrincipaleUniteLegale",
-        "string(1990 + c_custkey % 30) || '-01-01' as dateCreationUniteLegale",
-    )
+def legal_raw(spark: SparkSession, folder: str, shift: int = 0) -> DataFrame:
+    """Every column; ``shift`` changes their values, not the ``siren``."""
+    key = f"(c_custkey + {shift})"
+    given = {
+        "siren": "case when c_custkey % 29 != 0 then lpad(string(c_custkey), 9, '0') end",
+        "denominationUniteLegale": "case c_custkey % 13 when 0 then '[ND]' when 1 then null"
+        f" else c_name || '{' B' * shift}' end",
+        "categorieJuridiqueUniteLegale": f"case {key} % 6 when 0 then '5499' when 1 then '5710'"
+        " when 2 then '5505' when 3 then '1000' when 4 then '0000' end",
+        "trancheEffectifsUniteLegale": f"case {key} % 7 when 0 then '00' when 1 then '01'"
+        " when 2 then '2' when 3 then '53' when 4 then 'NN' when 5 then 'null' end",
+        "etatAdministratifUniteLegale": f"case {key} % 5 when 0 then 'A' when 1 then 'C' end",
+        "activitePrincipaleUniteLegale": "case when c_custkey % 8 = 0 then '99'"
+        " else lpad(string(c_nationkey), 2, '0') end",
+        "dateCreationUniteLegale": f"string(1990 + {key} % 30) || '-01-01'",
+    }
+    columns = [f"{e} as {h}" for h, e in given.items()]
+    columns += _filled(LEGAL_UNITS, list(given), "c_custkey", shift)
+    return table(spark, folder, "customer").selectExpr("c_custkey as seq", *columns)
 
 
 def legal_clean(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,9 +119,8 @@ def legal_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def naf_translations(spark: SparkSession, folder: str) -> DataFrame:
-    """Activity names; one region is left out, so the inner join drops rows."""
-    nations = table(spark, folder, "nation").filter("n_regionkey != 4")
-    return nations.selectExpr(
+    """Activity names; one code of the legal units has none."""
+    return table(spark, folder, "nation").selectExpr(
         "lpad(string(n_nationkey), 2, '0') as code",
         "n_name as name_en",
         "'FR_' || n_name as name_fr",
@@ -115,24 +143,30 @@ def batch_durations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def snapshots(
-    raw: DataFrame, keys: DataFrame, key: str, loaded: float, new: float
+    earlier: DataFrame, newer: DataFrame, keys: DataFrame, key: str, loaded: float, new: float
 ) -> tuple[DataFrame, DataFrame]:
-    """An earlier and a newer snapshot out of the same rows.
+    """An earlier and a newer snapshot that share keys.
 
     The earlier one has the rows up to ``loaded`` of the highest key, the newer one
-    those beyond ``new`` of it. Together they hold every row.
+    those beyond ``new`` of it. Together they hold every key.
     """
     highest = keys.agg(F.max(key))
     seq = F.col("seq")
-    return raw.filter(seq <= loaded * highest.scalar()), raw.filter(seq > new * highest.scalar())
+    return (
+        earlier.filter(seq <= loaded * highest.scalar()),
+        newer.filter(seq > new * highest.scalar()),
+    )
 
 
 def etab_snapshots(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The two overlap by three tenths of the key range, with other values in every column."""
     orders = table(spark, folder, "orders")
-    return snapshots(etab_raw(spark, folder), orders, "o_orderkey", 0.3, 0.3)
+    raws = etab_raw(spark, folder), etab_raw(spark, folder, shift=1)
+    return snapshots(*raws, orders, "o_orderkey", 0.6, 0.3)
 
 
 def legal_snapshots(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The two overlap by a tenth of the key range."""
+    """The two overlap by four tenths of the key range, with other values in most columns."""
     customers = table(spark, folder, "customer")
-    return snapshots(legal_raw(spark, folder), customers, "c_custkey", 0.4, 0.3)
+    raws = legal_raw(spark, folder), legal_raw(spark, folder, shift=1)
+    return snapshots(*raws, customers, "c_custkey", 0.7, 0.3)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,8 @@ from regloom.plans import cleaning, loading, targets
 from regloom.plans.cleaning import CLEAN, OUTCOME
 from regloom.plans.loading import SEQUENCE
 from regloom.sources.csv import scan_csv
-from regloom.sources.tables import publish
+from regloom.sources.tables import Manifest, attach, switch, write_version
+from regloom.streaming.loader import Feed, Intake, last_batch, merged, take_in
 
 # Column with the name of the file a row is from.
 FILE = "source_file"
@@ -27,40 +28,65 @@ QUARANTINE, STOP = "quarantine", "stop"
 class Run:
     """One monthly run.
 
-    ``store`` is a folder on shared storage for cleaned rows, quarantine and table
-    versions. ``version`` names the table versions to write and must be new.
-    ``on_invalid`` says whether rows that break a rule are only set aside, or also
-    stop the run before anything is merged.
+    ``store`` is a folder on shared storage for cleaned rows, quarantine, table
+    versions and the manifest that says which version is current; a later run may be
+    another process. ``version`` names the table versions to write and must be higher
+    than the current one. A run that failed may be repeated with the same version.
+    ``as_of`` is the start of the run unless given. ``on_invalid`` says whether rows
+    that break a rule are only set aside, or also stop the run before any merge.
     """
 
     spark: SparkSession
     store: str
     version: int
-    as_of: datetime
+    as_of: datetime = field(default_factory=datetime.now)
     on_invalid: str = QUARANTINE
 
     def path(self, *parts: str) -> str:
         return "/".join([self.store.rstrip("/"), *parts, f"version={self.version}"])
 
-    def current(self, specs: Sequence[Upsert]) -> dict[str, DataFrame | None]:
-        catalog = self.spark.catalog
+    @property
+    def manifest(self) -> Manifest:
+        return Manifest(self.spark, self.store)
+
+    def current(self, flow: str, specs: Sequence[Upsert]) -> dict[str, DataFrame | None]:
+        """The tables as the last whole version of the flow left them; None before the first."""
+        manifest = self.manifest
+        known = manifest.current(flow)
         for spec in specs:
-            if catalog.tableExists(f"{spec.table}_v{self.version}"):
-                raise ValueError(f"{spec.table} already has a version {self.version}")
+            entry = known.get(spec.table)
+            if entry and entry.version >= self.version:
+                raise ValueError(f"{spec.table} already has a version {entry.version}")
+            if not entry and manifest.unnamed(spec.table, self.version):
+                raise ValueError(f"{spec.table} has files that the manifest does not name")
         return {
-            s.table: self.spark.table(s.table) if catalog.tableExists(s.table) else None
+            s.table: attach(self.spark, s.table, e.version, e["keys"], e.buckets, manifest.location)
+            if (e := known.get(s.table))
+            else None
             for s in specs
         }
 
-    def publish(self, contents: dict[str, DataFrame], specs: Sequence[Upsert]) -> None:
-        for spec in specs:
-            publish(
-                contents[spec.table],
-                spec.table,
-                self.version,
-                spec.keys,
-                location=f"{self.store.rstrip('/')}/tables",
+    def publish(
+        self,
+        flow: str,
+        contents: dict[str, DataFrame],
+        specs: Sequence[Upsert],
+        batch: int | None = None,
+    ) -> None:
+        """Write all tables, then switch all of them with one entry of the manifest."""
+        manifest = self.manifest
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        for s in specs:
+            write_version(
+                contents[s.table], s.table, self.version, s.keys, location=manifest.location, buckets=buckets
             )
+        manifest.record(flow, self.version, [(s.table, buckets, list(s.keys), batch) for s in specs])
+        for s in specs:
+            switch(self.spark, s.table, self.version)
+
+
+# Flows: tables that are switched together.
+ESTABLISHMENT_FLOW, LEGAL_UNIT_FLOW = "establishments", "legal_units"
 
 
 def load_establishment_files(
@@ -72,11 +98,12 @@ def load_establishment_files(
     Returns the row counts of the cleaning step.
     """
     specs = (targets.geo_location(run.as_of.date()), targets.stock_etab())
-    current = run.current(specs)
+    current = run.current(ESTABLISHMENT_FLOW, specs)
     raw = scan_csv(run.spark, paths, file_order=SEQUENCE, file_name=FILE)
     path = run.path("establishments")
     clean, report = _cleaned(run, raw, source, cleaning.sort_out_establishments, path)
-    run.publish(loading.load_establishments(clean, current, run.as_of.date()), specs)
+    contents = loading.load_establishments(clean, current, run.as_of.date())
+    run.publish(ESTABLISHMENT_FLOW, contents, specs)
     return report
 
 
@@ -89,15 +116,34 @@ def load_legal_unit_files(
     Returns the row counts of the cleaning step.
     """
     specs = (targets.organisation(), targets.naf_code(run.as_of.date()), targets.stock_legal())
-    current = run.current(specs)
+    current = run.current(LEGAL_UNIT_FLOW, specs)
     raw = scan_csv(run.spark, paths, mode="FAILFAST", file_order=SEQUENCE, file_name=FILE)
     path = run.path("legal_units")
     clean, report = _cleaned(run, raw, source, cleaning.sort_out_legal_units, path)
     contents = loading.load_legal_units(clean, translations, current, run.as_of.date())
-    run.publish(contents, specs)
+    run.publish(LEGAL_UNIT_FLOW, contents, specs)
     return report
 
 
+def load_fragments(
+    run: Run, flow: str, stream: DataFrame, feeds: Sequence[Feed], intake: Intake, sequence: str = SEQUENCE
+) -> int:
+    """Take in the fragments that have arrived and publish their targets; returns the last batch.
+
+    The manifest records the last batch that a version holds, so a repeat merges
+    nothing twice, and changes held by the version before are not read again.
+    """
+    specs = [feed.spec for feed in feeds]
+    current = run.current(flow, specs)
+    entries = run.manifest.current(flow)
+    after = {s.table: -1 if s.table not in entries or entries[s.table].batch is None else entries[s.table].batch for s in specs}
+    take_in(stream, feeds, intake, sequence).awaitTermination()
+    last = last_batch(run.spark, intake)
+    contents = {s.table: merged(run.spark, current[s.table], s, intake, after[s.table]) for s in specs}
+    run.publish(flow, contents, specs, last)
+    return last
+
+
 def _cleaned(
     run: Run, raw: DataFrame, source: str | None, sort_out: Callable[..., DataFrame], path: str
 ) -> tuple[DataFrame, dict]:

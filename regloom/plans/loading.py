@@ -25,18 +25,14 @@ def organisation_rows(clean: DataFrame) -> DataFrame:
     return inserts(clean, targets.organisation())
 
 
-def with_activity_names(
-    clean: DataFrame, translations: DataFrame, sequence: str = SEQUENCE
-) -> DataFrame:
+def with_activity_names(clean: DataFrame, translations: DataFrame) -> DataFrame:
     """Legal units whose activity code has a translation, with its two names."""
-    return join_dimension(clean, translations, "NAFCategory", "code", spread_by=sequence)
+    return join_dimension(clean, translations, "NAFCategory", "code")
 
 
-def activity_rows(
-    clean: DataFrame, translations: DataFrame, as_of: date, sequence: str = SEQUENCE
-) -> DataFrame:
+def activity_rows(clean: DataFrame, translations: DataFrame, as_of: date) -> DataFrame:
     """Cleaned legal units in the columns of ``naf_code``."""
-    return inserts(with_activity_names(clean, translations, sequence), targets.naf_code(as_of))
+    return inserts(with_activity_names(clean, translations), targets.naf_code(as_of))
 
 
 def load_establishments(
@@ -60,7 +56,7 @@ def load_legal_units(
     """New contents of ``organisation``, ``naf_code`` and ``stock_legal``."""
     sources = (
         (targets.organisation(), clean),
-        (targets.naf_code(as_of), with_activity_names(clean, translations, sequence)),
+        (targets.naf_code(as_of), with_activity_names(clean, translations)),
         (targets.stock_legal(), clean),
     )
     return {s.table: upsert(current.get(s.table), rows, s, sequence) for s, rows in sources}
@@ -71,13 +67,11 @@ def establishment_feeds(as_of: date) -> list[Feed]:
     return [Feed(targets.geo_location(as_of)), Feed(targets.stock_etab())]
 
 
-def legal_unit_feeds(
-    translations: DataFrame, as_of: date, sequence: str = SEQUENCE
-) -> list[Feed]:
+def legal_unit_feeds(translations: DataFrame, as_of: date) -> list[Feed]:
     """What a batch of cleaned legal units feeds."""
 
     def named(batch: DataFrame) -> DataFrame:
-        return with_activity_names(batch, translations, sequence)
+        return with_activity_names(batch, translations)
 
     return [
         Feed(targets.organisation()),

@@ -5,49 +5,214 @@ Upserts are expressed by ranking rows within a key, where the library aggregates
 
 from __future__ import annotations
 
-from regloom.functions.codes import COMPANY_TYPES, HEADCOUNTS
+# Code lists, headers and cleaned names, written out so that the SQL does not
+# depend on what it checks.
+COMPANY_TYPES = {
+    "00": "Collective Investment",
+    "10": "Entrepreneur",
+    "21": "Joint Ownership",
+    "22": "De facto Corporation",
+    "23": "Joint-stock Company",
+    "24": "Trust",
+    "27": "Parish",
+    "28": "Subject to VAT",
+    "29": "Private Law Group without legal personality",
+    "31": "Legal Entity Under Foreign Law, RCS registered",
+    "32": "Legal Entity Under Foreign Law, not RCS registered",
+    "41": "Public Company of industrial/commercial nature",
+    "51": "Limited Liability Co-operative",
+    "52": "SNC (General Partnership)",
+    "53": "SCA (Limited Partnership)",
+    "54": "SARL (Limited Liability Company)",
+    "55": "SA (Limited Company with Board of Directors)",
+    "56": "SA (Limited Company with Management Board)",
+    "57": "SAS (Joint-Stock Company)",
+    "58": "SE (EU Registered Company)",
+    "61": "Pension Funds",
+    "62": "Economic Interest Group",
+    "63": "Agricultural Co-operative",
+    "64": "Mutual Insurance",
+    "65": "SC (Civil Company)",
+    "69": "Other Registered Private Company",
+    "71": "State Administration",
+    "72": "Territorial Authority",
+    "73": "Public Administration",
+    "74": "Other Public Entity",
+    "81": "Social Security",
+    "82": "Mutual Organisation",
+    "83": "Council",
+    "84": "Professional Organisation",
+    "85": "Non-compulsory pension",
+    "91": "Union",
+    "92": "1901 Association",
+    "93": "Foundation",
+    "99": "Other Legal Entity",
+}
+
+HEADCOUNTS = {
+    "0": "0 fulltime employees",
+    "00": "0 fulltime employees",
+    "1": "1-2 employees",
+    "01": "1-2 employees",
+    "2": "2-3 employees",
+    "02": "2-3 employees",
+    "3": "6-9 employees",
+    "03": "6-9 employees",
+    "11": "10-19 employees",
+    "12": "20-49 employees",
+    "21": "50-99 employees",
+    "22": "100-199 employees",
+    "31": "200-249 employees",
+    "32": "250-499 employees",
+    "41": "500-999 employees",
+    "42": "1000-1999 employees",
+    "51": "2000-4999 employees",
+    "52": "5000-9999 employees",
+    "53": ">10000 employees",
+    "null": "no number provided",
+    "NN": "no number submitted",
+}
+
+ETAB_EXTRA = {
+    "statutDiffusionEtablissement": ("distributionStatus", "string"),
+    "dateCreationEtablissement": ("EstablishmentDate", "string"),
+    "trancheEffectifsEtablissement": ("EmployeeCountCategory", "string"),
+    "anneeEffectifsEtablissement": ("EmployeeCountCategoryYear", "int"),
+    "activitePrincipaleRegistreMetiersEtablissement": ("mainNAF", "string"),
+    "dateDernierTraitementEtablissement": ("LastNAFUpdate", "string"),
+    "dernierNumeroVoieEtablissement": ("LastAddressNumber", "string"),
+    "indiceRepetitionDernierNumeroVoieEtablissement": ("DateOfLastAddressNumber", "string"),
+    "identifiantAdresseEtablissement": ("InstitutionAddressID", "string"),
+    "coordonneeLambertAbscisseEtablissement": ("LambertCoordinateX", "double"),
+    "coordonneeLambertOrdonneeEtablissement": ("LambertCoordinateY", "double"),
+    "libelleCommuneEtrangerEtablissement": ("AddressForeignMunicipality", "string"),
+    "distributionSpecialeEtablissement": ("AddressPOBox", "string"),
+    "codeCommuneEtablissement": ("AddressCommuneCode", "string"),
+    "codeCedexEtablissement": ("AddressCEDEXCode", "string"),
+    "libelleCedexEtablissement": ("AddressCEDEXLabel", "string"),
+    "codePaysEtrangerEtablissement": ("AddressOverseasCountryCode", "string"),
+    "libellePaysEtrangerEtablissement": ("AddressOverseasCountryLabel", "string"),
+    "complementAdresse2Etablissement": ("AddressBuildingBlock2", "string"),
+    "numeroVoie2Etablissement": ("AddressNumber2", "string"),
+    "indiceRepetition2Etablissement": ("AddressNumberSubUnit2", "string"),
+    "typeVoie2Etablissement": ("AddressUniqueIdentifier2", "string"),
+    "libelleVoie2Etablissement": ("AddressLabel2", "string"),
+    "codePostal2Etablissement": ("AddressPostcode2", "string"),
+    "libelleCommune2Etablissement": ("AddressMunicipalityLabel2", "string"),
+    "libelleCommuneEtranger2Etablissement": ("AddressForeignMunicipality2", "string"),
+    "distributionSpeciale2Etablissement": ("AddressPOBox2", "string"),
+    "codeCommune2Etablissement": ("AddressCommuneCode2", "string"),
+    "codeCedex2Etablissement": ("AddressCEDEXCode2", "string"),
+    "libelleCedex2Etablissement": ("AddressCEDEXLabel2", "string"),
+    "codePaysEtranger2Etablissement": ("AddressOverseasCountryCode2", "string"),
+    "libellePaysEtranger2Etablissement": ("AddressOverseasCountryLabel2", "string"),
+    "dateDebut": ("DateOfBusinessStart", "string"),
+    "enseigne1Etablissement": ("EstablishmentSign1", "string"),
+    "enseigne2Etablissement": ("EstablishmentSign2", "string"),
+    "enseigne3Etablissement": ("EstablishmentSign3", "string"),
+    "denominationUsuelleEtablissement": ("CommonCompanyName", "string"),
+    "activitePrincipaleEtablissement": ("APETCode", "string"),
+    "nomenclatureActivitePrincipaleEtablissement": ("APETCodeCategory", "string"),
+    "caractereEmployeurEtablissement": ("EmploymentType", "string"),
+}
+
+LEGAL_EXTRA = {
+    "statutDiffusionUniteLegale": ("LegalUnitBroadcastID", "string"),
+    "unitePurgeeUniteLegale": ("PurgeStatus", "string"),
+    "sigleUniteLegale": ("LegalAcronym", "string"),
+    "sexeUniteLegale": ("GenderOfPerson", "string"),
+    "prenom1UniteLegale": ("NaturalName1", "string"),
+    "prenom2UniteLegale": ("NaturalName2", "string"),
+    "prenom3UniteLegale": ("NaturalName3", "string"),
+    "prenom4UniteLegale": ("NaturalName4", "string"),
+    "prenomUsuelUniteLegale": ("PreferredName", "string"),
+    "pseudonymeUniteLegale": ("pseudonym", "string"),
+    "identifiantAssociationUniteLegale": ("RNANumber", "string"),
+    "anneeEffectifsUniteLegale": ("EmployeeCountCategoryDateUpdated", "int"),
+    "dateDernierTraitementUniteLegale": ("LegalUnitUpdated", "string"),
+    "nombrePeriodesUniteLegale": ("TimeAsLegalUnit", "int"),
+    "categorieEntreprise": ("BusinessCategory", "string"),
+    "anneeCategorieEntreprise": ("YearOfBusinessCategoryAssignment", "int"),
+    "dateDebut": ("DateOfBusinessStart", "string"),
+    "nomUniteLegale": ("PersonBirthName", "string"),
+    "nomUsageUniteLegale": ("PersonUsedName", "string"),
+    "denominationUsuelle1UniteLegale": ("LegalEntityName1", "string"),
+    "denominationUsuelle2UniteLegale": ("LegalEntityName2", "string"),
+    "denominationUsuelle3UniteLegale": ("LegalEntityName3", "string"),
+    "nomenclatureActivitePrincipaleUniteLegale": ("ActiveLegalUnit", "string"),
+    "nicSiegeUniteLegale": ("NICAssignment", "string"),
+    "economieSocialeSolidaireUniteLegale": ("SSEBool", "string"),
+    "societeMissionUniteLegale": ("MissionDrivenCompanyBool", "string"),
+    "caractereEmployeurUniteLegale": ("EmployerNature", "string"),
+}
+
+
 
-ETAB_RAW = """
+def _filled(extra: dict, seq: str, shift: int) -> list[str]:
+    def value(i: int, kind: str) -> str:
+        if kind == "int":
+            return f"cast(2000 + ({seq} + {shift}) % 20 as varchar)"
+        if kind == "double":
+            return f"cast({seq} + {shift} as varchar)"
+        return f"'e{i}-' || cast(({seq} + {shift}) % {7 + i} as varchar)"
+
+    return [f"{value(i, kind)} as {header}" for i, (header, (_, kind)) in enumerate(extra.items())]
+
+
+def _etab_raw(shift: int = 0) -> str:
+    office, other = ("false", "true") if shift else ("true", "false")
+    k = f"(o_orderkey + {shift})"
+    return f"""
 select o_orderkey as seq,
- lpad(cast(o_custkey as varchar), 9, '0') as siren,
- lpad(cast(o_orderkey % 100000 as varchar), 5, '0') as nic,
- lpad(cast(o_orderkey as varchar), 14, '0') as siret,
+ lpad(cast(o_custkey + {shift} as varchar), 9, '0') as siren,
+ lpad(cast({k} % 100000 as varchar), 5, '0') as nic,
+ case when o_orderkey % 23 = 0 then null else lpad(cast(o_orderkey as varchar), 14, '0') end as siret,
  case o_orderstatus when 'F' then 'F' when 'O' then 'A' end as etatAdministratifEtablissement,
- case o_orderpriority when '1-URGENT' then 'true' when '5-LOW' then null else 'false' end
+ case o_orderpriority when '1-URGENT' then '{office}' when '5-LOW' then null else '{other}' end
   as etablissementSiege,
- case o_orderkey % 9 when 0 then 'NN' when 1 then 'x' else cast(1 + o_orderkey % 4 as varchar) end
+ case o_orderkey % 9 when 0 then 'NN' when 1 then 'x' else cast(1 + {k} % 4 as varchar) end
   as nombrePeriodesEtablissement,
- case o_orderkey % 5 when 0 then '[ND]' when 1 then '' when 2 then null else c_mktsegment end
+ case {k} % 5 when 0 then '[ND]' when 1 then '' when 2 then null else c_mktsegment end
   as complementAdresseEtablissement,
- case when o_orderkey % 3 = 0 then null else cast(o_orderkey % 200 as varchar) end
+ case when o_orderkey % 3 = 0 then null else cast({k} % 200 as varchar) end
   as numeroVoieEtablissement,
- case o_orderkey % 7 when 0 then 'B' when 1 then 'NN' end as indiceRepetitionEtablissement,
- case when o_orderkey % 4 = 0 then null else 'RUE' end as typeVoieEtablissement,
+ case {k} % 7 when 0 then 'B' when 1 then 'NN' end as indiceRepetitionEtablissement,
+ case when {k} % 4 = 0 then null else 'RUE' end as typeVoieEtablissement,
  n_name as libelleVoieEtablissement,
- n_name as libelleCommuneEtablissement,
- case when o_orderkey % 11 = 0 then null else lpad(cast(o_orderkey % 4 as varchar), 5, '0') end
-  as codePostalEtablissement
+ n_name || '{" B" * shift}' as libelleCommuneEtablissement,
+ case when o_orderkey % 11 = 0 then null else lpad(cast({k} % 4 as varchar), 5, '0') end
+  as codePostalEtablissement,
+ {", ".join(_filled(ETAB_EXTRA, "o_orderkey", shift))}
 from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
 """
 
-LEGAL_RAW = """
+
+def _legal_raw(shift: int = 0) -> str:
+    k = f"(c_custkey + {shift})"
+    return f"""
 select c_custkey as seq,
- lpad(cast(c_custkey as varchar), 9, '0') as siren,
- case c_custkey % 13 when 0 then '[ND]' when 1 then null else c_name end as denominationUniteLegale,
- case c_custkey % 6 when 0 then '5499' when 1 then '5710' when 2 then '5505' when 3 then '1000'
+ case when c_custkey % 29 = 0 then null else lpad(cast(c_custkey as varchar), 9, '0') end as siren,
+ case c_custkey % 13 when 0 then '[ND]' when 1 then null else c_name || '{" B" * shift}' end
+  as denominationUniteLegale,
+ case {k} % 6 when 0 then '5499' when 1 then '5710' when 2 then '5505' when 3 then '1000'
   when 4 then '0000' end as categorieJuridiqueUniteLegale,
- case c_custkey % 7 when 0 then '00' when 1 then '01' when 2 then '2' when 3 then '53'
+ case {k} % 7 when 0 then '00' when 1 then '01' when 2 then '2' when 3 then '53'
   when 4 then 'NN' when 5 then 'null' end as trancheEffectifsUniteLegale,
- case c_custkey % 5 when 0 then 'A' when 1 then 'C' end as etatAdministratifUniteLegale,
- lpad(cast(c_nationkey as varchar), 2, '0') as activitePrincipaleUniteLegale,
- cast(1990 + c_custkey % 30 as varchar) || '-01-01' as dateCreationUniteLegale
+ case {k} % 5 when 0 then 'A' when 1 then 'C' end as etatAdministratifUniteLegale,
+ case when c_custkey % 8 = 0 then '99' else lpad(cast(c_nationkey as varchar), 2, '0') end
+  as activitePrincipaleUniteLegale,
+ cast(1990 + {k} % 30 as varchar) || '-01-01' as dateCreationUniteLegale,
+ {", ".join(_filled(LEGAL_EXTRA, "c_custkey", shift))}
 from customer
 """
 
+
+ETAB_RAW, LEGAL_RAW = _etab_raw(), _legal_raw()
+
 NAF_DIM = """
 select lpad(cast(n_nationkey as varchar), 2, '0') as code, n_name as name_en,
  'FR_' || n_name as name_fr
-from nation where n_regionkey <> 4
+from nation
 """
 
 SIREN_RAW = """
@@ -71,22 +236,8 @@ ETAB_FILLED = {
     "libelleCommuneEtablissement": "AddressMunicipalityLabel",
     "codePostalEtablissement": "AddressPostcode",
 }
-ETAB_EMPTY = """
-distributionStatus EstablishmentDate EmployeeCountCategory mainNAF LastNAFUpdate
-LastAddressNumber DateOfLastAddressNumber InstitutionAddressID
-AddressForeignMunicipality AddressPOBox AddressCommuneCode AddressCEDEXCode AddressCEDEXLabel
-AddressOverseasCountryCode AddressOverseasCountryLabel AddressBuildingBlock2 AddressNumber2
-AddressNumberSubUnit2 AddressUniqueIdentifier2 AddressLabel2 AddressPostcode2
-AddressMunicipalityLabel2 AddressForeignMunicipality2 AddressPOBox2 AddressCommuneCode2
-AddressCEDEXCode2 AddressCEDEXLabel2 AddressOverseasCountryCode2 AddressOverseasCountryLabel2
-DateOfBusinessStart EstablishmentSign1 EstablishmentSign2 EstablishmentSign3 CommonCompanyName
-APETCode APETCodeCategory EmploymentType
-""".split()
-ETAB_NULLS = {
-    "EmployeeCountCategoryYear": "integer",
-    "LambertCoordinateX": "double",
-    "LambertCoordinateY": "double",
-}
+ETAB_STRINGS_MORE = {h: n for h, (n, kind) in ETAB_EXTRA.items() if kind == "string"}
+ETAB_NUMBERS = {h: (n, kind) for h, (n, kind) in ETAB_EXTRA.items() if kind != "string"}
 LEGAL_FILLED = {
     "siren": "company_number",
     "denominationUniteLegale": "LegalEntityName",
@@ -96,20 +247,6 @@ LEGAL_FILLED = {
     "activitePrincipaleUniteLegale": "NAFCategory",
     "dateCreationUniteLegale": "DateCreated",
 }
-LEGAL_NULLS = {
-    "varchar": """
-    LegalUnitBroadcastID PurgeStatus LegalAcronym GenderOfPerson NaturalName1 NaturalName2
-    NaturalName3 NaturalName4 PreferredName pseudonym RNANumber LegalUnitUpdated BusinessCategory
-    DateOfBusinessStart PersonBirthName PersonUsedName LegalEntityName1 LegalEntityName2
-    LegalEntityName3 ActiveLegalUnit NICAssignment SSEBool MissionDrivenCompanyBool EmployerNature
-    """.split(),
-    "integer": [
-        "EmployeeCountCategoryDateUpdated",
-        "TimeAsLegalUnit",
-        "YearOfBusinessCategoryAssignment",
-    ],
-}
-
 
 def _list(items) -> str:
     return ",\n ".join(items)
@@ -123,17 +260,18 @@ def _token_free(column: str) -> str:
     return f"case when {column} in ('[ND]', 'NN') then null else {column} end"
 
 
-def _etab_clean(month: str = "2024-08") -> str:
+def _etab_clean(month: str = "2024-08", shift: int = 0) -> str:
     """Full cleaned establishments, modification time as a date."""
-    filled = [f"coalesce({_token_free(raw)}, '') as {name}" for raw, name in ETAB_FILLED.items()]
+    strings = {**ETAB_FILLED, **ETAB_STRINGS_MORE}
+    filled = [f"coalesce({_token_free(raw)}, '') as {name}" for raw, name in strings.items()]
+    numbers = [f"try_cast({raw} as {kind}) as {name}" for raw, (name, kind) in ETAB_NUMBERS.items()]
     return f"""
 with n as (
  select seq, {_list(filled)},
-  {_list(f"'' as {name}" for name in ETAB_EMPTY)},
-  {_list(f"cast(null as {kind}) as {name}" for name, kind in ETAB_NULLS.items())},
+  {_list(numbers)},
   try_cast({_token_free('nombrePeriodesEtablissement')} as integer) as PeriodNumber,
   cast(etablissementSiege as boolean) as RegisteredOfficeBool
- from ({ETAB_RAW}) raw)
+ from ({_etab_raw(shift)}) raw where siret is not null)
 select n.*,
  'FR' || company_number as id,
  md5('FR' || company_number || AddressPostcode) as geo_md5,
@@ -147,18 +285,26 @@ from n where AdministrativeStatus <> 'F' and length(company_number) = 9
 """
 
 
-LEGAL_KEPT = f"""
-select * from ({LEGAL_RAW}) raw
+def _legal_kept(shift: int = 0) -> str:
+    return f"""
+select * from ({_legal_raw(shift)}) raw
 where denominationUniteLegale <> '[ND]' and categorieJuridiqueUniteLegale <> '0000'
  and substring(categorieJuridiqueUniteLegale, 1, 1) = '5'
 """
 
 
-def _legal_clean(month: str = "2024-08") -> str:
-    nulls = [f"cast(null as {k}) as {n}" for k, names in LEGAL_NULLS.items() for n in names]
+LEGAL_KEPT = _legal_kept()
+
+
+def _legal_columns() -> list[str]:
+    more = [h if kind == "string" else f"cast({h} as {kind})" for h, (_, kind) in LEGAL_EXTRA.items()]
+    names = [n for n, _ in LEGAL_EXTRA.values()]
+    return [f"{raw} as {name}" for raw, name in (*LEGAL_FILLED.items(), *zip(more, names))]
+
+
+def _legal_clean(month: str = "2024-08", shift: int = 0) -> str:
     return f"""
-select seq, {_list(f"{raw} as {name}" for raw, name in LEGAL_FILLED.items())},
- {_list(nulls)},
+select seq, {_list(_legal_columns())},
  t.label as company_type,
  'FR' || siren as id,
  'FRANCE' as country,
@@ -168,10 +314,10 @@ select seq, {_list(f"{raw} as {name}" for raw, name in LEGAL_FILLED.items())},
  case when trancheEffectifsUniteLegale is null then 'NA' else e.label end as EmployeeCount,
  '{month}-01-StockUniteLegale_utf8.csv - insert' as last_modified_by,
  date '{month}-01' as last_modified_date
-from ({LEGAL_KEPT}) kept
+from ({_legal_kept(shift)}) kept
 join {_values(COMPANY_TYPES)} t(code, label) on substring(categorieJuridiqueUniteLegale, 1, 2) = t.code
 left join {_values(HEADCOUNTS)} e(code, label) on trancheEffectifsUniteLegale = e.code
-where trancheEffectifsUniteLegale is null or e.code is not null
+where (trancheEffectifsUniteLegale is null or e.code is not null) and siren is not null
 """
 
 
@@ -258,8 +404,7 @@ STOCK_ETAB_UPDATED = {
     c: c
     for c in (
         *ETAB_FILLED.values(),
-        *ETAB_EMPTY,
-        *ETAB_NULLS,
+        *(name for name, _ in ETAB_EXTRA.values()),
         *("PeriodNumber", "RegisteredOfficeBool", "geo_md5", "last_modified_by", "last_modified_date"),
     )
     if c != "siret" and c not in STOCK_ETAB_INSERT_ONLY
@@ -269,24 +414,27 @@ STOCK_LEGAL_UPDATED = {
     c: c
     for c in (
         *LEGAL_FILLED.values(),
-        *LEGAL_NULLS["varchar"],
-        *LEGAL_NULLS["integer"],
+        *(name for name, _ in LEGAL_EXTRA.values()),
         *("country", "country_code", "last_modified_by", "last_modified_date"),
     )
     if c != "company_number"
 }
 
 
+ETAB_PARTS = (
+    _part(_etab_clean("2024-07"), "orders", "o_orderkey", "<= 0.6"),
+    _part(_etab_clean(shift=1), "orders", "o_orderkey", "> 0.3"),
+)
+
+
 def _etab_upsert(*parts) -> str:
-    earlier = _part(_etab_clean("2024-07"), "orders", "o_orderkey", "<= 0.3")
-    newer = _part(_etab_clean(), "orders", "o_orderkey", "> 0.3")
-    return _upsert(earlier, newer, *parts)
+    return _upsert(*ETAB_PARTS, *parts)
 
 
 def _legal_upsert(*parts, named: bool = False) -> str:
     wrap = _named if named else str
-    earlier = _part(wrap(_legal_clean("2024-07")), "customer", "c_custkey", "<= 0.4")
-    newer = _part(wrap(_legal_clean()), "customer", "c_custkey", "> 0.3")
+    earlier = _part(wrap(_legal_clean("2024-07")), "customer", "c_custkey", "<= 0.7")
+    newer = _part(wrap(_legal_clean(shift=1)), "customer", "c_custkey", "> 0.3")
     return _upsert(earlier, newer, *parts)
 
 
@@ -311,7 +459,7 @@ select seq, siren as company_number, nic as localnic, siret,
  codePostalEtablissement as AddressPostcode
 from ({ETAB_RAW}) r"""
 
-ETAB_STRINGS = [c for c in (*ETAB_FILLED, "etablissementSiege", "nombrePeriodesEtablissement")]
+ETAB_STRINGS = [*ETAB_FILLED, *ETAB_EXTRA, "etablissementSiege", "nombrePeriodesEtablissement"]
 CATEGORY = "substring(categorieJuridiqueUniteLegale, 1, 2)"
 SHORT_LIST = _values({c: label for c, label in COMPANY_TYPES.items() if c not in ("10", "55")})
 STAGED = "seq, siret, id, geo_md5, address_line_1, address_line_2"
@@ -326,10 +474,11 @@ select 'etab' as dataset, seq, company_number, id, AdministrativeStatus, Employe
 union all
 select 'legal', seq, company_number, id, AdministrativeStatus, EmployeeCountCategory,
  last_modified_by from ({_legal_clean()}) l""",
-    "fragment_glob_scan": LEGAL_RAW,
+    "fragment_glob_scan": f"select seq, {', '.join(LEGAL_FILLED)} from ({LEGAL_RAW}) r",
     "fragment_split": f"""
 select count(*) as total_rows, cast(sum(seq) as bigint) as total_seq,
- cast(0 as bigint) as fragments_over_limit, true as within_limit from ({_etab_clean()}) e""",
+ cast(0 as bigint) as fragments_over_limit, true as within_limit,
+ cast(ceil(count(*) / 2000.0) as bigint) as fragments from ({_etab_clean()}) e""",
     "snapshot_label": """
 select o_orderkey,
  strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') || '-StockEtablissement_utf8' as etab_label,
@@ -344,15 +493,17 @@ union all
 select seq, siren, siret, null, case when seq % 10 = 0 then null else cast(seq * 1.5 as double) end,
  null
 from ({ETAB_RAW}) b""",
-    "staging_append": f"select {STAGED} from ({_etab_clean()}) e",
-    "staging_replace": f"""
-select {STAGED} from ({_part(_etab_clean(), "orders", "o_orderkey", "> 0.3")}) e""",
+    "staging_append": f"select {STAGED} from ({ETAB_PARTS[0]}) e union all select {STAGED} from ({ETAB_PARTS[1]}) f",
+    "staging_replace": f"select {STAGED} from ({ETAB_PARTS[1]}) e",
+    "staging_clear": f"select {STAGED} from ({ETAB_PARTS[1]}) e",
     "rename_etab": f"""
 select seq, {_list(f"{raw} as {name}" for raw, name in ETAB_FILLED.items())},
+ {_list(f"{raw} as {name}" for raw, (name, _) in ETAB_EXTRA.items())},
  etablissementSiege as RegisteredOfficeBool, nombrePeriodesEtablissement as PeriodNumber
 from ({ETAB_RAW}) r""",
     "rename_legal": f"""
-select seq, {_list(f"{raw} as {name}" for raw, name in LEGAL_FILLED.items())} from ({LEGAL_RAW}) r""",
+select seq, {_list(f"{raw} as {name}" for raw, name in LEGAL_FILLED.items())},
+ {_list(f"{raw} as {name}" for raw, (name, _) in LEGAL_EXTRA.items())} from ({LEGAL_RAW}) r""",
     "provenance_columns": f"""
 select seq, siret, last_modified_by, last_modified_date from ({_etab_clean()}) e""",
     "geo_projection": f"""
@@ -468,6 +619,14 @@ from ({_etab_clean()}) e group by geo_md5""",
         {"company_number": "company_number"}, STOCK_LEGAL_INSERT_ONLY, STOCK_LEGAL_UPDATED
     ),
     "stream_fragment_upsert": _upsert(f"select * from ({_etab_clean()}) e where false", _etab_clean(), *GEO),
+    "stream_published": _upsert(f"select * from ({_etab_clean()}) e where false", _etab_clean(), *GEO),
+    "load_establishments": _etab_upsert({"siret": "siret"}, STOCK_ETAB_INSERT_ONLY, STOCK_ETAB_UPDATED),
+    "load_legal_units": _legal_upsert(
+        {"company_number": "company_number"}, STOCK_LEGAL_INSERT_ONLY, STOCK_LEGAL_UPDATED
+    ),
+    "monthly_establishment_files": _etab_upsert(
+        {"siret": "siret"}, STOCK_ETAB_INSERT_ONLY, STOCK_ETAB_UPDATED
+    ),
     "batch_duration_stats": """
 select event_type as flow, count(*) as batches,
  cast(sum(cast(value as decimal(18,2))) as double) as total_seconds,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from regloom.functions import naming, register
 from regloom.functions.codes import COMPANY_TYPES
 from regloom.operators import conform, filters, lookups, report, validate
 from regloom.operators.upsert import Upsert, collapse, upsert
-from regloom.plans import cleaning, inputs, loading, targets
+from regloom.plans import cleaning, inputs, jobs, loading, targets
 from regloom.plans.inputs import AS_OF, BEFORE, ETAB_FILE, ETAB_FILE_BEFORE, LEGAL_FILE, LEGAL_FILE_BEFORE
 from regloom.session import scratch_path
 from regloom.sources import csv, tables
@@ -86,17 +85,14 @@ LEGAL_RAW_STRINGS = [
 ]
 
 
-def _fragment_rows(spark: SparkSession, folder: str) -> int:
-    """The usual fragment size, or less so that small inputs are split as well."""
-    orders = inputs.table(spark, folder, "orders").count()
-    return min(tables.FRAGMENT_ROWS, math.ceil(orders / 5))
+# Rows in a fragment and fragments in a batch, so that small inputs have several of both.
+FRAGMENT_ROWS, FILES_PER_BATCH = 2_000, 8
 
 
 def fragment_split(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per dataset after the split, and fragments beyond the limit (none)."""
-    rows = _fragment_rows(spark, folder)
+    """Rows after the split of one partition, fragments, and those beyond the limit (none)."""
     path = scratch_path(spark, "split")
-    tables.write_fragments(inputs.etab_clean(spark, folder), path, rows=rows)
+    tables.write_fragments(inputs.etab_clean(spark, folder).coalesce(1), path, rows=FRAGMENT_ROWS)
     per_file = (
         spark.read.parquet(path)
         .select("seq", F.col("_metadata.file_path").alias("file"))
@@ -106,8 +102,9 @@ def fragment_split(spark: SparkSession, folder: str) -> DataFrame:
     return per_file.agg(
         F.sum("rows").alias("total_rows"),
         F.sum("seqs").alias("total_seq"),
-        F.count_if(F.col("rows") > rows).alias("fragments_over_limit"),
-        (F.max("rows") <= rows).alias("within_limit"),
+        F.count_if(F.col("rows") > FRAGMENT_ROWS).alias("fragments_over_limit"),
+        (F.max("rows") <= FRAGMENT_ROWS).alias("within_limit"),
+        F.count(F.lit(1)).alias("fragments"),
     )
 
 
@@ -127,6 +124,16 @@ def staging_replace(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def staging_clear(spark: SparkSession, folder: str) -> DataFrame:
+    """What is appended after the staging table was emptied."""
+    path = scratch_path(spark, "staging")
+    earlier, newer = inputs.etab_snapshots(spark, folder)
+    tables.append_staging(_staged(earlier), path)
+    tables.clear_staging(spark, path)
+    tables.append_staging(_staged(newer), path)
+    return spark.read.parquet(path)
+
+
 def _staged(raw: DataFrame) -> DataFrame:
     return cleaning.clean_establishments(raw, ETAB_FILE, AS_OF, keep=["seq"]).select(*STAGED)
 
@@ -146,7 +153,7 @@ def snapshot_label(spark: SparkSession, folder: str) -> DataFrame:
 
 def schema_vintage_union(spark: SparkSession, folder: str) -> DataFrame:
     early, late = scratch_path(spark, "vintage-48"), scratch_path(spark, "vintage-53")
-    csv.write_csv(inputs.etab_raw(spark, folder), early)
+    csv.write_csv(inputs.etab_raw_early(spark, folder), early)
     csv.write_csv(inputs.etab_raw_late(spark, folder), late)
     raw = conform.drop_tokens(csv.scan_csv(spark, [early, late]))
     typed = conform.conform(raw, ESTABLISHMENTS, strict=False, keep=["seq"])
@@ -378,19 +385,75 @@ def upsert_stock_legal(spark: SparkSession, folder: str) -> DataFrame:
     return _upsert_legal(spark, folder, targets.stock_legal())
 
 
-def stream_fragment_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Establishments arriving as fragments in three or so micro-batches."""
+def load_establishments(spark: SparkSession, folder: str) -> DataFrame:
+    """Stock of establishments after two months of the load, each on top of the last."""
+    earlier, newer = inputs.etab_snapshots(spark, folder)
+    months = ((earlier, ETAB_FILE_BEFORE, BEFORE), (newer, ETAB_FILE, AS_OF))
+    current: dict[str, DataFrame | None] = {}
+    for raw, file, as_of in months:
+        clean = cleaning.clean_establishments(raw, file, as_of, keep=["seq"])
+        current = loading.load_establishments(clean, current, as_of.date())
+    return _dated(current["stock_etab"])
+
+
+def load_legal_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Stock of legal units after two months of the load, each on top of the last."""
+    earlier, newer = inputs.legal_snapshots(spark, folder)
+    months = ((earlier, LEGAL_FILE_BEFORE, BEFORE), (newer, LEGAL_FILE, AS_OF))
+    names, current = inputs.naf_translations(spark, folder), {}
+    for raw, file, as_of in months:
+        clean = cleaning.clean_legal_units(raw, file, as_of, keep=["seq"])
+        current = loading.load_legal_units(clean, names, current, as_of.date())
+    return _dated(current["stock_legal"])
+
+
+def monthly_establishment_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Stock of establishments after two monthly runs over files, through the manifest."""
+    store, files = scratch_path(spark, "store"), scratch_path(spark, "files")
+    months = ((ETAB_FILE_BEFORE, BEFORE), (ETAB_FILE, AS_OF))
+    for version, (raw, (file, as_of)) in enumerate(zip(inputs.etab_snapshots(spark, folder), months), 1):
+        csv.write_csv(raw.drop("seq"), f"{files}/{version}")
+        run = jobs.Run(spark, store, version, as_of)
+        jobs.load_establishment_files(run, f"{files}/{version}", file)
+    specs = (targets.geo_location(TODAY), targets.stock_etab())
+    after = jobs.Run(spark, store, len(months) + 1, AS_OF)
+    return _dated(after.current(jobs.ESTABLISHMENT_FLOW, specs)["stock_etab"])
+
+
+def _arrivals(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "arrivals")
-    clean = inputs.etab_clean(spark, folder)
-    tables.write_fragments(clean, path, rows=_fragment_rows(spark, folder))
-    arrived = spark.read.parquet(path)
-    files_per_batch = max(1, math.ceil(len(arrived.inputFiles()) / 3))
+    tables.write_fragments(inputs.etab_clean(spark, folder), path, rows=FRAGMENT_ROWS)
+    return path
+
+
+def stream_fragment_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Establishments arriving as fragments, taken in by micro-batches and merged."""
+    path = _arrivals(spark, folder)
+    schema = spark.read.parquet(path).schema
     spec, intake = targets.geo_location(TODAY), loader.Intake(scratch_path(spark, "intake"))
-    stream = loader.fragment_stream(spark, path, arrived.schema, files_per_batch=files_per_batch)
+    stream = loader.fragment_stream(spark, path, schema, files_per_batch=FILES_PER_BATCH)
     loader.take_in(stream, [loader.Feed(spec)], intake, "seq").awaitTermination()
     return loader.merged(spark, None, spec, intake)
 
 
+def stream_published(spark: SparkSession, folder: str) -> DataFrame:
+    """The same into a published table; the second run finds nothing new and changes nothing.
+
+    Fragments are deleted once they are taken in.
+    """
+    path = _arrivals(spark, folder)
+    schema = spark.read.parquet(path).schema
+    store, intake = scratch_path(spark, "store"), loader.Intake(scratch_path(spark, "intake"))
+    spec, flow = targets.geo_location(TODAY), "arrivals"
+    for version in (1, 2):
+        stream = loader.fragment_stream(
+            spark, path, schema, files_per_batch=FILES_PER_BATCH, when_done="delete"
+        )
+        run = jobs.Run(spark, store, version, AS_OF)
+        jobs.load_fragments(run, flow, stream, [loader.Feed(spec)], intake)
+    return jobs.Run(spark, store, 3, AS_OF).current(flow, [spec])[spec.table]
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -404,6 +467,7 @@ QUERIES: dict[str, Query] = {
         schema_vintage_union,
         staging_append,
         staging_replace,
+        staging_clear,
         rename_etab,
         rename_legal,
         provenance_columns,
@@ -434,7 +498,11 @@ QUERIES: dict[str, Query] = {
         upsert_organisation,
         upsert_naf_code,
         upsert_stock_legal,
+        load_establishments,
+        load_legal_units,
+        monthly_establishment_files,
         stream_fragment_upsert,
+        stream_published,
         batch_duration_stats,
         path_basename,
     )

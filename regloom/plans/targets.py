@@ -1,4 +1,7 @@
-"""Target tables: what each inserts, what it updates and by which key."""
+"""Target tables: what each inserts, what it updates and by which key.
+
+Keys are complete: cleaning sets rows without an identifier aside.
+"""
 
 from __future__ import annotations
 
@@ -59,6 +62,7 @@ def geo_location(as_of: date, name_source: bool = False) -> Upsert:
     return Upsert(
         table="geo_location",
         keys=("md5_key",),
+        complete=True,
         insert={
             "address_1": "address_line_1",
             "address_2": "address_line_2",
@@ -89,6 +93,7 @@ def organisation() -> Upsert:
     return Upsert(
         table="organisation",
         keys=("id",),
+        complete=True,
         insert={
             "id": "id",
             "company_number": "company_number",
@@ -115,6 +120,7 @@ def naf_code(as_of: date) -> Upsert:
     return Upsert(
         table="naf_code",
         keys=("code", "organisation_id"),
+        complete=True,
         insert={
             "code": "NAFCategory",
             "organisation_id": "id",
@@ -134,6 +140,7 @@ def _stock(table: str, key: str, columns: list[str], insert_only: tuple[str, ...
     return Upsert(
         table=table,
         keys=(key,),
+        complete=True,
         insert={c: c for c in columns},
         update={c: c for c in columns if c not in insert_only},
     )

@@ -83,6 +83,9 @@ def take_in(
     def store(batch: DataFrame, batch_id: int) -> None:
         part = f"{BATCH}={batch_id}"
         started = time.monotonic()
+        if len(feeds) > 1:
+            # Several targets read the batch; its fragments are parsed once.
+            batch = batch.persist()
         for feed in feeds:
             _changes(feed, batch, sequence).write.mode("overwrite").parquet(
                 f"{intake.changes(feed.spec.table)}/{part}"
@@ -93,6 +96,8 @@ def take_in(
             F.lit(round(time.monotonic() - started, 2)).alias("seconds"),
         )
         entry.write.mode("overwrite").parquet(f"{intake.log}/{part}")
+        if len(feeds) > 1:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(store)
@@ -104,7 +109,7 @@ def take_in(
 
 def _changes(feed: Feed, batch: DataFrame, sequence: str) -> DataFrame:
     source, spec = feed.prepare(batch), feed.spec
-    keyed, loose = split_by_key(source, [spec.insert[k] for k in spec.keys])
+    keyed, loose = split_by_key(source, [spec.insert[k] for k in spec.keys], spec.complete)
     changes = collapse(keyed, spec, sequence)
     if loose is None:
         return changes
@@ -121,11 +126,16 @@ def merged(
     """The target after every batch beyond the last one it already holds."""
     stored = spark.read.parquet(intake.changes(spec.table))
     stored = stored.filter(F.col(BATCH) > after_batch).drop(BATCH)
-    keyed, loose = split_by_key(stored, list(spec.keys))
+    keyed, loose = split_by_key(stored, list(spec.keys), spec.complete)
     unkeyed = None if loose is None else apply_changes(None, loose, spec)
     return merge(target, combine(keyed, spec), unkeyed, spec)
 
 
+def last_batch(spark: SparkSession, intake: Intake) -> int:
+    """The highest batch taken in."""
+    return spark.read.parquet(intake.log).agg(F.max(BATCH)).first()[0]
+
+
 def batch_log(spark: SparkSession, intake: Intake) -> DataFrame:
     """Flow and seconds of every batch, one row each."""
     return spark.read.parquet(intake.log).select("flow", "seconds")
