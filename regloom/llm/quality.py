@@ -32,6 +32,8 @@ from regloom.llm import text as tx
 from regloom.llm.ship import ship
 
 PASSAGE, MOST_LABELLED = 64, 8000
+#: Bytes of text described at once.
+SLICE = 1 << 20
 ENCODING, ATTENTION, EPOCHS, BATCH, RATE, SHRINK = 24, 12, 30, 128, 0.005, 1e-4
 
 CLASSES = np.zeros(256, np.uint8)
@@ -142,9 +144,15 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     if not texts:
         weights["out"][:] = 0
         return Model(weights, np.zeros(FEATURES, np.float32), np.ones(FEATURES, np.float32))
-    x, bags = passages_of(pa.array(texts, pa.string()))
-    model = Model(weights, x.mean(0), np.maximum(x.std(0), 0.02))
-    x = model.standard(x).astype(np.float32)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    parts = [passages_of(p.column(0)) for p in tx.slices(batch, "text", SLICE)]
+    x = np.concatenate([p for p, _ in parts])
+    bags = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for _, b in parts]))])
+    mean = x.mean(0)
+    deviation = np.sqrt(np.maximum(0, np.einsum("ij,ij->j", x, x, dtype=np.float64) / len(x) - mean.astype(np.float64) ** 2))
+    model = Model(weights, mean, np.maximum(deviation, 0.02).astype(np.float32))
+    for at in range(0, len(x), 4096):
+        x[at : at + 4096] = model.standard(x[at : at + 4096])
     y = labels.astype(np.float32)
     first = {k: np.zeros_like(v) for k, v in weights.items()}
     second = {k: np.zeros_like(v) for k, v in weights.items()}
@@ -196,7 +204,7 @@ def score(documents: DataFrame, model: Model, *, text: str = "text", keep: list[
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in tx.slices(batch, text):
+            for part in tx.slices(batch, text, SLICE):
                 scores = model.scores(part.column(text))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in wanted), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], [*wanted, "score", "predicted"])
 
