@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer text is worked on alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: White space by the pattern ``[\x20\x09-\x0D]``.
 SPACE = np.zeros(256, bool)
@@ -82,30 +82,30 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Rolling:
     """Polynomial hashes, modulo 2**64, of any run of a sequence of 64-bit values.
 
-    Two runs have equal hashes if they are equal. ``seed`` picks the polynomial.
+    Two runs have equal hashes if they are equal. Seeds other than 1 scramble the values first,
+    so that hashes of one run by several seeds have nothing to do with each other.
     """
 
-    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    _powers: tuple[np.ndarray, np.ndarray] | None = None
 
     def __init__(self, values: np.ndarray, seed: int = 1):
-        self.seed = seed
-        self.powers, self.inverse = self._tables(seed, len(values) + 1)
+        if seed != 1:
+            values = (values ^ (values >> U64(17 + 6 * seed))) * U64(0x9E3779B97F4A7C15 + 2 * seed)
+        self.powers, self.inverse = self._tables(len(values) + 1)
         self.sums = np.zeros(len(values) + 1, U64)
         np.cumsum(values * self.powers[: len(values)], out=self.sums[1:])
 
     @classmethod
-    def _tables(cls, seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        known = cls._powers.get(seed)
-        if known is None or len(known[0]) < n:
-            size = 1 << max(12, (n - 1).bit_length())
-            base = (0x9E3779B97F4A7C15 * (2 * seed + 1)) & (2**64 - 1) | 1
-            both = []
+    def _tables(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The powers of the base and of its inverse, kept for the longest sequence so far."""
+        if cls._powers is None or len(cls._powers[0]) < n:
+            base, size, both = 0xA24BAED4963EE407, -(-n // 65536) * 65536, []
             for b in (base, pow(base, -1, 2**64)):
                 p = np.full(size, b, U64)
                 p[0] = 1
                 both.append(np.multiply.accumulate(p))
-            known = cls._powers[seed] = (both[0], both[1])
-        return known
+            Rolling._powers = (both[0], both[1])
+        return Rolling._powers
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
