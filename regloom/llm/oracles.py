@@ -79,3 +79,14 @@ kept as (
 select doc_id, cast(len(w) as bigint) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
 from doc left join kept using (doc_id)
 """
+
+ORACLES["op2_warc"] = r"""
+with payload as (select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as h from pages),
+judged as (select *, min(page_id) over (partition by h, n) as least from payload)
+select page_id, cast(n as bigint) as payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((cast('0x' || substr(h, 1 + (5 * i) // 4, 2) as integer) >> cast(3 - (5 * i) % 4 as integer)) & 31), 1)), '') as payload_digest,
+    case when page_id = least then 'response' else 'revisit' end as record_type,
+    case when page_id <> least then least end as refers_to
+from judged
+"""
