@@ -116,10 +116,14 @@ def map_with_next(documents: DataFrame, work: Callable[[list, list[str]], pa.Rec
     bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
     part = F.size(F.filter(bounds, lambda c: c < F.col("order")))
     least = sorted((r["part"], r["least"]) for r in rows.groupBy(part.alias("part")).agg(F.min("order").alias("least")).collect())
-    before = {first: least[i - 1][0] for i, (_, first) in enumerate(least)}
-    guest = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[F.col("order")] if before else F.lit(None).cast("int")
+    # By range: its least id, and the range before it (that of the least is after the last).
+    heads, before = [None] * (len(cuts) + 1), [None] * (len(cuts) + 1)
+    for i, (number, head) in enumerate(least):
+        heads[number], before[number] = head, least[i - 1][0]
+    of_part = lambda values, kind: F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), part + 1)
+    guest = F.when(F.col("order") == of_part(heads, "bigint"), of_part(before, "int"))
     # 0: in its own range, 1: as the one after the last of another.
-    places = F.filter(F.array(F.struct(part.alias("part"), F.lit(0).alias("guest")), F.struct(guest.cast("int").alias("part"), F.lit(1).alias("guest"))), lambda p: p["part"].isNotNull())
+    places = F.filter(F.array(F.struct(part.alias("part"), F.lit(0).alias("guest")), F.struct(guest.alias("part"), F.lit(1).alias("guest"))), lambda p: p["part"].isNotNull())
     dealt = rows.select(F.explode(places).alias("place"), "order", "id", "text").select("place.part", "place.guest", "order", "id", "text")
     ordered = dealt.repartitionByRange(parts, "part").sortWithinPartitions("part", "guest", "order", "text")
 
