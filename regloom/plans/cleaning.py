@@ -30,6 +30,9 @@ LEGAL_COUNTRY_CODE = "FR"
 # Identifiers: never filled, so that a missing one is not taken for a key.
 IDENTIFIERS = ("company_number", "siret")
 
+# Column with the text of a record that has not as many fields as its header.
+MALFORMED = "malformed_record"
+
 OUTCOME, CLEAN, QUARANTINED = "outcome", "clean", "quarantined"
 
 
@@ -50,7 +53,7 @@ def with_provenance(df: DataFrame, source: str | Column, as_of: datetime) -> Dat
 def read_establishments(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Named, typed rows with missing values made uniform; nothing dropped yet."""
     typed = conform(drop_tokens(raw), ESTABLISHMENTS, strict=False, keep=keep)
-    return fill_missing(typed, identifiers=IDENTIFIERS)
+    return fill_missing(typed, identifiers=[*IDENTIFIERS, *keep])
 
 
 def identified(company_number: Column, establishment: Column) -> Column:
@@ -90,12 +93,20 @@ def clean_establishments(
 def sort_out_establishments(
     raw: DataFrame, source: str | Column, as_of: datetime, keep: Sequence[str], counts: RowCounts
 ) -> DataFrame:
-    """Cleaned and quarantined establishments in one pass, told apart by ``outcome``."""
+    """Cleaned and quarantined establishments in one pass, told apart by ``outcome``.
+
+    Records that the scan marked as ``MALFORMED`` are quarantined and counted too.
+    """
     rows = read_establishments(raw, keep)
-    valid = identified(F.col("company_number"), F.col("siret"))
+    whole = F.col(MALFORMED).isNull() if MALFORMED in keep else F.lit(True)
+    valid = whole & identified(F.col("company_number"), F.col("siret"))
     still_open = is_open(F.col("AdministrativeStatus"))
     rows = counts.count(
-        rows, rows_before=valid, rows_after=valid & still_open, rows_quarantined=~valid
+        rows,
+        rows_before=valid,
+        rows_after=valid & still_open,
+        rows_quarantined=~valid,
+        rows_malformed=~whole,
     )
     return (
         rows.filter(~valid | still_open)

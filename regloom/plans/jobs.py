@@ -13,7 +13,7 @@ from regloom.operators.report import RowCounts
 from regloom.operators.upsert import Upsert
 from regloom.operators.validate import InvalidRows
 from regloom.plans import cleaning, loading, targets
-from regloom.plans.cleaning import CLEAN, OUTCOME
+from regloom.plans.cleaning import CLEAN, MALFORMED, OUTCOME
 from regloom.plans.loading import SEQUENCE
 from regloom.sources.csv import scan_csv
 from regloom.sources.tables import Manifest, attach, switch, write_version
@@ -99,9 +99,10 @@ def load_establishment_files(
     """
     specs = (targets.geo_location(run.as_of.date()), targets.stock_etab())
     current = run.current(ESTABLISHMENT_FLOW, specs)
-    raw = scan_csv(run.spark, paths, file_order=SEQUENCE, file_name=FILE)
+    raw = scan_csv(run.spark, paths, file_order=SEQUENCE, file_name=FILE, malformed=MALFORMED)
     path = run.path("establishments")
-    clean, report = _cleaned(run, raw, source, cleaning.sort_out_establishments, path)
+    sort_out = cleaning.sort_out_establishments
+    clean, report = _cleaned(run, raw, source, sort_out, path, [MALFORMED])
     contents = loading.load_establishments(clean, current, run.as_of.date())
     run.publish(ESTABLISHMENT_FLOW, contents, specs)
     return report
@@ -145,7 +146,12 @@ def load_fragments(
 
 
 def _cleaned(
-    run: Run, raw: DataFrame, source: str | None, sort_out: Callable[..., DataFrame], path: str
+    run: Run,
+    raw: DataFrame,
+    source: str | None,
+    sort_out: Callable[..., DataFrame],
+    path: str,
+    keep: Sequence[str] = (),
 ) -> tuple[DataFrame, dict]:
     """Cleaned rows, and what became of the others.
 
@@ -153,7 +159,7 @@ def _cleaned(
     dataset, so every merge reads only columns it needs of the cleaned partition.
     """
     counts = RowCounts()
-    rows = sort_out(raw, source or F.col(FILE), run.as_of, [SEQUENCE, FILE], counts)
+    rows = sort_out(raw, source or F.col(FILE), run.as_of, [SEQUENCE, FILE, *keep], counts)
     rows.write.mode("overwrite").partitionBy(OUTCOME).parquet(path)
     report = counts.report()
     if run.on_invalid == STOP and report["rows_quarantined"]:

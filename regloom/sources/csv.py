@@ -22,6 +22,7 @@ def scan_csv(
     multiline: bool = False,
     file_order: str | None = None,
     file_name: str | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """Read register files as strings, by header name.
 
@@ -32,7 +33,8 @@ def scan_csv(
     line breaks inside quotes at the price of unsplittable files.
 
     ``file_order`` and ``file_name`` name columns to add: one that orders rows as the
-    files do, and one with the name of the file a row is from.
+    files do, and one with the name of the file a row is from. ``malformed`` names one
+    that holds the text of a record with too few or too many fields, else null.
     """
     options = CSV_OPTIONS | {"mode": mode, "multiLine": str(multiline).lower()}
     if name_glob:
@@ -44,8 +46,12 @@ def scan_csv(
 
     scans = []
     for header, group in by_header.items():
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-        scan = spark.read.options(**options, enforceSchema="false").schema(schema).csv(group)
+        names = [*header, malformed] if malformed else header
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        reader = spark.read.options(**options, enforceSchema="false").schema(schema)
+        if malformed:
+            reader = reader.option("columnNameOfCorruptRecord", malformed)
+        scan = reader.csv(group)
         extra = [row_order().alias(file_order)] if file_order else []
         extra += [F.col("_metadata.file_name").alias(file_name)] if file_name else []
         scans.append(scan.select("*", *extra))

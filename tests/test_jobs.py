@@ -67,6 +67,7 @@ def test_two_months(spark, tmp_path):
         "rows_before": 4,
         "rows_after": 3,
         "rows_quarantined": 1,
+        "rows_malformed": 0,
         "pct_removed": 25.0,
     }
     assert reports["2024-07"][1] == {
@@ -206,13 +207,17 @@ def test_establishments_without_a_number_are_set_aside(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     text = "siren,siret,etatAdministratifEtablissement\n000000001,,A\n000000002,,A\n000000003,00000000300001,A\n"
+    text += "000000004,00000000400001\n000000005,00000000500001,A,more\n"
     (folder / "a.csv").write_text(text)
     run = jobs.Run(spark, str(tmp_path / "store"), 21, datetime(2024, 7, 1))
     report = jobs.load_establishment_files(run, str(folder))
-    assert (report["rows_after"], report["rows_quarantined"]) == (1, 2)
+    assert (report["rows_after"], report["rows_quarantined"], report["rows_malformed"]) == (1, 4, 2)
     assert [r.siret for r in spark.table("stock_etab").collect()] == ["00000000300001"]
     aside = spark.read.parquet(f"{tmp_path}/store/establishments/version=21/outcome=quarantined")
-    assert {(r.company_number, r.siret) for r in aside.collect()} == {("000000001", None), ("000000002", None)}
+    rows = {(r.company_number, r.siret): r.malformed_record for r in aside.collect()}
+    assert rows[("000000001", None)] is None and rows[("000000002", None)] is None
+    assert rows[("000000004", "00000000400001")] == "000000004,00000000400001"
+    assert rows[("000000005", "00000000500001")] == "000000005,00000000500001,A,more"
 
 
 def swapped(spec, column):
