@@ -1,6 +1,7 @@
 """Fragments taken in as micro-batches give what one batch gives."""
 
 import os
+import time
 
 from regloom.operators.report import duration_stats
 from regloom.operators.upsert import Constant, Upsert, upsert
@@ -98,3 +99,20 @@ def test_legal_units_feed_three_targets(spark, tmp_path):
     for feed in feeds:
         got = rows(loader.merged(spark, None, feed.spec, intake))
         assert got and got == rows(expected[feed.spec.table])
+
+
+def test_fragments_taken_in_are_deleted_on_request(spark, tmp_path):
+    arrivals, intake = str(tmp_path / "in"), loader.Intake(str(tmp_path / "intake"))
+    for low in (0, 100, 200):
+        source(spark, low, low + 100).coalesce(1).write.mode("append").parquet(arrivals)
+    schema = spark.read.parquet(arrivals).schema
+    expected = rows(upsert(None, source(spark, 0, 300), SPEC, "seq"))
+    run(spark, arrivals, intake, schema, when_done="delete")
+    assert rows(loader.merged(spark, None, SPEC, intake)) == expected
+    # The source deletes the files of a batch once a later one has begun.
+    for _ in range(100):
+        left = [f for f in os.listdir(arrivals) if f.endswith(".parquet")]
+        if len(left) == 1:
+            break
+        time.sleep(0.1)
+    assert len(left) == 1
