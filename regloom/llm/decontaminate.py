@@ -163,6 +163,7 @@ def compile_patterns(items: list[tuple[str, str | None]], window: int) -> Patter
 
 def search_texts(column: pa.Array, patterns: Patterns) -> tuple[np.ndarray, list[np.ndarray], list[set[str]]]:
     """For each text: its words, the places of words inside occurrences, the items found."""
+    tx.entering("decontaminate")
     words = words_of(column)
     covered = np.zeros(len(words.hashes) + 1, np.int64)
     items: list[set[str]] = [set() for _ in range(len(column))]

@@ -115,6 +115,9 @@ class Encoder:
         return list(map(b"".join, found))
 
 
+tx.MEMORIES["packing"] = Encoder._made.clear
+
+
 class Windows:
     """The open windows of a partition. A piece is (doc, start, ids, tokens of the document)."""
 

@@ -45,6 +45,7 @@ FEATURES = PAIRS + 6
 
 def passages_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The features of all passages, and where those of each text begin."""
+    tx.entering("quality")
     data, offsets = tx.utf8(column)
     starts, ends, firsts = tx.word_bounds(data, offsets, tx.SPACE)
     words = np.diff(firsts)

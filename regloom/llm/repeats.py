@@ -100,6 +100,7 @@ def segments_of(units: Units, shape: Shape) -> Segments:
     low = np.uint64(0xFFFFFFFF)
     keys = (seeds & ~low) | (low - np.arange(len(seeds), dtype=np.uint64))
     picks = (low - (least_of_runs(keys, shape.length - shape.seed + 1) & low)).astype(np.int64)
+    del keys
     # Windows that would reach into the next text are none.
     begin, end = units.offsets[:-1], units.offsets[1:]
     count = np.maximum(0, end - begin - shape.length + 1)
@@ -189,6 +190,7 @@ def write_blocks(documents: DataFrame, id: str, text: str, batch: int = 0) -> Da
 
 
 def read_block(rows: bytes) -> pa.RecordBatch:
+    tx.entering("repeats")
     table = pa.ipc.open_stream(rows).read_all().combine_chunks()
     return table.to_batches()[0]
 
@@ -326,7 +328,7 @@ def repeated_cores(entries: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = sum(np.dtype(k).itemsize for k in CORE)
         for batch in batches:
-            for rows in batch.column(1).to_pylist():
+            for rows in tx.values(batch.column(1)):
                 own = [r for r in rows if r["entries"]]
                 hashes, at, n, reach = unpack_all(CORE, [r["entries"] for r in own])
                 block = np.repeat(np.array([r["block"] for r in own], np.int64), [len(r["entries"]) // size for r in own])
@@ -384,7 +386,7 @@ def repeated_windows(entries: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = sum(np.dtype(k).itemsize for k in WINDOW)
         for batch in batches:
-            for rows in batch.column(1).to_pylist():
+            for rows in tx.values(batch.column(1)):
                 own = [r for r in rows if r["entries"]]
                 hashes, second, order, at = unpack_all(WINDOW, [r["entries"] for r in own])
                 block = np.repeat(np.array([r["block"] for r in own], np.int64), [len(r["entries"]) // size for r in own])

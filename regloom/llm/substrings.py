@@ -49,7 +49,7 @@ def _matched(entries: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in batch.column(1).to_pylist():
+            for rows in tx.values(batch.column(1)):
                 (anchor, content, order, at, n, reach), block, found = repeats.received(rows)
                 sort = np.lexsort((at, block, order, content, n == 0, anchor))
                 anchor, content, at, n, reach, block = (x[sort] for x in (anchor, content, at, n, reach, block))

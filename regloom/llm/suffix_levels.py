@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regloom.llm import repeats
+from regloom.llm import text as tx
 from regloom.llm.repeats import Shape
 from regloom.session import scratch_path
 
@@ -139,7 +140,7 @@ class SuffixLevels:
 
             def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
-                    for bucket, a, b in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    for bucket, a, b in zip(*(tx.values(batch.column(i)) for i in range(3))):
                         yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([_merged(a or b"", b or b"")], pa.binary())], ["bucket", "level"])
 
             both = self._level(older).join(self._level(newer).withColumnRenamed("level", "newer"), "bucket", "full")
@@ -161,7 +162,7 @@ class SuffixLevels:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds = [("bucket", pa.int64()), ("level", pa.binary()), ("block", pa.int64()), ("spans", pa.binary()), ("wanted", pa.binary())]
             for batch in batches:
-                for bucket, entries, *levels in zip(*(batch.column(i).to_pylist() for i in range(2 + len(names)))):
+                for bucket, entries, *levels in zip(*(tx.values(batch.column(i)) for i in range(2 + len(names)))):
                     new, found = _scan_bucket(entries, [x for x in levels if x])
                     out = [(bucket, repeats.pack(LEVEL, new), None, None, None)]
                     out += [(bucket, None, block, spans, wanted) for _, block, _, spans, wanted in found.rows]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,18 @@ LOWERED[0x41:0x5B] += 32
 
 U64 = np.uint64
 
+#: What workers remember between tasks, by operator: how to forget it. Spark keeps workers for
+#: later stages, which need the room.
+MEMORIES: dict[str, Callable[[], None]] = {}
+
+
+def entering(operator: str) -> None:
+    """To be called where an operator's work begins: the others' memories are dropped."""
+    for name, forget in MEMORIES.items():
+        if name != operator:
+            forget()
+
+
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in runs of at most so many bytes of text, or one row."""
@@ -129,3 +141,8 @@ def packed(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Arrays end to end, and the offsets of each."""
     lengths = np.fromiter((len(x) for x in lists), np.int64, len(lists))
     return (np.concatenate(lists) if lists else np.zeros(0, np.int64)), np.concatenate([[0], np.cumsum(lengths)])
+
+
+def values(column: pa.Array) -> Iterator:
+    """The values of a column one by one, so that only one is copied at a time."""
+    return (x.as_py() for x in column)
