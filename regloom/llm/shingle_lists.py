@@ -1,0 +1,255 @@
+"""Lists in which every two texts with a Jaccard similarity of at least 0.8 meet.
+
+A text's shingles are ordered with the rarest first; of n shingles the first n // 5 + 1 are its
+prefix. Two texts of at least that similarity have a shingle of both prefixes in common (if they
+had none, more than a fifth of one would be missing from the other), so each text is listed
+under the shingles of its prefix, and no similar pair is lost. Any order that all texts follow
+is right. The one used counts shingles in about a million counters, so what many texts hold
+(templates, boilerplate) comes last and lists are short.
+
+A list is ordered by size. Two texts of a list may be similar only if their sizes allow it and
+if what follows the common shingle in both is enough; the pair is named by its first common
+shingle, for which this holds. Pairs are named in rounds: each text with the next of its list,
+then with those further ahead, eight times as far in each round. Pairs that are already
+connected are left out, and so are lists that are connected as a whole: a group of copies is
+done after a round or two. No other pair is left out.
+
+Long lists are cut: a task compares a few thousand texts of a list with those ahead of them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import groupby
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from regloom.llm import repeats, simhash
+from regloom.llm import text as tx
+
+WORDS = 5
+#: Counters for the order of shingles, and the parts in which they are added up.
+COUNTERS, PARTS = 1 << 20, 64
+COUNTER_BITS = np.uint64(44)
+#: Entries of a bucket of lists.
+BUCKET_ENTRIES = 1 << 20
+#: How much further ahead each round looks, and from where on long lists are cut.
+FURTHER, CUT = 8, 4096
+ENTRY = ("<u4", "<i8", "<u4", "<u2")  # shingle, node, size of the text's set, place in its prefix
+CUT_ENTRY = ("<i8", "<i8", "<i8", "<i8")  # node, size, rest, root
+LIST = "list long, node long, size long, place int"
+
+
+def word_runs(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of so many words (or of a shorter text's words), and the texts' offsets."""
+    joined, starts, ends, firsts = simhash.joined_words(column)
+    values = tx.Rolling(tx.BYTE_VALUES[np.frombuffer(joined, np.uint8)]).of(starts, ends)
+    n = np.diff(firsts)
+    counts = np.where(n == 0, 0, np.maximum(1, n - words + 1))
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    first = np.repeat(firsts[:-1] - offsets[:-1], counts) + np.arange(offsets[-1])
+    last = np.minimum(first + words, np.repeat(firsts[1:], counts))
+    return tx.Rolling(values, 5).of(first, last), offsets
+
+
+def sets(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct hashes in order, and their offsets."""
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    order = np.lexsort((hashes, text))
+    fresh = order[repeats.changes(text[order], hashes[order])]
+    return hashes[fresh], np.searchsorted(text[fresh], np.arange(len(offsets)))
+
+
+def similar(both: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether sets of sizes x and y with so many members in common have a similarity of at least 0.8."""
+    return 9 * both >= 4 * (x + y)
+
+
+def _counters(found: DataFrame, text: str) -> np.ndarray:
+    """How often shingles of each counter occur in the texts of ``found`` (rows, found)."""
+    width = COUNTERS // PARTS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for column, _ in _texts(batch, text):
+                values, _ = sets(*word_runs(column, WORDS))
+                total += np.bincount((values >> COUNTER_BITS).astype(np.int64), minlength=COUNTERS)
+        if total.any():
+            data = np.minimum(total, 0xFFFFFFFF).astype("<u4").reshape(PARTS, width)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS), pa.int32()), pa.array([d.tobytes() for d in data], pa.binary())], ["part", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, blob in zip(batch.column(0).to_pylist(), tx.values(batch.column(1))):
+                sums[part] = sums.get(part, 0) + np.frombuffer(blob, "<u4").astype(np.int64)
+        blobs = [np.minimum(s, 0xFFFFFFFF).astype("<u4").tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(blobs, pa.binary())], ["part", "counts"])
+
+    schema = "part int, counts binary"
+    result = np.zeros((PARTS, width), "<u4")
+    for row in found.mapInArrow(count, schema).repartition(PARTS, "part").mapInArrow(add, schema).collect():
+        result[row.part] = np.frombuffer(row.counts, "<u4")
+    return result.reshape(-1)
+
+
+def _texts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The wanted texts of each block, and their nodes."""
+    for data, found in zip(batch.column(0), tx.values(batch.column(1))):
+        column = repeats.read_block(data.as_buffer()).column(text)
+        yield column.take(pa.array([f["row"] for f in found], pa.int64())), np.array([f["node"] for f in found], np.int64)
+
+
+def rows_of(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Blocks (``rows``) with the wanted (node, block, row) of each as ``found``."""
+    by_block = wanted.groupBy(F.col("block").alias("at")).agg(F.collect_list(F.struct("node", "row")).alias("found"))
+    return blocks.join(by_block, blocks["block"] == by_block["at"]).select("rows", "found")
+
+
+def lists(blocks: DataFrame, texts: DataFrame, text: str) -> DataFrame:
+    """The lists of more than two texts, and in ``next`` the pairs of neighbours in all lists.
+
+    ``texts``: node, block and row of each text once. A row without a valid pair has no ``next``.
+    """
+    spark = blocks.sparkSession
+    found = rows_of(blocks, texts)
+    counters = _counters(found, text)
+    buckets = max(16, int(counters.sum(dtype=np.int64)) // 5 // BUCKET_ENTRIES)
+    sent = spark.sparkContext.broadcast(counters)
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for column, nodes in _texts(batch, text):
+                values, cut = sets(*word_runs(column, WORDS))
+                size = np.diff(cut)
+                of = np.repeat(np.arange(len(size)), size)
+                values = values[np.lexsort((values, sent.value[(values >> COUNTER_BITS).astype(np.int64)], of))]
+                place = np.arange(len(values)) - np.repeat(cut[:-1], size)
+                early = place <= np.repeat(size // 5, size)
+                # Texts without words are similar to each other.
+                none = np.flatnonzero(size == 0)
+                values = np.concatenate([values[early], np.zeros(len(none), np.uint64)])
+                of, place = np.concatenate([of[early], none]), np.concatenate([place[early], np.zeros(len(none), np.int64)])
+                bucket = (tx.mix(values) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                places = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                some = np.flatnonzero(np.diff(places))
+                columns = [(values & np.uint64(0xFFFFFFFF))[order], nodes[of[order]], size[of[order]], np.minimum(place[order], 0xFFFF)]
+                blobs = [repeats.pack(ENTRY, [c[s:e] for c in columns]) for s, e in zip(places[some].tolist(), places[some + 1].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), tx.values(batch.column(1))))
+        for bucket, own in groupby(rows, key=lambda row: row[0]):
+            key, node, size, place = repeats.unpack_all(ENTRY, [blob for _, blob in own])
+            order = np.lexsort((node, size, key))
+            key, node, size, place = key[order], node[order], size[order].astype(np.int64), place[order].astype(np.int32)
+            left, length = _left(key)
+            follows = np.zeros(len(key), bool)
+            for i, j in _ahead(left, size, size - place, node, 1, 2):
+                follows[i] = True
+            stay = np.flatnonzero(follows | (length > 2))
+            beside = pa.array(np.append(node[1:], 0)[stay], pa.int64(), mask=~follows[stay])
+            columns = [pa.array((bucket << 32) | key[stay].astype(np.int64)), pa.array(node[stay]), pa.array(size[stay]), pa.array(place[stay]), beside]
+            yield pa.RecordBatch.from_arrays(columns, ["list", "node", "size", "place", "next"])
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    entries = found.mapInArrow(index, "bucket long, entries binary")
+    return entries.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, f"{LIST}, next long")
+
+
+def _left(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many rows of the same list follow each row, and how many the list has."""
+    first = np.flatnonzero(repeats.changes(keys))
+    length = np.diff(np.append(first, len(keys)))
+    return np.repeat(first + length, length) - 1 - np.arange(len(keys)), np.repeat(length, length)
+
+
+def _ahead(left: np.ndarray, size: np.ndarray, rest: np.ndarray, root: np.ndarray, start: int, stop: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows from ``start`` to before ``stop`` apart in a list that may be similar and have different roots."""
+    i = np.flatnonzero(left >= start)
+    for d in range(start, stop):
+        i = i[left[i] >= d]
+        # Sizes grow along a list: what is too large for a row stays so.
+        i = i[5 * size[i] >= 4 * size[i + d]]
+        if not len(i):
+            return
+        j = i + d
+        fit = (root[i] != root[j]) & similar(np.minimum(rest[i], rest[j]), size[i], size[j])
+        yield i[fit], j[fit]
+
+
+def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of rows that are sorted by list, cut between lists."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy() for c in batch.columns]
+        columns = [np.concatenate(x) for x in zip(held, columns)] if held else columns
+        cut = int(np.searchsorted(columns[0], columns[0][-1]))
+        if cut:
+            yield [c[:cut] for c in columns]
+        held = [c[cut:] for c in columns]
+    if held:
+        yield held
+
+
+def _by_list(rows: DataFrame) -> DataFrame:
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select("list", "node", "size", "place", "root").repartition(parts, "list").sortWithinPartitions("list", "size", "node")
+
+
+def unfinished(rows: DataFrame, reach: int) -> DataFrame:
+    """The lists with more than ``reach`` texts and more than one root."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, node, size, place, root in _whole_lists(batches):
+            first = np.flatnonzero(repeats.changes(key))
+            length = np.diff(np.append(first, len(key)))
+            stay = (length > reach) & (np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first))
+            stay = np.repeat(stay, length)
+            yield pa.RecordBatch.from_arrays([pa.array(c[stay]) for c in (key, node, size, place, root)], ["list", "node", "size", "place", "root"])
+
+    return _by_list(rows).mapInArrow(work, f"{LIST}, root long")
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def pairs(rows: DataFrame, start: int, stop: int) -> DataFrame:
+    """Pairs of nodes from ``start`` to before ``stop`` apart in their list that may be similar."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, node, size, place, root in _whole_lists(batches):
+            for i, j in _ahead(_left(key)[0], size, size - place, root, start, stop):
+                yield _pairs(node[i], node[j])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, node, size, place, root in _whole_lists(batches):
+            first = np.flatnonzero(repeats.changes(key))
+            columns = [node, size, size - place, root]
+            for s, e in zip(first.tolist(), np.append(first[1:], len(key)).tolist()):
+                for at in range(s, e - start, CUT):
+                    blob = repeats.pack(CUT_ENTRY, [c[at : min(e, at + CUT + stop)] for c in columns])
+                    yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["piece"])
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in tx.values(batch.column(0)):
+                node, size, rest, root = repeats.unpack(CUT_ENTRY, blob)
+                # Only the first rows are this piece's; the others are there to be met.
+                left = np.where(np.arange(len(node)) < CUT, len(node) - 1 - np.arange(len(node)), 0)
+                for i, j in _ahead(left, size, rest, root, start, stop):
+                    yield _pairs(node[i], node[j])
+
+    schema = "a long, b long"
+    if stop <= CUT:
+        return _by_list(rows).mapInArrow(whole, schema).distinct()
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _by_list(rows).mapInArrow(cut, "piece binary").repartition(parts).mapInArrow(pieces, schema).distinct()

@@ -1,18 +1,23 @@
-"""One document of each group of near duplicates, by SimHash over a byte-position index.
+"""One document of each group of near duplicates, by SimHash over a byte-position index and prefix lists.
 
 Two texts are near duplicates if their sets of shingles of five words have a Jaccard
-similarity of at least 0.8. That is far more than four bits of 64, so this stage takes
-fingerprints of 192 bits over the set of a text's words. Two fingerprints that differ in at
-most 15 bits share at least 9 of 24 bytes at the same positions: the guaranteed minimum. The
+similarity of at least 0.8. Groups are what such pairs connect, all of them. Pairs are sought
+in two ways, and verified by their shingles.
+
+First by fingerprints of 192 bits over the set of a text's words. Two that differ in at most
+15 bits share at least 9 of 24 bytes at the same positions: the guaranteed minimum. The
 positions are in four groups of six; whoever shares nine shares three of one group, and so
 meets in the list of those three bytes. Pairs that meet are tallied over all positions; from
-nine on they are candidates, and candidates are verified by their shingles.
+nine on they are candidates. Of its candidates in a list each text names the one that shares
+most and the one of least hash. This connects most of what scattered edits have set apart, but
+similarity of shingles does not imply so few bits, and a text's two may be the wrong ones.
+
+Then by the prefix lists of ``shingle_lists``, in which every similar pair meets: in rounds,
+pairs of texts that are not yet connected are verified and what they connect is merged, until
+no untried pair is left between different groups.
 
-Of its candidates in a list each text names the one that shares most and the one of least
-hash, so a list of n texts gives at most 2n pairs; groups are what verified pairs connect.
-Texts that only a pair named by neither would connect both stay. Equal texts are one from the
-start. Documents are kept as blocks (see ``repeats``): neither the verification nor the
-result shuffles texts.
+Equal texts are one from the start. Documents are kept as blocks (see ``repeats``): neither the
+verification nor the result shuffles texts.
 
 Defined results: of each group the document of least id stays, null ids last; of equal rows
 one stays. Null and empty texts are equal. A text of fewer than five words has one shingle.
@@ -30,39 +35,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from regloom.llm import repeats, simhash
+from regloom.llm import repeats, shingle_lists, simhash
 from regloom.llm import text as tx
 from regloom.llm.components import components
 from regloom.session import scratch_path
 
-WORDS, SIMILARITY = 5, 0.8
 POSITIONS, GROUP, SHARED = 24, 6, 9
 CHOICES = [c for g in range(0, POSITIONS, GROUP) for c in combinations(range(g, g + GROUP), 3)]
 
 
-def _word_runs(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all runs of so many words (or of a shorter text's words), and the texts' offsets."""
-    joined, starts, ends, firsts = simhash.joined_words(column)
-    values = tx.Rolling(tx.BYTE_VALUES[np.frombuffer(joined, np.uint8)]).of(starts, ends)
-    n = np.diff(firsts)
-    counts = np.where(n == 0, 0, np.maximum(1, n - words + 1))
-    offsets = np.concatenate([[0], np.cumsum(counts)])
-    first = np.repeat(firsts[:-1] - offsets[:-1], counts) + np.arange(offsets[-1])
-    last = np.minimum(first + words, np.repeat(firsts[1:], counts))
-    return tx.Rolling(values, 5).of(first, last), offsets
-
-
-def _sets(hashes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's distinct hashes in order, and their offsets."""
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    order = np.lexsort((hashes, text))
-    fresh = order[repeats.changes(text[order], hashes[order])]
-    return hashes[fresh], np.searchsorted(text[fresh], np.arange(len(offsets)))
-
-
 def wide_fingerprints(column: pa.Array) -> np.ndarray:
     """Three words of 64 bits for each text."""
-    hashes, offsets = _sets(*_word_runs(column, 1))
+    hashes, offsets = shingle_lists.sets(*shingle_lists.word_runs(column, 1))
     return np.stack([simhash.fingerprints(tx.mix(hashes + np.uint64(k)), offsets) for k in (1, 2, 3)], 1)
 
 
@@ -151,14 +135,13 @@ def _profiles(blocks: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
             for data, found in zip(batch.column(0), batch.column(1).to_pylist()):
                 rows = repeats.read_block(data.as_buffer())
                 column = rows.column(text).take(pa.array([f["row"] for f in found], pa.int64()))
-                hashes, offsets = _word_runs(column, WORDS)
-                values, cut = _sets(hashes >> np.uint64(32), offsets)
+                hashes, offsets = shingle_lists.word_runs(column, shingle_lists.WORDS)
+                values, cut = shingle_lists.sets(hashes >> np.uint64(32), offsets)
                 data4 = values.astype("<u4").tobytes()
                 blobs = [data4[4 * s : 4 * e] for s, e in zip(cut[:-1].tolist(), cut[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array([f["node"] for f in found], pa.int64()), pa.array(blobs, pa.binary())], ["node", "shingles"])
 
-    by_block = wanted.groupBy(F.col("block").alias("at")).agg(F.collect_list(F.struct("node", "row")).alias("found"))
-    return blocks.join(by_block, blocks["block"] == by_block["at"]).select("rows", "found").mapInArrow(work, "node long, shingles binary")
+    return shingle_lists.rows_of(blocks, wanted).mapInArrow(work, "node long, shingles binary")
 
 
 def _verified(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -168,7 +151,7 @@ def _verified(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 u, v = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
                 both = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(both >= SIMILARITY * (len(u) + len(v) - both) - 1e-9)
+                keep.append(bool(shingle_lists.similar(both, len(u), len(v))))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = profiles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
@@ -176,24 +159,72 @@ def _verified(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(work, "a long, b long")
 
 
+class _Groups:
+    """What verified pairs have connected so far."""
+
+    def __init__(self, blocks: DataFrame, texts: DataFrame, text: str):
+        self.spark, self.blocks, self.texts, self.text = blocks.sparkSession, blocks, texts, text
+        self.profiles = scratch_path(self.spark, "profiles")
+        self.tried = self.spark.createDataFrame([], "a long, b long")
+        self.roots = self.spark.createDataFrame([], "node long, root long")
+
+    def rooted(self, rows: DataFrame, node: str, root: str) -> DataFrame:
+        roots = self.roots.select(F.col("node").alias("member"), F.col("root").alias("found"))
+        return rows.join(roots, rows[node] == roots["member"], "left").withColumn(root, F.coalesce("found", node)).drop("member", "found")
+
+    def add(self, pairs: DataFrame) -> None:
+        """Verifies the pairs that were not tried and are not connected."""
+        path, first = scratch_path(self.spark, "pairs"), not self.tried.take(1)
+        if not first:
+            open_ = self.rooted(self.rooted(pairs, "a", "left"), "b", "right").where("left <> right")
+            pairs = open_.select("a", "b").join(self.tried, ["a", "b"], "left_anti")
+        pairs.write.parquet(path)
+        pairs = self.spark.read.parquet(path)
+        if not pairs.take(1):
+            return
+        named = pairs.select(F.explode(F.array("a", "b")).alias("named")).distinct()
+        wanted = self.texts.join(named, self.texts["node"] == named["named"], "left_semi").select("node", "place.block", "place.row")
+        if not first:
+            wanted = wanted.join(self.spark.read.parquet(self.profiles).select("node"), "node", "left_anti")
+        _profiles(self.blocks, wanted, self.text).write.mode("append").parquet(self.profiles)
+        edges = _verified(pairs, self.spark.read.parquet(self.profiles))
+        self.tried = self.tried.unionByName(pairs)
+        self.roots = components(edges.unionByName(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _connect_all(groups: _Groups, lists: DataFrame) -> None:
+    """Tries the pairs of the lists, round by round, until none is left between groups."""
+    spark = groups.spark
+    groups.add(lists.where("next is not null").select(F.least("node", "next").alias("a"), F.greatest("node", "next").alias("b")).distinct())
+    start, stop = 2, shingle_lists.FURTHER
+    while True:
+        path = scratch_path(spark, "lists")
+        shingle_lists.unfinished(groups.rooted(lists, "node", "root"), start).write.parquet(path)
+        rows = spark.read.parquet(path)
+        if not rows.take(1):
+            return
+        groups.add(shingle_lists.pairs(rows, start, stop))
+        lists = rows.drop("root")
+        start, stop = stop, stop * shingle_lists.FURTHER
+
+
 def drop_near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents of which each group of near duplicates keeps one."""
     spark = documents.sparkSession
     blocks = repeats.write_blocks(documents, id, text)
-    prints_path, pairs_path, profile_path = (scratch_path(spark, x) for x in ("prints", "pairs", "profiles"))
+    prints_path, texts_path, lists_path = (scratch_path(spark, x) for x in ("prints", "texts", "lists"))
     _prints(blocks, id, text).write.parquet(prints_path)
     prints = spark.read.parquet(prints_path)
     # Null ids last: of a group, the row that stays.
     place = F.struct(F.col("id").isNull().alias("nameless"), "id", "block", "row")
-    reps = prints.groupBy("node").agg(F.min(place).alias("place"), F.min("print").alias("print"))
-    _candidates(reps, prints.count()).write.parquet(pairs_path)
-    pairs = spark.read.parquet(pairs_path)
-    named = pairs.select(F.explode(F.array("a", "b")).alias("named")).distinct()
-    wanted = reps.join(named, reps["node"] == named["named"], "left_semi").select("node", "place.block", "place.row")
-    _profiles(blocks, wanted, text).write.parquet(profile_path)
-    roots = components(_verified(pairs, spark.read.parquet(profile_path)))
-    grouped = reps.join(roots.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
-    kept = grouped.groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("place").alias("place"))
+    prints.groupBy("node").agg(F.min(place).alias("place"), F.min("print").alias("print")).write.parquet(texts_path)
+    reps = spark.read.parquet(texts_path)
+    groups = _Groups(blocks, reps.select("node", "place"), text)
+    groups.add(_candidates(reps, prints.count()))
+    shingle_lists.lists(blocks, reps.select("node", "place.block", "place.row"), text).write.parquet(lists_path)
+    _connect_all(groups, spark.read.parquet(lists_path))
+    grouped = groups.rooted(reps.select("node", "place"), "node", "root")
+    kept = grouped.groupBy("root").agg(F.min("place").alias("place"))
     stay = kept.groupBy(F.col("place.block").alias("at")).agg(F.collect_list("place.row").alias("stay"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
