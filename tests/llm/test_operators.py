@@ -186,6 +186,22 @@ def test_near_copies_in_a_crowd_of_one_template(spark):
     assert kept_of(spark, texts) == expected
 
 
+def test_near_copies_with_a_changed_passage_or_an_appendix(spark):
+    rng = np.random.default_rng(12)
+    texts = []
+    for d in range(120):
+        own = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        near = list(own)
+        if d % 2:
+            at = rng.integers(0, 274)
+            near[at : at + 26] = [f"new{x}" for x in rng.integers(0, 5000, 26)]
+        else:
+            near += [f"new{x}" for x in rng.integers(0, 5000, 60)]
+        texts += [" ".join(own), " ".join(near)]
+    assert least_of_groups(texts) == list(range(0, 240, 2))
+    assert kept_of(spark, texts) == list(range(0, 240, 2))
+
+
 def test_wu_manber(spark, docs):
     rows = ordered(docs.collect())
     pick = [t for _, t in rows if len(t) > 200][:6]
