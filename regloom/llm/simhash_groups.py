@@ -9,7 +9,8 @@ First by fingerprints of 192 bits over the set of a text's words. Two that diffe
 positions are in four groups of six; whoever shares nine shares three of one group, and so
 meets in the list of those three bytes. Pairs that meet are tallied over all positions; from
 nine on they are candidates. Of its candidates in a list each text names the one that shares
-most and the one of least hash. This connects most of what scattered edits have set apart, but
+most and the one of least hash; a long list is compared in runs, so that none is one task's
+square. This connects most of what scattered edits have set apart, but
 similarity of shingles does not imply so few bits, and a text's two may be the wrong ones.
 
 Then by the prefix lists of ``shingle_lists``, in which every similar pair meets: in rounds,
@@ -41,6 +42,8 @@ from regloom.llm.components import components
 from regloom.session import scratch_path
 
 POSITIONS, GROUP, SHARED = 24, 6, 9
+#: Longer lists are compared in runs of so many; what that misses, the prefix lists find.
+LONG = 4096
 CHOICES = [c for g in range(0, POSITIONS, GROUP) for c in combinations(range(g, g + GROUP), 3)]
 
 
@@ -67,7 +70,11 @@ def _prints(blocks: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _named_pairs(prints: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text of a list, the candidate that shares most bytes and the one of least hash."""
+    """Of each text of a list (or of a run of a long one), the candidate that shares most bytes and the one of least hash."""
+    if len(nodes) > LONG:
+        runs = [_named_pairs(prints[at : at + LONG], nodes[at : at + LONG]) for at in range(0, len(nodes), LONG)]
+        a, b = (np.concatenate(x) for x in zip(*runs))
+        return a, b
     octets = prints.view(np.uint8).reshape(-1, POSITIONS)
     left, right = [], []
     step = max(1, (1 << 20) // len(nodes))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from regloom.llm import chat, decontaminate, packing, quality, simhash, simhash_groups, substrings, suffix_levels, urlfilter, warc, winnow
+from regloom.llm import chat, decontaminate, packing, quality, shingle_lists, simhash, simhash_groups, substrings, suffix_levels, urlfilter, warc, winnow
 from regloom.llm.components import components
 from regloom.llm.queries import tokenizer_path
 from tests.llm import data
@@ -202,6 +202,18 @@ def test_near_copies_with_a_changed_passage_or_an_appendix(spark):
     assert kept_of(spark, texts) == list(range(0, 240, 2))
 
 
+def test_long_lists_are_compared_in_runs(spark):
+    n, run = simhash_groups.LONG * 2 + 1, simhash_groups.LONG
+    a, b = simhash_groups._named_pairs(np.ones((n, 3), np.uint64), np.arange(n))
+    assert (a // run == b // run).all() and len(set(a.tolist()) | set(b.tolist())) == n - 1 + (n - 1 in a)
+    # The prefix lists leave no pair out where they are cut.
+    odd, far = [10, 4200, 5900], shingle_lists.CUT * 8
+    root = F.when(F.col("id").isin(odd), 1).otherwise(0).cast("long")
+    rows = spark.range(9000).select(F.lit(7).cast("long").alias("list"), F.col("id").alias("node"), F.lit(50).cast("long").alias("size"), F.lit(0).alias("place"), root.alias("root"))
+    expected = {(min(i, o), max(i, o)) for o in odd for i in range(9000) if i not in odd and abs(i - o) >= 2}
+    assert {(r.a, r.b) for r in shingle_lists.pairs(rows, 2, far).collect()} == expected
+
+
 def test_wu_manber(spark, docs):
     rows = ordered(docs.collect())
     pick = [t for _, t in rows if len(t) > 200][:6]
