@@ -90,9 +90,9 @@ FRAGMENT_ROWS, FILES_PER_BATCH = 2_000, 8
 
 
 def fragment_split(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows after the split of one partition, fragments, and those beyond the limit (none)."""
-    path = scratch_path(spark, "split")
-    tables.write_fragments(inputs.etab_clean(spark, folder).coalesce(1), path, rows=FRAGMENT_ROWS)
+    """Rows after the split into full fragments, fragments, and those beyond the limit (none)."""
+    path, staged = scratch_path(spark, "split"), scratch_path(spark, "unsplit")
+    tables.write_full_fragments(inputs.etab_clean(spark, folder), path, FRAGMENT_ROWS, staged)
     per_file = (
         spark.read.parquet(path)
         .select("seq", F.col("_metadata.file_path").alias("file"))

@@ -33,6 +33,31 @@ def write_fragments(
     writer.save(path)
 
 
+def write_full_fragments(df: DataFrame, path: str, rows: int, staged: str) -> None:
+    """Add files of exactly ``rows`` rows, but for the last, from as many tasks as a shuffle has.
+
+    ``staged`` is a folder for the rows while they are numbered: only the number of rows of
+    each of its partitions comes to the driver.
+    """
+    spark = df.sparkSession
+    df.write.parquet(staged)
+    # The upper bits are the partition, the lower 33 the row's place in it.
+    placed = spark.read.parquet(staged).withColumn("_place", F.monotonically_increasing_id())
+    part = F.shiftright("_place", 33)
+    counts = {r.part: r.n for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    firsts, total = [], 0
+    for p in range(max(counts, default=0) + 1):
+        firsts.append(total)
+        total += counts.get(p, 0)
+    fragments = max(1, -(-total // rows))
+    each = -(-fragments // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    first = F.get(F.array(*map(F.lit, firsts)).cast("array<bigint>"), part.cast("int"))
+    number = first + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    task = F.floor(number / F.lit(rows * each)).cast("int")
+    dealt = placed.repartitionById(-(-fragments // each), task).drop("_place")
+    write_fragments(dealt, path, rows=rows)
+
+
 def append_staging(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

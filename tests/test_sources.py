@@ -148,3 +148,14 @@ def test_upsert_reads_a_published_version_where_it_lies(spark, tmp_path):
         assert spark.table("published_v1").count() == 40
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_full_fragments_come_from_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "full")
+    df = spark.range(0, 1050, 1, 7)
+    tables.write_full_fragments(df, path, 100, str(tmp_path / "staged"))
+    files = spark.read.parquet(path).select("id", F.col("_metadata.file_name").alias("file"))
+    sizes = sorted(r["count"] for r in files.groupBy("file").count().collect())
+    assert sizes == [50] + [100] * 10
+    assert sorted(r.id for r in files.collect()) == list(range(1050))
+    assert len({r.file.split("-")[1] for r in files.collect()}) > 1
