@@ -90,3 +90,38 @@ select page_id, cast(n as bigint) as payload_bytes,
     case when page_id <> least then least end as refers_to
 from judged
 """
+
+ORACLES["op13_importance"] = r"""
+with crc_table as (
+    select list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as t),
+doc as (
+    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
+item as (
+    select list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from benchmark),
+doc_words as (select doc_id, unnest(w) as word from doc),
+item_words as (select unnest(w) as word from item),
+distinct_words as (select word, hex(encode(word)) as h from (select word from doc_words union select word from item_words)),
+hashed as (
+    select word, xor(list_reduce(list_transform(range(length(h) // 2), lambda i: cast('0x' || substr(h, 2 * i + 1, 2) as bigint)),
+        lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) % 10000 as bucket
+    from distinct_words, crc_table),
+here as (select bucket, count(*) as s from doc_words join hashed using (word) group by bucket),
+there as (select bucket, count(*) as t from item_words join hashed using (word) group by bucket),
+totals as (select (select coalesce(sum(s), 0) from here) as ss, (select coalesce(sum(t), 0) from there) as tt),
+gains as (
+    select bucket, cast(floor(1000 * ln(cast((coalesce(t, 0) + 1) * (ss + 10000) as double)
+        / cast((coalesce(s, 0) + 1) * (tt + 10000) as double))) as bigint) as gain
+    from here full join there using (bucket), totals),
+weights as (select doc_id, sum(gain) as weight from doc_words join hashed using (word) join gains using (bucket) group by doc_id),
+scored as (
+    select doc_id, cast(len(w) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+        cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('2024:' || doc_id), 1, 8) as bigint) + 0.5::double) / 4294967296))) as bigint) as score
+    from doc left join weights using (doc_id)),
+placed as (
+    select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 20)
+select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end as rank
+from scored left join placed using (doc_id)
+"""

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: digests of their results by contract."""
+"""The registered queries of the operators: digests of their results by contract."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, decontaminate, packing, quality, simhash, substrings, suffix_levels, urlfilter, warc, winnow
+from regloom.llm import chat, decontaminate, importance, packing, quality, simhash, substrings, suffix_levels, urlfilter, warc, winnow
 from regloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +129,12 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    drawn = importance.resample(documents, _table(spark, folder, "benchmark"), keep=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_warc": op2_warc,
@@ -140,4 +146,5 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
+    "op13_importance": op13_importance,
 }
