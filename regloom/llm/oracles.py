@@ -125,3 +125,39 @@ placed as (
 select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end as rank
 from scored left join placed using (doc_id)
 """
+
+
+def _codebook_sql(rounds: int) -> str:
+    """Assigning and averaging, one pair of tables for each round, then the final assignment."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+d{r} as materialized (
+    select vec_id, p, e, cast(sum((a.x - b.x) * (a.x - b.x)) as bigint) as d from comp a join e{r} b using (p, c) group by vec_id, p, e),
+a{r} as materialized (
+    select vec_id, p, e, d from d{r} qualify row_number() over (partition by vec_id, p order by d, e) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} as materialized (
+    select p, e, c, (s - ((s % n) + n) % n) // n as x
+    from (select p, e, c, cast(sum(x) as bigint) as s, count(*) as n from a{r} join comp using (vec_id, p) group by p, e, c)),
+e{r + 1} as materialized (
+    select p, e, c, coalesce(m.x, o.x) as x from e{r} o left join m{r} m using (p, e, c))""")
+    return ",".join(steps)
+
+
+ORACLES["op12_codebooks"] = rf"""
+with vec as materialized (
+    select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v
+    from embeddings where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+comp as materialized (
+    select vec_id, (i * 8) // len(v) as p, i % (len(v) // 8) as c, v[i + 1] as x from vec, lateral (select unnest(range(len(v))) as i)),
+e0 as materialized (
+    select p, r - 1 as e, c, x from comp join (select vec_id, row_number() over (order by vec_id) as r from vec) using (vec_id) where r <= 16),
+{_codebook_sql(6)},
+coded as (
+    select vec_id, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error from a6 group by vec_id)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+    (select sha256(string_agg(x, ',' order by p, e, c)) from e6) as codebooks_sha256
+from coded join vec using (vec_id)
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, decontaminate, importance, packing, quality, simhash, substrings, suffix_levels, urlfilter, warc, winnow
+from regloom.llm import chat, codebooks, decontaminate, importance, packing, quality, simhash, substrings, suffix_levels, urlfilter, warc, winnow
+from regloom.llm.hot import join_values
 from regloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +130,17 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_codebooks(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = codebooks.compress(vectors, keep=["vec_id", "label"])
+    path = scratch_path(spark, "codes")
+    coded.write.parquet(path)
+    coded = spark.read.parquet(path)
+    by_label = coded.groupBy("label").agg(F.sum("error").alias("label_error"), F.count(F.lit(1)).alias("n"))
+    summed = join_values(coded, by_label, "label", "n")
+    return summed.select("vec_id", "code", "error", "label_error", F.lit(books.sha256 if books else None).alias("codebooks_sha256"))
+
+
 def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     drawn = importance.resample(documents, _table(spark, folder, "benchmark"), keep=["doc_id"])
@@ -146,5 +158,6 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
+    "op12_codebooks": op12_codebooks,
     "op13_importance": op13_importance,
 }
