@@ -161,3 +161,18 @@ select vec_id, code, error, cast(sum(error) over (partition by label) as bigint)
     (select sha256(string_agg(x, ',' order by p, e, c)) from e6) as codebooks_sha256
 from coded join vec using (vec_id)
 """
+
+ORACLES["op11_embedding_dups"] = r"""
+with recursive sound as materialized (
+    select vec_id, cast(embedding as double[]) as v from embeddings
+    where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as materialized (
+    select a.vec_id as a, b.vec_id as b from sound a join sound b
+    on a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(a, b) as (select a, b from links union select reach.a, links.b from reach join links on reach.b = links.a),
+counted as (select a as vec_id, count(*) as n from links group by a),
+least as (select a as vec_id, min(b) as m from reach group by a)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, m) as component_id, m is null or vec_id <= m as kept
+from embeddings left join counted using (vec_id) left join least using (vec_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, codebooks, decontaminate, importance, packing, quality, simhash, substrings, suffix_levels, urlfilter, warc, winnow
+from regloom.llm import chat, codebooks, decontaminate, importance, packing, quality, quantised, simhash, substrings, suffix_levels, urlfilter, warc, winnow
 from regloom.llm.hot import join_values
 from regloom.session import scratch_path
 
@@ -130,6 +130,11 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_embedding_dups(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return quantised.near_duplicates(vectors, keep=["vec_id"])
+
+
 def op12_codebooks(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
     coded, books = codebooks.compress(vectors, keep=["vec_id", "label"])
@@ -158,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_chat_format": op10_chat_format,
+    "op11_embedding_dups": op11_embedding_dups,
     "op12_codebooks": op12_codebooks,
     "op13_importance": op13_importance,
 }
