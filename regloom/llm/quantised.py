@@ -44,7 +44,7 @@ from regloom.llm.hot import join_values
 from regloom.llm.ship import ship
 from regloom.session import scratch_path
 
-LEAST, PROBES, SPREAD = 0.9, 12, 3.0
+LEAST, PROBES, SPREAD = 0.9, 12, 2.0
 #: Numbers (components) of the sample that the index is fitted on, and lists at most.
 SAMPLE, MOST_LISTS = 1 << 21, 4096
 WIDTH, CODES, ROUNDS = 4, 64, 8
@@ -123,8 +123,8 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def _arrays(column: pa.Array) -> list[np.ndarray]:
-    """Vectors of a column of doubles, without nulls, scaled by their largest component."""
-    values, offsets = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    """Vectors of a column without nulls, as doubles."""
+    values, offsets = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), column.offsets.to_numpy()
     offsets = offsets - offsets[0]
     return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
 
@@ -136,8 +136,13 @@ def sound(vector: str) -> F.Column:
     return F.coalesce((total > 0) & (total < float("inf")), F.lit(False))
 
 
-PLACED = "node long, copies long, home int, probes array<int>, code binary, bound float, vector array<double>"
-TILE = "list int, across int, down int, query boolean, node long, copies long, home int, probes array<int>, code binary, bound float, vector array<double>"
+PLACED = "node long, copies long, home int, probes array<int>, code binary, bound float, vector "
+TILE = f"list int, across int, down int, query boolean, {PLACED}"
+
+
+def _vector_type(rows: DataFrame) -> str:
+    """Single floats stay as they are: half the bytes to move."""
+    return rows.schema["vector"].dataType.simpleString()
 
 
 def placed(nodes: DataFrame, index: Index, least: float) -> DataFrame:
@@ -159,7 +164,7 @@ def placed(nodes: DataFrame, index: Index, least: float) -> DataFrame:
             columns = [batch.column("node"), batch.column("copies"), pa.array(home, pa.int32()), pa.array(probes, pa.list_(pa.int32())), pa.array(code, pa.binary()), pa.array(bound), batch.column("vector")]
             yield pa.RecordBatch.from_arrays(columns, ["node", "copies", "home", "probes", "code", "bound", "vector"])
 
-    return nodes.select("node", "copies", "vector").mapInArrow(work, PLACED)
+    return nodes.select("node", "copies", "vector").mapInArrow(work, PLACED + _vector_type(nodes))
 
 
 def dealt(rows: DataFrame, across: dict[int, int], down: dict[int, int]) -> DataFrame:
@@ -189,7 +194,7 @@ def dealt(rows: DataFrame, across: dict[int, int], down: dict[int, int]) -> Data
                 named = [pa.array(some[k], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.int32(), pa.bool_()))]
                 yield pa.RecordBatch.from_arrays([*named, *part.columns], ["list", "across", "down", "query", *part.schema.names])
 
-    return rows.mapInArrow(work, TILE)
+    return rows.mapInArrow(work, TILE + _vector_type(rows))
 
 
 def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -371,7 +376,9 @@ def near_duplicates(vectors: DataFrame, *, id: str = "vec_id", vector: str = "em
     ship(spark)
     keep = [c for c in (keep if keep is not None else vectors.columns) if c not in RESULTS.names]
     # Other columns travel as one, so that no name can clash.
-    rows = vectors.select(F.struct(*keep, F.lit(0).alias("_none")).alias("row"), F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), sound(vector).alias("sound"))
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"
+    exact = F.col(vector).cast("array<float>" if single else "array<double>").alias("vector")
+    rows = vectors.select(F.struct(*keep, F.lit(0).alias("_none")).alias("row"), F.col(id).cast("long").alias("id"), exact, sound(vector).alias("sound"))
     path = scratch_path(spark, "nodes")
     same = rows.where("sound").groupBy("vector").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
     same.withColumn("node", F.monotonically_increasing_id()).write.parquet(path)
