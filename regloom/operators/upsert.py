@@ -225,6 +225,41 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, spec: Upsert) ->
     return joined.selectExpr(*[f"{merged(c)} as {c}" for c in spec.columns])
 
 
+def by_event(changes: DataFrame) -> DataFrame:
+    """Changes whose count says only whether a key had one row or several.
+
+    Two rows of a key never share a position, so the two positions tell. What is left of a change
+    is the least and the greatest of what was seen: taken in twice, or in another order, it is
+    the same.
+    """
+    return changes.withColumn(COUNT, F.expr(f"case when {FIRST} = {LAST} then 1L else 2L end"))
+
+
+def merge_changes(stored: DataFrame | None, changes: DataFrame, spec: Upsert) -> DataFrame:
+    """Stored changes, one for each key, after later ones: earliest insert, latest update.
+
+    Keys are complete. The stored side may be bucketed by the key; it is then not shuffled.
+    Late and repeated deliveries are merged by position, not by arrival.
+    """
+    changes = by_event(changes)
+    if stored is None:
+        return changes
+    firsts = [FIRST, *[f"_first_{c}" for c in spec.written_first]]
+    lasts = [LAST, *[f"_last_{c}" for c in spec.written_last]]
+    same = F.expr(" and ".join(f"old.{k} = new.{k}" for k in spec.keys))
+    joined = stored.alias("old").join(changes.alias("new"), same, "full_outer")
+    sooner = f"(old.{FIRST} is null or new.{FIRST} < old.{FIRST})"
+    later = f"(old.{LAST} is null or new.{LAST} > old.{LAST})"
+    return by_event(
+        joined.selectExpr(
+            *[f"coalesce(old.{k}, new.{k}) as {k}" for k in spec.keys],
+            f"1L as {COUNT}",
+            *[f"case when {sooner} then new.{c} else old.{c} end as {c}" for c in firsts],
+            *[f"case when {later} then new.{c} else old.{c} end as {c}" for c in lasts],
+        ).select(*changes.columns)
+    )
+
+
 def merge(
     target: DataFrame | None,
     changes: DataFrame,

@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regloom.operators.report import RowCounts
-from regloom.operators.upsert import Upsert
+from regloom.operators.upsert import Upsert, apply_changes, combine, merge_changes
 from regloom.operators.validate import InvalidRows
 from regloom.plans import cleaning, loading, targets
 from regloom.plans.cleaning import CLEAN, MALFORMED, OUTCOME
 from regloom.plans.loading import SEQUENCE
+from regloom.sources.buckets import BucketStore
 from regloom.sources.csv import scan_csv
 from regloom.sources.tables import Manifest, attach, switch, write_version
-from regloom.streaming.loader import Feed, Intake, last_batch, merged, take_in
+from regloom.streaming.compaction import Runs
+from regloom.streaming.loader import Feed, Intake, any_batch, last_batch, merged, take_in
 
 # Column with the name of the file a row is from.
 FILE = "source_file"
@@ -145,6 +147,42 @@ def load_fragments(
     return last
 
 
+def merge_fragments(
+    tables: BucketStore, stream: DataFrame, feeds: Sequence[Feed], intake: Intake, sequence: str = SEQUENCE, buckets: int | None = None
+) -> int:
+    """Take in the fragments that have arrived and merge them into touched buckets; returns the last batch.
+
+    Rows count by their position, not by when they arrive: a late fragment does not overwrite
+    what later rows wrote, and gives a key its inserted values if its row is the first one.
+    A fragment may come twice. Tables hold a change for each key, with both positions;
+    ``merged_table`` shows them as the target.
+    """
+    if any(not feed.spec.complete for feed in feeds):
+        raise ValueError("rows without a complete key have no position to be merged by")
+    spark = tables.spark
+    held = tables.ledger.newest()[1].get("batch", -1)
+    take_in(stream, feeds, intake, sequence, held).awaitTermination()
+    last = last_batch(spark, intake) if any_batch(spark, intake) else -1
+    if last <= held:
+        return held
+    specs = {feed.spec.table: feed.spec for feed in feeds}
+    changes = {t: combine(Runs(spark, intake.path, t).changes(held), s) for t, s in specs.items()}
+    tables.merge(
+        changes,
+        {t: s.keys for t, s in specs.items()},
+        {t: lambda old, new, s=s: merge_changes(old, new, s) for t, s in specs.items()},
+        batch=last,
+        buckets=buckets,
+    )
+    return last
+
+
+def merged_table(tables: BucketStore, spec: Upsert) -> DataFrame | None:
+    """A table of ``merge_fragments`` in the columns of its target; None before the first merge."""
+    stored = tables.read(spec.table)
+    return None if stored is None else apply_changes(None, stored, spec)
+
+
 def _cleaned(
     run: Run,
     raw: DataFrame,

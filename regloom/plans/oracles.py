@@ -620,6 +620,16 @@ from ({_etab_clean()}) e group by geo_md5""",
     ),
     "stream_fragment_upsert": _upsert(f"select * from ({_etab_clean()}) e where false", _etab_clean(), *GEO),
     "stream_published": _upsert(f"select * from ({_etab_clean()}) e where false", _etab_clean(), *GEO),
+    "upsert_touched_buckets": _upsert(
+        _etab_clean("2024-07"),
+        f"""select e.* from ({_etab_clean(shift=1)}) e join orders on o_orderkey = seq
+         where o_orderdate >= (select date_trunc('month', max(o_orderdate)) from orders)""",
+        {"siret": "siret"},
+        STOCK_ETAB_INSERT_ONLY,
+        STOCK_ETAB_UPDATED,
+    ),
+    "compacted_batches": _upsert(f"select * from ({_etab_clean()}) e where false", _etab_clean(), *GEO),
+    "late_fragments": _etab_upsert(*GEO),
     "load_establishments": _etab_upsert({"siret": "siret"}, STOCK_ETAB_INSERT_ONLY, STOCK_ETAB_UPDATED),
     "load_legal_units": _legal_upsert(
         {"company_number": "company_number"}, STOCK_LEGAL_INSERT_ONLY, STOCK_LEGAL_UPDATED

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from regloom.functions import naming, register
 from regloom.functions.codes import COMPANY_TYPES
 from regloom.operators import conform, filters, lookups, report, validate
-from regloom.operators.upsert import Upsert, collapse, upsert
+from regloom.operators.upsert import Upsert, apply_changes, collapse, upsert
 from regloom.plans import cleaning, inputs, jobs, loading, targets
 from regloom.plans.inputs import AS_OF, BEFORE, ETAB_FILE, ETAB_FILE_BEFORE, LEGAL_FILE, LEGAL_FILE_BEFORE
 from regloom.session import scratch_path
 from regloom.sources import csv, tables
+from regloom.sources.buckets import BucketStore
 from regloom.sources.layouts import ESTABLISHMENTS, LEGAL_UNITS
 from regloom.streaming import loader
 
@@ -454,6 +455,61 @@ def stream_published(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.Run(spark, store, 3, AS_OF).current(flow, [spec])[spec.table]
 
 
+# Buckets of the tables that are merged by touched buckets.
+BUCKETS = 64
+
+
+def upsert_touched_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """Stock of establishments after a merge of the last month's, about a hundredth of all.
+
+    Only buckets with one of their keys are read and written again.
+    """
+    orders = inputs.table(spark, folder, "orders").select(F.col("o_orderkey").alias("seq"), "o_orderdate")
+    month = F.date_trunc("month", orders.agg(F.max("o_orderdate")).scalar())
+    recent = orders.where(F.col("o_orderdate") >= month).select("seq")
+    old = cleaning.clean_establishments(inputs.etab_raw(spark, folder), ETAB_FILE_BEFORE, BEFORE, keep=["seq"])
+    new = cleaning.clean_establishments(inputs.etab_raw(spark, folder, shift=1), ETAB_FILE, AS_OF, keep=["seq"])
+    spec, store = targets.stock_etab(), BucketStore(spark, scratch_path(spark, "store"), jobs.ESTABLISHMENT_FLOW)
+    for rows in (old, new.join(recent, "seq", "left_semi")):
+        store.merge(
+            {spec.table: collapse(rows, spec, "seq")},
+            {spec.table: spec.keys},
+            {spec.table: lambda before, changes: apply_changes(before, changes, spec)},
+            buckets=BUCKETS,
+        )
+    return _dated(store.read(spec.table))
+
+
+#: Batches that arrive before one publish.
+BATCHES = 11
+
+
+def compacted_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Establishments from many small batches, compacted into runs as they come, then merged."""
+    path = scratch_path(spark, "arrivals")
+    inputs.etab_clean(spark, folder).repartition(BATCHES, "seq").write.parquet(path)
+    spec, intake = targets.geo_location(TODAY), loader.Intake(scratch_path(spark, "intake"))
+    stream = loader.fragment_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
+    store = BucketStore(spark, scratch_path(spark, "store"), "arrivals")
+    jobs.merge_fragments(store, stream, [loader.Feed(spec)], intake, "seq", BUCKETS)
+    return jobs.merged_table(store, spec)
+
+
+def late_fragments(spark: SparkSession, folder: str) -> DataFrame:
+    """Locations after fragments of two months in the wrong order, the newer of them twice."""
+    snapshots = zip(inputs.etab_snapshots(spark, folder), ((ETAB_FILE_BEFORE, BEFORE), (ETAB_FILE, AS_OF)))
+    months = [cleaning.clean_establishments(raw, *source, keep=["seq"]) for raw, source in snapshots]
+    # The position of a row: the month, then its place in it.
+    earlier, newer = (rows.withColumn("seq", F.struct(F.lit(n).alias("month"), "seq")) for n, rows in enumerate(months))
+    path, spec = scratch_path(spark, "arrivals"), targets.geo_location(TODAY)
+    store, intake = BucketStore(spark, scratch_path(spark, "store"), "arrivals"), loader.Intake(scratch_path(spark, "intake"))
+    for rows in (newer, earlier, newer):
+        rows.write.mode("append").parquet(path)
+        stream = loader.fragment_stream(spark, path, newer.schema, files_per_batch=1000)
+        jobs.merge_fragments(store, stream, [loader.Feed(spec)], intake, "seq", BUCKETS)
+    return jobs.merged_table(store, spec)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -503,6 +559,9 @@ QUERIES: dict[str, Query] = {
         monthly_establishment_files,
         stream_fragment_upsert,
         stream_published,
+        upsert_touched_buckets,
+        compacted_batches,
+        late_fragments,
         batch_duration_stats,
         path_basename,
     )

@@ -9,7 +9,7 @@ output. The changes of all batches are applied to a target in one merge.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from regloom.operators.upsert import Upsert, apply_changes, collapse, combine, merge, single_changes, split_by_key
+from regloom.sources.ledger import Folder
+from regloom.streaming.compaction import Runs
 
 BATCH = "batch_id"
 
@@ -73,11 +75,13 @@ def fragment_stream(
 
 
 def take_in(
-    stream: DataFrame, feeds: Sequence[Feed], intake: Intake, sequence: str
+    stream: DataFrame, feeds: Sequence[Feed], intake: Intake, sequence: str, held: int | None = None
 ) -> StreamingQuery:
     """Start collecting everything that has arrived; stops by itself when done.
 
     Fragments carry ``sequence``, so the order in which they arrive does not matter.
+    With ``held``, the last batch that is published (-1 before the first), batches after it are
+    compacted into runs as they come.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -87,9 +91,11 @@ def take_in(
             # Several targets read the batch; its fragments are parsed once.
             batch = batch.persist()
         for feed in feeds:
-            _changes(feed, batch, sequence).write.mode("overwrite").parquet(
-                f"{intake.changes(feed.spec.table)}/{part}"
-            )
+            table = feed.spec.table
+            _changes(feed, batch, sequence).write.mode("overwrite").parquet(f"{intake.changes(table)}/{part}")
+            if held is not None:
+                runs = Runs(batch.sparkSession, intake.path, table)
+                runs.add(batch_id, f"changes/{table}/{part}", feed.spec, held)
         flow = "+".join(feed.spec.table for feed in feeds)
         entry = batch.sparkSession.range(1).select(
             F.lit(flow).alias("flow"),
@@ -131,6 +137,11 @@ def merged(
     return merge(target, combine(keyed, spec), unkeyed, spec)
 
 
+def any_batch(spark: SparkSession, intake: Intake) -> bool:
+    """Whether anything was ever taken in."""
+    return bool(Folder(spark, intake.path).names("log"))
+
+
 def last_batch(spark: SparkSession, intake: Intake) -> int:
     """The highest batch taken in."""
     return spark.read.parquet(intake.log).agg(F.max(BATCH)).first()[0]
