@@ -37,12 +37,15 @@ def _close(role: Column) -> Column:
     return F.when(role == "system", "<</SYS>>").when(role == "user", "[/INST]").when(role == "assistant", "</s>").otherwise("[/ROLE]")
 
 
+# A run of backslashes is tried from its beginning only, and never given back.
+
+
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, F.lit(rf"(\\*)({CONTROL})"), F.lit(r"$1\\$2"))
+    return F.regexp_replace(text, F.lit(rf"(?<!\\)(\\*+)({CONTROL})"), F.lit(r"$1\\$2"))
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, F.lit(rf"\\(\\*)({CONTROL})"), F.lit("$1$2"))
+    return F.regexp_replace(text, F.lit(rf"(?<!\\)\\(\\*+)({CONTROL})"), F.lit("$1$2"))
 
 
 def render(turns: Column, escaped: bool) -> Column:
@@ -66,7 +69,8 @@ def parse(rendered: Column) -> Column:
             F.when(start == "<<SYS>>", "system")
             .when(start == "[INST]", "user")
             .when(start == "<s>", "assistant")
-            .when(coded != "-", F.decode(F.unhex(coded), "UTF-8"))
+            # Bytes as they are: what is no UTF-8 then equals no role.
+            .when(coded != "-", F.unhex(coded).cast("string"))
         )
         # The body lies between the two markers and a space on either side.
         end = F.length(F.regexp_extract(t, rf"({CLOSE})$", 1))
