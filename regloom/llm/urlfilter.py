@@ -50,12 +50,12 @@ def _bit(key: Column, word: Column) -> Column:
 
 
 def prepare_rules(rules: DataFrame) -> DataFrame:
-    """One row for each distinct rule: ``key``, ``size`` and ``rule_verdict``."""
+    """One row for each distinct rule: ``key``, ``path_length``, ``labels`` of its host and ``rule_verdict``."""
     key = F.concat(F.translate("host", UPPER, LOWER), F.coalesce("path", F.lit("")))
     return (
         rules.where(F.col("host").isNotNull())
         .groupBy(key.alias("key"), F.length(F.coalesce("path", F.lit(""))).alias("path_length"))
-        .agg(F.max("verdict").alias("rule_verdict"))
+        .agg(F.max("verdict").alias("rule_verdict"), F.max(F.size(F.split("host", r"\.", -1))).alias("labels"))
     )
 
 
@@ -89,9 +89,13 @@ def may_contain(filter_words: Column, key: Column, blocks: int) -> Column:
     return found
 
 
-def candidate_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every rule that could fit: each suffix of the host with each beginning of the path in use."""
-    labels = F.split(host, r"\.", -1)
+def candidate_keys(host: Column, path: Column, lengths: list[int], most_labels: int) -> Column:
+    """Every rule that could fit: each suffix of the host with each beginning of the path in use.
+
+    A suffix of more labels than any rule's host has is none.
+    """
+    whole = F.split(host, r"\.", -1)
+    labels = F.slice(whole, -F.least(F.size(whole), F.lit(most_labels)), F.lit(most_labels))
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     usable = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: F.length(path) >= n)
     return F.flatten(F.transform(suffixes, lambda s: F.transform(usable, lambda n: F.concat(s, F.substring(path, F.lit(1), n)))))
@@ -104,7 +108,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default
     distinct lengths of its paths, which are bounded by the longest rule, go to the driver.
     """
     keys = prepare_rules(rules)
-    sizes = keys.groupBy("path_length").count().collect()
+    sizes = keys.groupBy("path_length").agg(F.count(F.lit(1)).alias("count"), F.max("labels").alias("labels")).collect()
     lengths = sorted(r["path_length"] for r in sizes)
     blocks = filter_blocks(sum(r["count"] for r in sizes))
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
@@ -116,14 +120,13 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default
     )
     if not lengths:
         return _named(parsed.select("kept", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")), kept)
-    words = bloom_filter(keys, blocks).scalar()
-    hits = F.filter(candidate_keys(F.col("host"), F.col("path"), lengths), lambda k: may_contain(F.col("filter"), k, blocks))
-    # One row for each possible hit, longest last; rows without one keep a null.
-    possible = (
-        parsed.withColumns({"filter": words, "row": F.monotonically_increasing_id()})
-        .select("kept", "host", "path", "row", F.explode_outer(hits).alias("key"))
-    )
-    # Rows without a possible hit need no rule; the join and the choice are for the rest alone.
+    words, most_labels = bloom_filter(keys, blocks).scalar(), max(r["labels"] for r in sizes)
+    hits = F.filter(candidate_keys(F.col("host"), F.col("path"), lengths, most_labels), lambda k: may_contain(F.col("filter"), k, blocks))
+    tested = parsed.withColumn("filter", words).select("kept", "host", "path", hits.alias("hits"))
+    # Rows without a possible hit need no rule: they leave here and are not moved.
+    passed = tested.where(F.size("hits") == 0).select("kept", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    # One row for each possible hit.
+    possible = tested.where(F.size("hits") > 0).withColumn("row", F.monotonically_increasing_id()).select("kept", "host", "path", "row", F.explode("hits").alias("key"))
     exact = keys.select("key", "rule_verdict")
     best = F.max(F.when(F.col("rule_verdict").isNotNull(), F.struct(F.length("key").alias("n"), F.col("key"), F.col("rule_verdict"))))
     judged = (
@@ -132,7 +135,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default
         .agg(F.first("kept").alias("kept"), F.first("host").alias("host"), F.first("path").alias("path"), best.alias("best"))
         .select("kept", "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict"))
     )
-    return _named(judged, kept)
+    return _named(passed.unionByName(judged), kept)
 
 
 def _named(rows: DataFrame, kept: list[str]) -> DataFrame:
