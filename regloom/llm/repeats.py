@@ -67,7 +67,7 @@ def units_of(rows: pa.RecordBatch, shape: Shape, id: str, text: str) -> Units:
     if shape.bytes_:
         return Units(tx.BYTE_VALUES[data], offsets, order, data, np.zeros(0, np.int64), np.zeros(0, np.int64))
     starts, ends, firsts = tx.word_bounds(data, offsets, tx.SPACE)
-    return Units(tx.Rolling(tx.BYTE_VALUES[data]).of(starts, ends), firsts, order, data, starts, ends)
+    return Units(tx.word_hashes(data, starts, ends), firsts, order, data, starts, ends)
 
 
 @dataclass

@@ -46,7 +46,7 @@ LIST = "list long, node long, size long, place int"
 def word_runs(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of so many words (or of a shorter text's words), and the texts' offsets."""
     joined, starts, ends, firsts = simhash.joined_words(column)
-    values = tx.Rolling(tx.BYTE_VALUES[np.frombuffer(joined, np.uint8)]).of(starts, ends)
+    values = tx.word_hashes(np.frombuffer(joined, np.uint8), starts, ends)
     n = np.diff(firsts)
     counts = np.where(n == 0, 0, np.maximum(1, n - words + 1))
     offsets = np.concatenate([[0], np.cumsum(counts)])

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text worked on at once; a longer text is worked on alone.
 SLICE_BYTES = 1 << 20
@@ -128,6 +129,19 @@ class Rolling:
         return mix((self.sums[n:] - self.sums[:count]) * self.inverse[:count])
 
 
+#: Bytes from which on a word is hashed by XXH64: a polynomial modulo a power of two tells
+#: long words of few letters apart less surely (Thue-Morse words of 512 bytes may be equal).
+LONG_WORD = 64
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word."""
+    hashes = Rolling(BYTE_VALUES[data]).of(starts, ends)
+    for i in np.flatnonzero(ends - starts >= LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]], 7)
+    return hashes
+
+
 def random_values(n: int, seed: int) -> np.ndarray:
     """A fixed table of 64-bit values."""
     return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64, n, U64)
