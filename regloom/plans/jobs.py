@@ -6,9 +6,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from regloom.operators import cells
 from regloom.operators.report import RowCounts
 from regloom.operators.upsert import Upsert, apply_changes, combine, merge_changes
 from regloom.operators.validate import InvalidRows
@@ -17,6 +19,7 @@ from regloom.plans.cleaning import CLEAN, MALFORMED, OUTCOME
 from regloom.plans.loading import SEQUENCE
 from regloom.sources.buckets import BucketStore
 from regloom.sources.csv import scan_csv
+from regloom.sources.layouts import LEGAL_UNITS
 from regloom.sources.tables import Manifest, attach, switch, write_version
 from regloom.streaming.compaction import Runs
 from regloom.streaming.loader import Feed, Intake, any_batch, last_batch, merged, take_in
@@ -116,13 +119,23 @@ def load_legal_unit_files(
     """Clean legal-unit files and merge them into their three tables.
 
     Rows are marked with ``source``, or else with the name of the file they are from.
-    Returns the row counts of the cleaning step.
+    Returns the row counts of the cleaning step. A cell that does not read as its type stops
+    the run with ``InvalidRows``, which names the first such cell.
     """
     specs = (targets.organisation(), targets.naf_code(run.as_of.date()), targets.stock_legal())
     current = run.current(LEGAL_UNIT_FLOW, specs)
     raw = scan_csv(run.spark, paths, mode="FAILFAST", file_order=SEQUENCE, file_name=FILE)
     path = run.path("legal_units")
-    clean, report = _cleaned(run, raw, source, cleaning.sort_out_legal_units, path)
+    try:
+        clean, report = _cleaned(run, raw, source, cleaning.sort_out_legal_units, path)
+    except PySparkException as e:
+        # The files are read again for the place only once there is an error.
+        lenient = scan_csv(run.spark, paths, file_order=SEQUENCE, file_name=FILE)
+        marked = cells.with_failed_cells(lenient, cells.type_rules(LEGAL_UNITS, lenient.columns))
+        place = cells.first_failure(marked, SEQUENCE, FILE)
+        if place is None:
+            raise
+        raise InvalidRows(place) from e
     contents = loading.load_legal_units(clean, translations, current, run.as_of.date())
     run.publish(LEGAL_UNIT_FLOW, contents, specs)
     return report

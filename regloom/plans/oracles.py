@@ -479,6 +479,23 @@ select 'legal', seq, company_number, id, AdministrativeStatus, EmployeeCountCate
 select count(*) as total_rows, cast(sum(seq) as bigint) as total_seq,
  cast(0 as bigint) as fragments_over_limit, true as within_limit,
  cast(ceil(count(*) / 2000.0) as bigint) as fragments from ({_etab_clean()}) e""",
+    "scan_quoted_lines": f"""
+select seq, siret, libelleVoieEtablissement || chr(10) || '"' || seq || '",' || chr(10) || libelleCommuneEtablissement
+ as libelleVoieEtablissement, libelleCommuneEtablissement
+from ({ETAB_RAW}) r""",
+    "cell_errors": f"""
+select dataset, "column", rule, count(*) as cells, count(distinct text) as texts, min(text) as least_text from (
+ select 'etab' as dataset, 'PeriodNumber' as "column", 'int' as rule, nombrePeriodesEtablissement as text
+ from ({ETAB_RAW}) r where {_token_free('nombrePeriodesEtablissement')} is not null
+  and try_cast({_token_free('nombrePeriodesEtablissement')} as integer) is null
+ union all
+ select 'etab', 'siret', 'required', siret from ({ETAB_RAW}) r where siret is null
+ union all
+ select 'legal', 'company_number', 'identifier', siren from ({LEGAL_RAW}) r where siren is null
+ union all
+ select 'legal', 'LegalCategory', 'code list', categorieJuridiqueUniteLegale from ({LEGAL_RAW}) r
+ where {CATEGORY} is not null and not exists (select 1 from {SHORT_LIST} t(code, label) where t.code = {CATEGORY}))
+group by all""",
     "snapshot_label": """
 select o_orderkey,
  strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') || '-StockEtablissement_utf8' as etab_label,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from regloom.functions import naming, register
 from regloom.functions.codes import COMPANY_TYPES
-from regloom.operators import conform, filters, lookups, report, validate
+from regloom.operators import cells, conform, filters, lookups, report, validate
 from regloom.operators.upsert import Upsert, apply_changes, collapse, upsert
 from regloom.plans import cleaning, inputs, jobs, loading, targets
 from regloom.plans.inputs import AS_OF, BEFORE, ETAB_FILE, ETAB_FILE_BEFORE, LEGAL_FILE, LEGAL_FILE_BEFORE
@@ -17,6 +17,7 @@ from regloom.session import scratch_path
 from regloom.sources import csv, tables
 from regloom.sources.buckets import BucketStore
 from regloom.sources.layouts import ESTABLISHMENTS, LEGAL_UNITS
+from regloom.sources.records import scan_quoted
 from regloom.streaming import loader
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,28 @@ def scan_csv_permissive(spark: SparkSession, folder: str) -> DataFrame:
     return typed.select(F.col("seq").cast("bigint").alias("seq"), *columns)
 
 
+def scan_quoted_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Establishments with line breaks and quotes in their addresses, read in parts."""
+    path = scratch_path(spark, "scan-quoted")
+    address = F.concat("libelleVoieEtablissement", F.lit('\n"'), F.col("seq").cast("string"), F.lit('",\n'), "libelleCommuneEtablissement")
+    csv.write_csv(inputs.etab_raw(spark, folder).withColumn("libelleVoieEtablissement", address), path)
+    read = scan_quoted(spark, path)
+    return read.select(F.col("seq").cast("bigint").alias("seq"), "siret", "libelleVoieEtablissement", "libelleCommuneEtablissement")
+
+
+def cell_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells that break a rule, counted by snapshot, column and rule."""
+    etab, legal = conform.drop_tokens(inputs.etab_raw(spark, folder)), inputs.legal_raw(spark, folder)
+    short = {c: label for c, label in COMPANY_TYPES.items() if c not in ("10", "55")}
+    rules = (
+        (etab, [*cells.type_rules(ESTABLISHMENTS, etab.columns), cells.required_rule(ESTABLISHMENTS, "siret")]),
+        (legal, [cells.identifier_rule(LEGAL_UNITS, "company_number"), cells.code_rule(LEGAL_UNITS, "LegalCategory", short, prefix=True)]),
+    )
+    names = ("etab", "legal")
+    marked = [cells.with_failed_cells(raw, r).select(F.lit(n).alias("dataset"), cells.FAILED) for n, (raw, r) in zip(names, rules)]
+    return cells.failure_report(marked[0].unionByName(marked[1]), "dataset")
+
+
 def scan_csv_strict(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "scan-strict")
     csv.write_csv(inputs.legal_raw(spark, folder), path)
@@ -516,6 +539,8 @@ QUERIES: dict[str, Query] = {
         upsert_geo_location,
         scan_csv_permissive,
         scan_csv_strict,
+        scan_quoted_lines,
+        cell_errors,
         fragment_roundtrip,
         fragment_glob_scan,
         fragment_split,
