@@ -43,6 +43,10 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s")
 #: Marks that the tokenizer's pattern parts from a word of letters before them.
 MARKS = ".,!?;:|#$%&*"
+#: Fixed value: what stands for a space in byte-level vocabularies.
+SPACE_SIGN = "\u0120"
+#: Words learned from one string.
+LEARNED = 1000
 
 
 class Encoder:
@@ -57,6 +61,10 @@ class Encoder:
         # Tokens of words with a space in front, and of what stands at the beginning or is marks.
         self.known: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
+        # Which tokens begin with a space, by the sign that byte-level vocabularies have for it.
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.spaced[[n for token, n in vocabulary.items() if token.startswith(SPACE_SIGN)]] = True
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -73,12 +81,32 @@ class Encoder:
         return text.split(" ")
 
     def _learn(self, memory: dict[str, bytes], words: set[str], before: str) -> None:
-        new = sorted(words - memory.keys())
+        # Not a difference of sets: that would walk through the whole memory.
+        new = [w for w in words if w not in memory]
+        if before == " ":
+            new = self._learn_joined(memory, new)
         for at in range(0, len(new), 10_000):
             some = new[at : at + 10_000]
             for word, found in zip(some, self.tokenizer.encode_batch_fast([before + w for w in some], add_special_tokens=False)):
                 memory[word] = array("I", found.ids).tobytes()
 
+    def _learn_joined(self, memory: dict[str, bytes], words: list[str]) -> list[str]:
+        """Learn words from strings in which each stands behind a space; returns those left to learn.
+
+        A token that begins with a space begins a word, and there must be as many as words.
+        """
+        parts = [words[at : at + LEARNED] for at in range(0, len(words), LEARNED)]
+        left = []
+        for some, found in zip(parts, self.tokenizer.encode_batch_fast([" " + " ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) != len(some) or starts[0] or any(" " in w for w in some):
+                left += some
+                continue
+            raw, places = ids.tobytes(), [*(starts * 4).tolist(), 4 * len(ids)]
+            memory.update((w, raw[a:b]) for w, a, b in zip(some, places, places[1:]))
+        return left
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) + len(self.bare) > REMEMBERED:
             self.known.clear()
