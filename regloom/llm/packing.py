@@ -266,11 +266,11 @@ def pack_documents(
 
     path = scratch_path(spark, "pieces")
     source = documents.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    packed = source.mapInArrow(first, PIECES).withColumns({"partition": F.spark_partition_id(), "leftover": F.col("sequence_id").isNull()})
+    packed = source.mapInArrow(tx.tidy(first), PIECES).withColumns({"partition": F.spark_partition_id(), "leftover": F.col("sequence_id").isNull()})
     packed.write.partitionBy("leftover").parquet(path)
     stored = spark.read.schema(f"{PIECES}, partition int, leftover boolean").parquet(path)
     names = [c.split()[0] for c in PIECES.split(", ")]
     left = stored.where("leftover").select(F.floor(F.col("partition") / fan_in).cast("bigint").alias("group"), "doc_id", "start", "ids", "doc_tokens")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    merged = left.repartition(parts, "group").mapInArrow(merge, PIECES)
+    merged = left.repartition(parts, "group").mapInArrow(tx.tidy(merge), PIECES)
     return stored.where("not leftover").select(*names).unionByName(merged)

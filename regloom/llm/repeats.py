@@ -181,7 +181,7 @@ def write_blocks(documents: DataFrame, id: str, text: str, batch: int = 0) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
                 number += 1
 
-    blocks = documents.mapInArrow(work, "block long, rows binary")
+    blocks = documents.mapInArrow(tx.tidy(work), "block long, rows binary")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks.write.bucketBy(parts, "block").option("path", path).option("compression", "uncompressed").saveAsTable(name)
     table = spark.table(name)
@@ -241,7 +241,7 @@ def seed_entries(blocks: DataFrame, shape: Shape, id: str, text: str, buckets: i
                 out.append((int(block) % buckets, block, None, spans, wanted))
                 yield sent(out)
 
-    return blocks.select("block", "rows").mapInArrow(work, SENT)
+    return blocks.select("block", "rows").mapInArrow(tx.tidy(work), SENT)
 
 
 def gathered(entries: DataFrame) -> DataFrame:
@@ -319,7 +319,7 @@ def core_entries(blocks: DataFrame, found: DataFrame, shape: Shape, id: str, tex
                 out.append((int(block) % buckets, block, None, None, wanted_here))
                 yield sent(out)
 
-    return _wanted_blocks(blocks, found).mapInArrow(work, SENT)
+    return _wanted_blocks(blocks, found).mapInArrow(tx.tidy(work), SENT)
 
 
 def repeated_cores(entries: DataFrame) -> DataFrame:
@@ -342,7 +342,7 @@ def repeated_cores(entries: DataFrame) -> DataFrame:
                 if found.rows:
                     yield sent(found.rows)
 
-    return gathered(entries).mapInArrow(work, SENT).select("block", "wanted")
+    return gathered(entries).mapInArrow(tx.tidy(work), SENT).select("block", "wanted")
 
 
 WINDOW = ("<u8", "<u4", "<i8", "<u4")  # hash, second hash, order of the text, place
@@ -377,7 +377,7 @@ def window_entries(blocks: DataFrame, found: DataFrame, shape: Shape, id: str, t
                 out.append((int(block) % buckets, block, None, spans, None))
                 yield sent(out)
 
-    return _wanted_blocks(blocks, found).mapInArrow(work, SENT)
+    return _wanted_blocks(blocks, found).mapInArrow(tx.tidy(work), SENT)
 
 
 def repeated_windows(entries: DataFrame) -> DataFrame:
@@ -397,7 +397,7 @@ def repeated_windows(entries: DataFrame) -> DataFrame:
                 if found.rows:
                     yield sent(found.rows)
 
-    return gathered(entries).mapInArrow(work, SENT).select("block", "spans")
+    return gathered(entries).mapInArrow(tx.tidy(work), SENT).select("block", "spans")
 
 
 def covered_units(spans: list[bytes], shape: Shape, n_units: int) -> np.ndarray:
@@ -421,7 +421,7 @@ def finish(blocks: DataFrame, found: DataFrame, shape: Shape, id: str, text: str
 
     spans = by_block(found, "spans")
     joined = blocks.join(spans, blocks["block"] == spans["found_block"], "left").select("rows", "found")
-    return joined.mapInArrow(work, schema)
+    return joined.mapInArrow(tx.tidy(work), schema)
 
 
 def runs(covered: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -92,7 +92,7 @@ def _counters(found: DataFrame, text: str) -> np.ndarray:
 
     schema = "part int, counts binary"
     result = np.zeros((PARTS, width), "<u4")
-    for row in found.mapInArrow(count, schema).repartition(PARTS, "part").mapInArrow(add, schema).collect():
+    for row in found.mapInArrow(tx.tidy(count), schema).repartition(PARTS, "part").mapInArrow(tx.tidy(add), schema).collect():
         result[row.part] = np.frombuffer(row.counts, "<u4")
     return result.reshape(-1)
 
@@ -158,8 +158,8 @@ def lists(blocks: DataFrame, texts: DataFrame, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["list", "node", "size", "place", "next"])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = found.mapInArrow(index, "bucket long, entries binary")
-    return entries.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, f"{LIST}, next long")
+    entries = found.mapInArrow(tx.tidy(index), "bucket long, entries binary")
+    return entries.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(tx.tidy(meet), f"{LIST}, next long")
 
 
 def _left(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +215,7 @@ def unfinished(rows: DataFrame, reach: int) -> DataFrame:
             stay = np.repeat(stay, length)
             yield pa.RecordBatch.from_arrays([pa.array(c[stay]) for c in (key, node, size, place, root)], ["list", "node", "size", "place", "root"])
 
-    return _by_list(rows).mapInArrow(work, f"{LIST}, root long")
+    return _by_list(rows).mapInArrow(tx.tidy(work), f"{LIST}, root long")
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -250,6 +250,6 @@ def pairs(rows: DataFrame, start: int, stop: int) -> DataFrame:
 
     schema = "a long, b long"
     if stop <= CUT:
-        return _by_list(rows).mapInArrow(whole, schema).distinct()
+        return _by_list(rows).mapInArrow(tx.tidy(whole), schema).distinct()
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _by_list(rows).mapInArrow(cut, "piece binary").repartition(parts).mapInArrow(pieces, schema).distinct()
+    return _by_list(rows).mapInArrow(tx.tidy(cut), "piece binary").repartition(parts).mapInArrow(tx.tidy(pieces), schema).distinct()

@@ -66,7 +66,7 @@ def _prints(blocks: DataFrame, id: str, text: str) -> DataFrame:
                 columns.append(pa.array([blobs[24 * i : 24 * i + 24] for i in range(n)], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, ["node", "id", "block", "row", "print"])
 
-    return blocks.select("block", "rows").mapInArrow(work, "node long, id long, block long, row int, print binary")
+    return blocks.select("block", "rows").mapInArrow(tx.tidy(work), "node long, id long, block long, row int, print binary")
 
 
 def _named_pairs(prints: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,8 +130,8 @@ def _candidates(reps: DataFrame, rows: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = reps.select("node", "print").mapInArrow(index, "bucket int, choice int, entries binary")
-    return lists.repartition(parts, "bucket", "choice").sortWithinPartitions("bucket", "choice").mapInArrow(meet, "a long, b long").distinct()
+    lists = reps.select("node", "print").mapInArrow(tx.tidy(index), "bucket int, choice int, entries binary")
+    return lists.repartition(parts, "bucket", "choice").sortWithinPartitions("bucket", "choice").mapInArrow(tx.tidy(meet), "a long, b long").distinct()
 
 
 def _profiles(blocks: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
@@ -148,7 +148,7 @@ def _profiles(blocks: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
                 blobs = [data4[4 * s : 4 * e] for s, e in zip(cut[:-1].tolist(), cut[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array([f["node"] for f in found], pa.int64()), pa.array(blobs, pa.binary())], ["node", "shingles"])
 
-    return shingle_lists.rows_of(blocks, wanted).mapInArrow(work, "node long, shingles binary")
+    return shingle_lists.rows_of(blocks, wanted).mapInArrow(tx.tidy(work), "node long, shingles binary")
 
 
 def _verified(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def _verified(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
 
     left = profiles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = profiles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(work, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(tx.tidy(work), "a long, b long")
 
 
 class _Groups:
@@ -239,4 +239,4 @@ def drop_near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str
             for data, rows in zip(batch.column(0), batch.column(1).to_pylist()):
                 yield repeats.read_block(data.as_buffer()).take(pa.array(sorted(rows), pa.int64()))
 
-    return blocks.join(stay, blocks["block"] == stay["at"]).select("rows", "stay").mapInArrow(work, documents.schema)
+    return blocks.join(stay, blocks["block"] == stay["at"]).select("rows", "stay").mapInArrow(tx.tidy(work), documents.schema)

@@ -66,7 +66,7 @@ def _matched(entries: DataFrame) -> DataFrame:
                 if found.rows:
                     yield repeats.sent(found.rows)
 
-    return repeats.gathered(entries).mapInArrow(work, repeats.SENT).select("block", "spans", "wanted")
+    return repeats.gathered(entries).mapInArrow(tx.tidy(work), repeats.SENT).select("block", "spans", "wanted")
 
 
 def _result(rows: pa.RecordBatch, units: repeats.Units, covered: np.ndarray, keep: list[str]) -> pa.RecordBatch:

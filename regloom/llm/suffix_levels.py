@@ -144,7 +144,7 @@ class SuffixLevels:
                         yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([_merged(a or b"", b or b"")], pa.binary())], ["bucket", "level"])
 
             both = self._level(older).join(self._level(newer).withColumnRenamed("level", "newer"), "bucket", "full")
-            name = self._save(both.select("bucket", "level", "newer").mapInArrow(work, "bucket long, level binary"))
+            name = self._save(both.select("bucket", "level", "newer").mapInArrow(tx.tidy(work), "bucket long, level binary"))
             self.levels[-2:] = [(2 * size, name)]
             for gone in (older, newer):
                 self.spark.sql(f"drop table {gone}")
@@ -169,7 +169,7 @@ class SuffixLevels:
                     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, (_, k) in enumerate(kinds)], [x for x, _ in kinds])
 
         path = scratch_path(self.spark, "scan")
-        rows.select("bucket", "sent", *names).mapInArrow(work, "bucket long, level binary, block long, spans binary, wanted binary").write.parquet(path)
+        rows.select("bucket", "sent", *names).mapInArrow(tx.tidy(work), "bucket long, level binary, block long, spans binary, wanted binary").write.parquet(path)
         scanned = self.spark.read.parquet(path)
         self.blocks.append(blocks)
         self.found.append(scanned.where("level is null").select("block", "spans", "wanted"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,6 +40,34 @@ def entering(operator: str) -> None:
 
 
 
+#: Powers kept between tasks: those for so many values at most.
+KEPT_POWERS = 1 << 22
+
+
+def give_back() -> None:
+    """Give memory that is no longer used back to the system: idle workers stay for later stages."""
+    if Rolling._powers is not None and len(Rolling._powers[0]) > KEPT_POWERS:
+        Rolling._powers = None
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same work, after which a worker gives its memory back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in runs of at most so many bytes of text, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
