@@ -427,6 +427,14 @@ ETAB_PARTS = (
 )
 
 
+def _trade_names(raw: str, condition: str) -> str:
+    number = "cast(seq % 500 as varchar)"
+    return f"""
+select seq, siren, case seq % 4 when 0 then 'Société Générale ' || {number} when 1 then 'SOCIETE GENERALE ' || {number}
+ when 2 then 'SOCIÉTÉ générale ' || {number} || ' ' when 3 then 'societe generale ' || {number} end as name
+from ({_part(raw, "orders", "o_orderkey", condition)}) p"""
+
+
 def _etab_upsert(*parts) -> str:
     return _upsert(*ETAB_PARTS, *parts)
 
@@ -510,6 +518,13 @@ union all
 select seq, siren, siret, null, case when seq % 10 = 0 then null else cast(seq * 1.5 as double) end,
  null
 from ({ETAB_RAW}) b""",
+    "header_vintages": f"""
+select seq, siren as company_number, siret, numeroVoieEtablissement as AddressNumber,
+ cast(null as double) as LambertCoordinateX
+from ({ETAB_RAW}) a where seq % 6 < 3
+union all
+select seq, siren, siret, null, case when seq % 10 = 0 then null else cast(seq * 1.5 as double) end
+from ({ETAB_RAW}) b where seq % 6 >= 3""",
     "staging_append": f"select {STAGED} from ({ETAB_PARTS[0]}) e union all select {STAGED} from ({ETAB_PARTS[1]}) f",
     "staging_replace": f"select {STAGED} from ({ETAB_PARTS[1]}) e",
     "staging_clear": f"select {STAGED} from ({ETAB_PARTS[1]}) e",
@@ -590,6 +605,16 @@ left join {_values(HEADCOUNTS)} t(code, label) on trancheEffectifsUniteLegale =
 select NAFCategory as code, id as organisation_id, name_en, name_fr, last_modified_date,
  last_modified_by
 from ({_named(_legal_clean())}) l""",
+    "naf_join_split": f"""
+select seq, company_number, l.code as NAFCategory, d.code, name_en, name_fr
+from (select *, case when seq % 3 = 0 then '07' else NAFCategory end as code from ({_legal_clean()}) c) l
+join ({NAF_DIM}) d on l.code = d.code""",
+    "naf_join_collated": f"""
+select seq, company_number,
+ case seq % 3 when 0 then 'É' || NAFCategory when 1 then 'e' || NAFCategory else 'E' || NAFCategory || '  ' end
+  as NAFCategory,
+ 'é' || d.code as code, name_en, name_fr
+from ({_legal_clean()}) l join ({NAF_DIM}) d on NAFCategory = d.code""",
     "etab_clean": _etab_clean(),
     "legal_clean": _legal_clean(),
     "clean_report": _report("etab", ETAB_RAW, "etatAdministratifEtablissement is distinct from 'F'")
@@ -606,6 +631,14 @@ select geo_md5, count(*) as rows, min(seq) as first_seq, max(seq) as last_seq,
 from ({_etab_clean()}) e group by geo_md5""",
     "upsert_geo_location": _etab_upsert(*GEO),
     "upsert_stock_etab": _etab_upsert({"siret": "siret"}, STOCK_ETAB_INSERT_ONLY, STOCK_ETAB_UPDATED),
+    "upsert_collated": _upsert(
+        _trade_names(_etab_raw(), "<= 0.6"),
+        _trade_names(_etab_raw(shift=1), "> 0.3"),
+        {"name_folded": "strip_accents(lower(rtrim(name)))"},
+        {"name": "name", "first_siren": "siren"},
+        {"last_seq": "seq"},
+        {"origin": ("'insert'", "'update'")},
+    ),
     "upsert_organisation": _legal_upsert(
         {"id": "id"},
         {

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from regloom.functions import naming, register
 from regloom.functions.codes import COMPANY_TYPES
-from regloom.operators import cells, conform, filters, lookups, report, validate
-from regloom.operators.upsert import Upsert, apply_changes, collapse, upsert
+from regloom.operators import cells, collation, conform, filters, lookups, report, validate
+from regloom.operators.upsert import Constant, Upsert, apply_changes, collapse, upsert
 from regloom.plans import cleaning, inputs, jobs, loading, targets
 from regloom.plans.inputs import AS_OF, BEFORE, ETAB_FILE, ETAB_FILE_BEFORE, LEGAL_FILE, LEGAL_FILE_BEFORE
 from regloom.session import scratch_path
@@ -191,6 +191,21 @@ def schema_vintage_union(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+MONTHS = 6
+
+
+def header_vintages(spark: SparkSession, folder: str) -> DataFrame:
+    """Six monthly folders, three of each header vintage, whose headers are read in one job."""
+    base, month = scratch_path(spark, "months"), F.col("seq") % MONTHS
+    early, late = inputs.etab_raw_early(spark, folder), inputs.etab_raw_late(spark, folder)
+    csv.write_csv(early.where(month < MONTHS // 2).withColumn("month", month), base, partition="month")
+    csv.write_csv(late.where(month >= MONTHS // 2).withColumn("month", month), base, mode="append", partition="month")
+    raw = conform.drop_tokens(csv.scan_csv(spark, [f"{base}/month={m}" for m in range(MONTHS)]))
+    typed = conform.conform(raw, ESTABLISHMENTS, strict=False, keep=["seq"])
+    columns = ["company_number", "siret", "AddressNumber", "LambertCoordinateX"]
+    return typed.select(F.col("seq").cast("bigint").alias("seq"), *columns)
+
+
 def path_basename(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.table(spark, folder, "pages").select(
         "page_id", naming.path_basename(F.col("url")).alias("basename")
@@ -227,6 +242,21 @@ def naf_join(spark: SparkSession, folder: str) -> DataFrame:
     return _dated(rows)
 
 
+def naf_join_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Activity names where one code holds a third of the legal units."""
+    clean = inputs.legal_clean(spark, folder).select("seq", "company_number", "NAFCategory")
+    facts = clean.withColumn("NAFCategory", F.expr("case when seq % 3 = 0 then '07' else NAFCategory end"))
+    return lookups.join_dimension_split(facts, inputs.naf_translations(spark, folder), "NAFCategory", "code")
+
+
+def naf_join_collated(spark: SparkSession, folder: str) -> DataFrame:
+    """Activity names by codes that differ in case, accents and spaces at the end."""
+    code = "case seq % 3 when 0 then 'É' || NAFCategory when 1 then 'e' || NAFCategory else 'E' || NAFCategory || '  ' end"
+    facts = inputs.legal_clean(spark, folder).selectExpr("seq", "company_number", f"{code} as NAFCategory")
+    names = inputs.naf_translations(spark, folder).selectExpr("'é' || code as code", "name_en", "name_fr")
+    return collation.join_collated(facts, names, "NAFCategory", "code", "ci_ai")
+
+
 # Missing values, filters and validation
 
 
@@ -405,6 +435,28 @@ def upsert_naf_code(spark: SparkSession, folder: str) -> DataFrame:
     return _upsert_legal(spark, folder, targets.naf_code(TODAY), named=True)
 
 
+TRADE_NAMES = Upsert(
+    "trade_name",
+    keys=("name",),
+    insert={"name": "name", "first_siren": "siren", "last_seq": "seq", "origin": Constant.text("insert")},
+    update={"last_seq": "seq", "origin": Constant.text("update")},
+)
+
+
+def upsert_collated(spark: SparkSession, folder: str) -> DataFrame:
+    """Trade names, some hundred rows each, in spellings that differ in case, accents and spaces."""
+    number = "string(seq % 500)"
+    name = (
+        f"case seq % 4 when 0 then 'Société Générale ' || {number} when 1 then 'SOCIETE GENERALE ' || {number}"
+        f" when 2 then 'SOCIÉTÉ générale ' || {number} || ' ' when 3 then 'societe generale ' || {number} end"
+    )
+    spec, parts = collation.collated(TRADE_NAMES), inputs.etab_snapshots(spark, folder)
+    old, new = (
+        collation.with_folded_keys(p.selectExpr("seq", "siren", f"{name} as name"), TRADE_NAMES, "ci_ai") for p in parts
+    )
+    return upsert(upsert(None, old, spec, "seq"), new, spec, "seq")
+
+
 def upsert_stock_legal(spark: SparkSession, folder: str) -> DataFrame:
     return _upsert_legal(spark, folder, targets.stock_legal())
 
@@ -546,6 +598,7 @@ QUERIES: dict[str, Query] = {
         fragment_split,
         snapshot_label,
         schema_vintage_union,
+        header_vintages,
         staging_append,
         staging_replace,
         staging_clear,
@@ -571,6 +624,8 @@ QUERIES: dict[str, Query] = {
         lookup_company_type,
         lookup_employee_count,
         naf_join,
+        naf_join_split,
+        naf_join_collated,
         etab_clean,
         legal_clean,
         clean_report,
@@ -579,6 +634,7 @@ QUERIES: dict[str, Query] = {
         upsert_organisation,
         upsert_naf_code,
         upsert_stock_legal,
+        upsert_collated,
         load_establishments,
         load_legal_units,
         monthly_establishment_files,
