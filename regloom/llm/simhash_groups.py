@@ -196,7 +196,21 @@ class _Groups:
         _profiles(self.blocks, wanted, self.text).write.mode("append").parquet(self.profiles)
         edges = _verified(pairs, self.spark.read.parquet(self.profiles))
         self.tried = self.tried.unionByName(pairs)
-        self.roots = components(edges.unionByName(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        self._merge(edges, first)
+
+    def _merge(self, edges: DataFrame, first: bool) -> None:
+        """Components over what the edges connect, roots for nodes; members follow their roots."""
+        if first:
+            roots = components(edges)
+        else:
+            between = self.rooted(self.rooted(edges, "a", "left"), "b", "right").select(F.col("left").alias("a"), F.col("right").alias("b"))
+            merged = components(between).select(F.col("node").alias("member"), F.col("root").alias("over"))
+            known = self.roots.join(merged, self.roots["root"] == merged["member"], "left").select("node", F.coalesce("over", "root").alias("root"))
+            fresh = merged.select(F.col("member").alias("node"), F.col("over").alias("root")).join(self.roots.select("node"), "node", "left_anti")
+            roots = known.unionByName(fresh)
+        path = scratch_path(self.spark, "roots")
+        roots.write.parquet(path)
+        self.roots = self.spark.read.parquet(path)
 
 
 def _connect_all(groups: _Groups, lists: DataFrame) -> None:
