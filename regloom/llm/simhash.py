@@ -28,8 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
+from regloom.llm import repeats
 from regloom.llm import text as tx
 from regloom.llm.components import components
 from regloom.llm.ship import ship
@@ -233,13 +235,51 @@ def near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str = "te
     path = scratch_path(spark, "fingerprints")
     add_fingerprints(documents, text=text, keep=[id], words=words).write.parquet(path)
     prints = spark.read.parquet(path)
-    least = prints.groupBy("fingerprint").agg(F.min(id).alias("least_id"))
-    roots = components(links(least.select("fingerprint"), prints.count(), distance))
-    rooted = least.join(roots, least["fingerprint"] == roots["node"], "left").select("fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    rooted = _rooted(prints, F.col(id), distance)
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(named, "root").select(F.col("fingerprint").alias("class"), "component_id")
     return prints.join(classes, prints["fingerprint"] == classes["class"]).select(id, "fingerprint", "component_id")
 
 
+def _rooted(prints: DataFrame, first: Column, distance: int) -> DataFrame:
+    """Each distinct fingerprint, ``least`` (the least ``first`` of its rows) and the ``root`` of its component."""
+    least = prints.groupBy("fingerprint").agg(F.min(first).alias("least"))
+    roots = components(links(least.select("fingerprint"), prints.count(), distance))
+    return least.join(roots, least["fingerprint"] == roots["node"], "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
+
+
+def drop_near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """The rows of which each component of linked fingerprints keeps one: that of least id.
+
+    Documents are written once as blocks (see ``repeats``); what is shuffled is places in them.
+    Null ids come last; of rows with equal ids in a component one stays, whichever is stored
+    first. Ids may be of any type that can be ordered; columns stay as they are.
+    """
+    spark = documents.sparkSession
+    blocks = repeats.write_blocks(documents, id, text)
+    schema = T.StructType().add("id", documents.schema[id].dataType).add("fingerprint", "long").add("block", "long").add("row", "int")
+
+    def fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                rows = repeats.read_block(data.as_buffer())
+                prints = fingerprints(*shingle_hashes(rows.column(text), words))
+                places = [pa.array(np.full(len(prints), block)), pa.array(np.arange(len(prints), dtype=np.int32))]
+                yield pa.RecordBatch.from_arrays([rows.column(id), pa.array(prints.view(np.int64)), *places], schema.names)
+
+    path = scratch_path(spark, "fingerprints")
+    blocks.select("block", "rows").mapInArrow(tx.tidy(fingerprint), schema).write.parquet(path)
+    place = F.struct(F.col("id").isNull().alias("nameless"), "id", "block", "row")
+    kept = _rooted(spark.read.parquet(path), place, distance).groupBy("root").agg(F.min("least").alias("place"))
+    stay = kept.groupBy(F.col("place.block").alias("at")).agg(F.collect_list("place.row").alias("stay"))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, rows in zip(batch.column(0), batch.column(1).to_pylist()):
+                yield repeats.read_block(data.as_buffer()).take(pa.array(sorted(rows), pa.int64()))
+
+    return blocks.join(stay, blocks["block"] == stay["at"]).select("rows", "stay").mapInArrow(tx.tidy(pick), documents.schema)
+
+
 def as_hex(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
