@@ -257,7 +257,7 @@ def drop_near_duplicates(documents: DataFrame, *, id: str = "doc_id", text: str
     """
     spark = documents.sparkSession
     blocks = repeats.write_blocks(documents, id, text)
-    schema = T.StructType().add("id", documents.schema[id].dataType).add("fingerprint", "long").add("block", "long").add("row", "int")
+    schema = T.StructType().add("id", documents.schema[id].dataType).add("fingerprint", "long").add("block", "long").add("row", "integer")
 
     def fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
