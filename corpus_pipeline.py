@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regloom.llm import decontaminate, packing, quality, simhash_groups, suffix_levels
+from regloom.llm import decontaminate, packing, quality, simhash, suffix_levels
 from regloom.llm.queries import tokenizer_path
 from regloom.llm.wrapping import unwrapped, wrapped
 from regloom.session import scratch_path
@@ -22,8 +22,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return simhash_groups.drop_near_duplicates(docs)
+    """One document of each group that links of the SimHash operator connect: 4-word shingles, 4 bits at most."""
+    return simhash.drop_near_duplicates(docs, words=simhash.WORDS, distance=simhash.DISTANCE)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
