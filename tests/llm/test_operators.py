@@ -6,11 +6,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from regloom.llm import chat, decontaminate, packing, quality, shingle_lists, simhash, simhash_groups, substrings, suffix_levels, urlfilter, warc, winnow
+from regloom.llm import chat, decontaminate, packing, quality, simhash, substrings, suffix_levels, urlfilter, warc, winnow
 from regloom.llm.components import components
 from regloom.llm.queries import tokenizer_path
 from tests.llm import data
@@ -135,83 +136,31 @@ def test_components(spark):
     assert found == {n: int(root[n]) for p in pairs if p[0] != p[1] for n in p}
 
 
-def test_groups_of_near_duplicates(spark):
+def test_one_of_each_group_of_fingerprints_stays(spark):
+    """Kept rows against all pairs of fingerprints, with ties, repeats, null ids and ids that are no numbers."""
     rng = np.random.default_rng(8)
-    base = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 200)) for _ in range(12)]
-    rows, group = [], []
-    for g, text in enumerate(base):
-        for c in range(4):
-            w = text.split(" ")
-            for at in rng.choice(200, c, replace=False):
+    rows = []
+    for _ in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        for c in range(5):
+            w = list(base)
+            for at in rng.choice(300, c, replace=False):
                 w[at] = f"changed{at}"
-            rows.append((len(rows), " ".join(w) if c < 3 else text.upper()))
-            group.append(g)
-    rows += [(100, None), (101, ""), (102, "short"), (103, "short"), (104, "other"), (104, "other"), (None, "short")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    kept = simhash_groups.drop_near_duplicates(docs)
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [*range(0, 48, 4), 100, 102, 104]
-
-
-def least_of_groups(texts):
-    """The first text of each group that pairs of similarity 0.8 or more connect, by all pairs."""
-    sets = []
-    for t in texts:
-        w = t.split(" ")
-        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
-    pairs = [(i, j) for j in range(len(sets)) for i in range(j) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
-    a, b = np.array(pairs).reshape(-1, 2).T
-    return sorted(set(simhash._roots(len(sets), a, b).tolist()))
-
-
-def kept_of(spark, texts):
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    return sorted(r.doc_id for r in simhash_groups.drop_near_duplicates(docs).collect())
-
-
-def test_near_copies_in_a_crowd_of_one_template(spark):
-    rng = np.random.default_rng(11)
-    template = [f"w{x}" for x in rng.integers(0, 5000, 300)]
-    texts = []
-    for d in range(200):
-        own = list(template)
-        for at in rng.choice(300, 12, replace=False):
-            own[at] = f"own{d}x{at}"
-        near = list(own)
-        for at in rng.choice(300, 6, replace=False):
-            near[at] = f"near{d}x{at}"
-        texts += [" ".join(own), " ".join(near)]
-    expected = least_of_groups(texts)
-    assert 200 <= len(expected) < 260
-    assert kept_of(spark, texts) == expected
-
-
-def test_near_copies_with_a_changed_passage_or_an_appendix(spark):
-    rng = np.random.default_rng(12)
-    texts = []
-    for d in range(120):
-        own = [f"w{x}" for x in rng.integers(0, 5000, 300)]
-        near = list(own)
-        if d % 2:
-            at = rng.integers(0, 274)
-            near[at : at + 26] = [f"new{x}" for x in rng.integers(0, 5000, 26)]
-        else:
-            near += [f"new{x}" for x in rng.integers(0, 5000, 60)]
-        texts += [" ".join(own), " ".join(near)]
-    assert least_of_groups(texts) == list(range(0, 240, 2))
-    assert kept_of(spark, texts) == list(range(0, 240, 2))
-
-
-def test_long_lists_are_compared_in_runs(spark):
-    n, run = simhash_groups.LONG * 2 + 1, simhash_groups.LONG
-    a, b = simhash_groups._named_pairs(np.ones((n, 3), np.uint64), np.arange(n))
-    assert (a // run == b // run).all() and len(set(a.tolist()) | set(b.tolist())) == n - 1 + (n - 1 in a)
-    # The prefix lists leave no pair out where they are cut.
-    odd, far = [10, 4200, 5900], shingle_lists.CUT * 8
-    root = F.when(F.col("id").isin(odd), 1).otherwise(0).cast("long")
-    rows = spark.range(9000).select(F.lit(7).cast("long").alias("list"), F.col("id").alias("node"), F.lit(50).cast("long").alias("size"), F.lit(0).alias("place"), root.alias("root"))
-    expected = {(min(i, o), max(i, o)) for o in odd for i in range(9000) if i not in odd and abs(i - o) >= 2}
-    assert {(r.a, r.b) for r in shingle_lists.pairs(rows, 2, far).collect()} == expected
+            rows.append((len(rows), " ".join(w)))
+    rows += [(100, None), (101, ""), (102, "short"), (103, "short"), (104, "other"), (104, "other"), (None, "short"), (None, "alone"), (None, "alone")]
+    values = simhash.fingerprints(*simhash.shingle_hashes(pa.array([t for _, t in rows])))
+    root = brute_components(values, simhash.DISTANCE)
+    groups = {}
+    for (i, _), r in zip(rows, root.tolist()):
+        groups.setdefault(r, []).append(i)
+    expected = sorted(min((i for i in g if i is not None), default=-1) for g in groups.values())
+    assert 12 < len(expected) < 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fingerprint", F.lit("x")).repartition(6)
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.schema == docs.schema
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept.collect()) == expected
+    named = docs.where("doc_id is not null").withColumn("doc_id", F.format_string("%05d", "doc_id"))
+    assert sorted(int(r.doc_id) for r in simhash.drop_near_duplicates(named).collect()) == [i for i in expected if i >= 0]
 
 
 def test_wu_manber(spark, docs):

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from xxhash import xxh64_intdigest
 
 import corpus_pipeline
 from regloom.llm import quality, simhash, substrings
@@ -39,13 +40,10 @@ def test_whole_table(spark, name):
     assert {r[0] for r in result.select(key).collect()} == ids
 
 
-def jaccard(a, b):
-    return len(a & b) / len(a | b) if a | b else 1.0
-
-
-def shingles(text):
+def simhash_of(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    h = [xxh64_intdigest(" ".join(w[i : i + 4]), 42) for i in range(max(1, len(w) - 3))] if w else []
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
 def test_pipeline_stage_by_stage(spark):
@@ -69,7 +67,7 @@ def test_pipeline_stage_by_stage(spark):
     assert sum((i in stay) == (labels[i] == 1) for i in known) >= 0.97 * len(known)
 
     before, after = kept["near_duplicates"]
-    sets = {i: shingles(r.text) for i, r in before.items()}
+    prints = {i: simhash_of(r.text) for i, r in before.items()}
     root = {i: i for i in before}
 
     def find(i):
@@ -80,7 +78,7 @@ def test_pipeline_stage_by_stage(spark):
     ids = sorted(before)
     for k, i in enumerate(ids):
         for j in ids[:k]:
-            if jaccard(sets[i], sets[j]) >= 0.8:
+            if (prints[i] ^ prints[j]).bit_count() <= 4:
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     assert {r.doc_id for r in after} == {i for i in ids if find(i) == i}
