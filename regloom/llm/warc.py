@@ -198,5 +198,7 @@ def assemble_captures(records: DataFrame) -> DataFrame:
     target = scratch_path(spark, "responses")
     captures.where("record_type = 'response'").groupBy("record_id").agg(F.min("capture_id").alias("capture_id"), F.min("payload_bytes").alias("payload_bytes")).write.parquet(target)
     responses = spark.read.parquet(target).select(F.col("record_id").alias("original_id"), F.struct("capture_id", "payload_bytes").alias("original"))
-    joined = captures.join(responses, captures["refers_to"] == responses["original_id"], "left")
+    # Who refers to nothing is dealt by its own identifier, not to one null key.
+    refers = F.coalesce(captures["refers_to"], captures["record_id"]) == responses["original_id"]
+    joined = captures.join(responses, refers & captures["refers_to"].isNotNull(), "left")
     return joined.select("capture_id", *stored.columns, "request", "metadata", "original")

@@ -6,7 +6,8 @@ import time
 
 from pyspark.sql import functions as F
 
-from regloom.llm import chat, substrings, text, urlfilter
+from regloom.llm import chat, substrings, text, urlfilter, warc
+from regloom.session import scratch_path
 
 
 def formatted(spark, turns):
@@ -99,3 +100,22 @@ def test_more_labels_than_any_rule(spark):
     keys = urlfilter.candidate_keys(F.col("h"), F.lit("/"), [0], 2)
     found = spark.createDataFrame([("a.b.c.d",), ("d",), ("",)], "h string").select(keys.alias("k")).collect()
     assert [r.k for r in found] == [["c.d", "d"], ["d"], [""]]
+
+
+def test_captures_that_refer_to_nothing_are_dealt_evenly(spark):
+    rows = [(i, f"http://h{i}.org/p", "same" if i % 3 == 0 else f"page {i}") for i in range(600)]
+    path = scratch_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        captures = warc.assemble_captures(warc.read_records(spark, path)).withColumn("task", F.spark_partition_id())
+        found = captures.select("capture_id", "record_type", "original.capture_id", "task").toDF("id", "kind", "of", "task").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.id, r.kind, r.of) for r in found) == [(i, "revisit", 0) if i % 3 == 0 and i else (i, "response", None) for i in range(600)]
+    tasks = [r.task for r in found if r.kind == "response"]
+    assert max(map(tasks.count, set(tasks))) < 0.3 * len(tasks)
