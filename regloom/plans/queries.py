@@ -13,7 +13,7 @@ from regloom.operators import cells, collation, conform, filters, lookups, repor
 from regloom.operators.upsert import Constant, Upsert, apply_changes, collapse, upsert
 from regloom.plans import cleaning, inputs, jobs, loading, targets
 from regloom.plans.inputs import AS_OF, BEFORE, ETAB_FILE, ETAB_FILE_BEFORE, LEGAL_FILE, LEGAL_FILE_BEFORE
-from regloom.session import scratch_path
+from regloom.session import WIDE_ROWS, scratch_path, with_settings
 from regloom.sources import csv, tables
 from regloom.sources.buckets import BucketStore
 from regloom.sources.layouts import ESTABLISHMENTS, LEGAL_UNITS
@@ -498,7 +498,8 @@ def monthly_establishment_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def _arrivals(spark: SparkSession, folder: str) -> str:
     path = scratch_path(spark, "arrivals")
-    tables.write_fragments(inputs.etab_clean(spark, folder), path, rows=FRAGMENT_ROWS)
+    with with_settings(spark, WIDE_ROWS):
+        tables.write_fragments(inputs.etab_clean(spark, folder), path, rows=FRAGMENT_ROWS)
     return path
 
 
@@ -562,7 +563,8 @@ BATCHES = 11
 def compacted_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Establishments from many small batches, compacted into runs as they come, then merged."""
     path = scratch_path(spark, "arrivals")
-    inputs.etab_clean(spark, folder).repartition(BATCHES, "seq").write.parquet(path)
+    with with_settings(spark, WIDE_ROWS):
+        inputs.etab_clean(spark, folder).repartition(BATCHES, "seq").write.parquet(path)
     spec, intake = targets.geo_location(TODAY), loader.Intake(scratch_path(spark, "intake"))
     stream = loader.fragment_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
     store = BucketStore(spark, scratch_path(spark, "store"), "arrivals")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +23,37 @@ SETTINGS = {
 }
 
 
+#: The JVM interprets a method of more bytes of code, however often it runs. Beyond the limit
+#: Spark makes a method for a few columns each instead of one for a whole stage.
+WIDE_ROWS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+@contextmanager
+def with_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """The session with other settings for what runs or starts within the block."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def session_with(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """Another session with all settings of this one, and with some changed."""
+    session = spark.newSession()
+    known = session.conf.getAll
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if known.get(key) != value:
+            session.conf.set(key, value)
+    return session
+
+
 def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
     """A session for tests and benchmarks; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("regloom")

@@ -17,12 +17,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from regloom.operators.conform import quoted
 from regloom.operators.upsert import Upsert, apply_changes, collapse, combine, merge, single_changes, split_by_key
+from regloom.session import session_with
 from regloom.sources.ledger import Folder
 from regloom.streaming.compaction import Runs
 
 BATCH = "batch_id"
 
+#: A task reads as many small fragments as it can, so that a small batch takes one task.
+FEW_TASKS = {
+    "spark.sql.files.minPartitionNum": "1",
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.files.openCostInBytes": "1m",
+}
+
 
 @dataclass(frozen=True)
 class Intake:
@@ -42,12 +51,16 @@ class Intake:
         return f"{self.path}/checkpoint"
 
 
+def _unchanged(batch: DataFrame) -> DataFrame:
+    return batch
+
+
 @dataclass(frozen=True)
 class Feed:
     """A target, and how a batch of fragments becomes source rows of its upsert."""
 
     spec: Upsert
-    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch
+    prepare: Callable[[DataFrame], DataFrame] = _unchanged
 
 
 def fragment_stream(
@@ -65,7 +78,7 @@ def fragment_stream(
     ``when_done="delete"`` removes fragments some batches after they were taken in;
     what counts as new is decided by the checkpoint alone.
     """
-    reader = spark.readStream.format(file_format).schema(schema)
+    reader = session_with(spark, FEW_TASKS).readStream.format(file_format).schema(schema)
     reader = reader.option("maxFilesPerTrigger", files_per_batch).option("cleanSource", when_done)
     if file_format == "csv":
         reader = reader.options(header="true", escape='"', enforceSchema="false")
@@ -87,17 +100,19 @@ def take_in(
     def store(batch: DataFrame, batch_id: int) -> None:
         part = f"{BATCH}={batch_id}"
         started = time.monotonic()
+        # Of small batches there may be very many: what one task reads is not shuffled.
+        single = batch.rdd.getNumPartitions() == 1
         if len(feeds) > 1:
             # Several targets read the batch; its fragments are parsed once.
             batch = batch.persist()
         for feed in feeds:
             table = feed.spec.table
-            _changes(feed, batch, sequence).write.mode("overwrite").parquet(f"{intake.changes(table)}/{part}")
+            _changes(feed, batch, sequence, single).write.mode("overwrite").parquet(f"{intake.changes(table)}/{part}")
             if held is not None:
                 runs = Runs(batch.sparkSession, intake.path, table)
                 runs.add(batch_id, f"changes/{table}/{part}", feed.spec, held)
         flow = "+".join(feed.spec.table for feed in feeds)
-        entry = batch.sparkSession.range(1).select(
+        entry = batch.sparkSession.range(0, 1, 1, 1).select(
             F.lit(flow).alias("flow"),
             F.lit(round(time.monotonic() - started, 2)).alias("seconds"),
         )
@@ -106,15 +121,28 @@ def take_in(
             batch.unpersist()
 
     return (
-        stream.writeStream.foreachBatch(store)
+        _narrowed(stream, feeds, sequence)
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", intake.checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def _changes(feed: Feed, batch: DataFrame, sequence: str) -> DataFrame:
+def _narrowed(stream: DataFrame, feeds: Sequence[Feed], sequence: str) -> DataFrame:
+    """The columns of a stream that its feeds read: a batch is a scan already, and reads all it is given."""
+    specs = [feed.spec for feed in feeds]
+    sources = (source for spec in specs for part in (spec.insert, spec.update) for source in part.values())
+    read = {sequence, *(source for source in sources if isinstance(source, str))}
+    if any(feed.prepare is not _unchanged for feed in feeds) or not read <= set(stream.columns):
+        return stream
+    return stream.select(*[quoted(c) for c in stream.columns if c in read])
+
+
+def _changes(feed: Feed, batch: DataFrame, sequence: str, single: bool = False) -> DataFrame:
     source, spec = feed.prepare(batch), feed.spec
+    if single:
+        source = source.coalesce(1)
     keyed, loose = split_by_key(source, [spec.insert[k] for k in spec.keys], spec.complete)
     changes = collapse(keyed, spec, sequence)
     if loose is None:

@@ -3,6 +3,7 @@
 import os
 import time
 
+from regloom import session
 from regloom.operators.report import duration_stats
 from regloom.operators.upsert import Constant, Upsert, upsert
 from regloom.plans import inputs, loading
@@ -116,3 +117,39 @@ def test_fragments_taken_in_are_deleted_on_request(spark, tmp_path):
             break
         time.sleep(0.1)
     assert len(left) == 1
+
+
+def test_a_small_batch_is_one_stage_of_one_task(spark, tmp_path):
+    """The columns a target reads, without a shuffle, however many fragments a batch has."""
+    arrivals, intake = str(tmp_path / "in"), loader.Intake(str(tmp_path / "intake"))
+    wide = source(spark, 0, 300).selectExpr("*", "repeat(value, 9) as unread")
+    wide.repartition(6, "seq").write.parquet(arrivals)
+    seen = []
+
+    def watched(batch):
+        seen.append((batch.columns, batch.rdd.getNumPartitions()))
+        return batch
+
+    stream = loader.fragment_stream(spark, arrivals, spark.read.parquet(arrivals).schema, files_per_batch=3)
+    narrow = loader._narrowed(stream, [loader.Feed(SPEC)], "seq")
+    assert narrow.columns == ["key", "value", "seq"]
+    loader.take_in(narrow, [loader.Feed(SPEC, watched)], intake, "seq").awaitTermination()
+    assert seen == [(narrow.columns, 1)] * 2
+    batch = source(spark, 0, 300).coalesce(1)
+    changes = loader._changes(loader.Feed(SPEC), batch, "seq", single=True)
+    assert "Exchange" not in changes._jdf.queryExecution().executedPlan().toString()
+    assert rows(changes) == rows(loader._changes(loader.Feed(SPEC), source(spark, 0, 300).repartition(5), "seq"))
+    assert rows(loader.merged(spark, None, SPEC, intake)) == rows(upsert(None, source(spark, 0, 300), SPEC, "seq"))
+    # What a feed prepares may need any column, and so may one whose sources the stream does not name.
+    assert loader._narrowed(stream, [loader.Feed(SPEC, watched)], "seq").columns == stream.columns
+
+
+def test_the_session_keeps_its_settings(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    with session.with_settings(spark, session.WIDE_ROWS):
+        assert spark.conf.get(key) == "8000"
+        other = session.session_with(spark, loader.FEW_TASKS)
+    assert spark.conf.get(key) == before and spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    assert other.conf.get(key) == "8000" and other.conf.get("spark.sql.files.minPartitionNum") == "1"
+    assert other.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
