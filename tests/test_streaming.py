@@ -3,10 +3,12 @@
 import os
 import time
 
+from pyspark.sql import DataFrameWriter
+
 from regloom import session
 from regloom.operators.report import duration_stats
 from regloom.operators.upsert import Constant, Upsert, upsert
-from regloom.plans import inputs, loading
+from regloom.plans import inputs, jobs, loading, queries
 from regloom.sources import tables
 from regloom.streaming import loader
 
@@ -153,3 +155,15 @@ def test_the_session_keeps_its_settings(spark):
     assert spark.conf.get(key) == before and spark.conf.get("spark.sql.files.minPartitionNum", None) is None
     assert other.conf.get(key) == "8000" and other.conf.get("spark.sql.files.minPartitionNum") == "1"
     assert other.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+
+
+def test_wide_arrivals_are_written_by_compiled_code(spark, monkeypatch):
+    """Beyond the JVM's limit one method for a whole stage would be interpreted."""
+    key, (expected,) = "spark.sql.codegen.hugeMethodLimit", session.WIDE_ROWS.values()
+    before, seen = spark.conf.get(key), []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *_: seen.append(spark.conf.get(key)))
+    monkeypatch.setattr(jobs, "merge_fragments", lambda *_: seen.append(spark.conf.get(key)))
+    monkeypatch.setattr(jobs, "merged_table", lambda *_: None)
+    monkeypatch.setattr(loader, "fragment_stream", lambda *_, **__: None)
+    queries.late_fragments(spark, "/root/testdata/sf0.001")
+    assert seen == [expected, before] * 3
