@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from regloom.operators import cells
@@ -22,7 +22,7 @@ from regloom.sources.csv import scan_csv
 from regloom.sources.layouts import LEGAL_UNITS
 from regloom.sources.tables import Manifest, attach, switch, write_version
 from regloom.streaming.compaction import Runs
-from regloom.streaming.loader import Feed, Intake, any_batch, last_batch, merged, take_in
+from regloom.streaming.loader import Feed, Intake, any_batch, last_batch, merged, take_in, take_in_lanes
 
 # Column with the name of the file a row is from.
 FILE = "source_file"
@@ -76,7 +76,7 @@ class Run:
         flow: str,
         contents: dict[str, DataFrame],
         specs: Sequence[Upsert],
-        batch: int | None = None,
+        batch: int | Sequence[int] | None = None,
     ) -> None:
         """Write all tables, then switch all of them with one entry of the manifest."""
         manifest = self.manifest
@@ -142,22 +142,37 @@ def load_legal_unit_files(
 
 
 def load_fragments(
-    run: Run, flow: str, stream: DataFrame, feeds: Sequence[Feed], intake: Intake, sequence: str = SEQUENCE
+    run: Run,
+    flow: str,
+    stream: DataFrame | Sequence[DataFrame],
+    feeds: Sequence[Feed],
+    intake: Intake,
+    sequence: str = SEQUENCE,
 ) -> int:
     """Take in the fragments that have arrived and publish their targets; returns the last batch.
 
     The manifest records the last batch that a version holds, so a repeat merges
-    nothing twice, and changes held by the version before are not read again.
+    nothing twice, and changes held by the version before are not read again. Several
+    streams are lanes that run side by side; the manifest records a last batch for each.
     """
-    specs = [feed.spec for feed in feeds]
+    streams = [stream] if isinstance(stream, DataFrame) else list(stream)
+    specs, lanes = [feed.spec for feed in feeds], intake.lanes(len(streams))
     current = run.current(flow, specs)
     entries = run.manifest.current(flow)
-    after = {s.table: -1 if s.table not in entries or entries[s.table].batch is None else entries[s.table].batch for s in specs}
-    take_in(stream, feeds, intake, sequence).awaitTermination()
-    last = last_batch(run.spark, intake)
-    contents = {s.table: merged(run.spark, current[s.table], s, intake, after[s.table]) for s in specs}
-    run.publish(flow, contents, specs, last)
-    return last
+    after = {s.table: _held(entries.get(s.table), len(lanes)) for s in specs}
+    take_in_lanes(streams, feeds, intake, sequence)
+    last = [last_batch(run.spark, lane) for lane in lanes]
+    contents = {s.table: merged(run.spark, current[s.table], s, lanes, after[s.table]) for s in specs}
+    run.publish(flow, contents, specs, last[0] if len(last) == 1 else last)
+    return max(last)
+
+
+def _held(entry: Row | None, lanes: int) -> list[int]:
+    """The last batch of each lane that a version holds."""
+    held = None if entry is None else entry.batches or (None if entry.batch is None else [entry.batch])
+    if held is not None and len(held) != lanes:
+        raise ValueError(f"{entry.table} holds batches of {len(held)} streams, not of {lanes}")
+    return [-1] * lanes if held is None else held
 
 
 def merge_fragments(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regloom.functions import naming, register
 from regloom.functions.codes import COMPANY_TYPES
@@ -112,6 +113,9 @@ LEGAL_RAW_STRINGS = [
 # Rows in a fragment and fragments in a batch, so that small inputs have several of both.
 FRAGMENT_ROWS, FILES_PER_BATCH = 2_000, 8
 
+# Streams that take in fragments side by side, each in batches of its own.
+LANES = 5
+
 
 def fragment_split(spark: SparkSession, folder: str) -> DataFrame:
     """Rows after the split into full fragments, fragments, and those beyond the limit (none)."""
@@ -503,14 +507,22 @@ def _arrivals(spark: SparkSession, folder: str) -> str:
     return path
 
 
+def _lanes(spark: SparkSession, path: str, schema: T.StructType, when_done: str = "off") -> list[DataFrame]:
+    return [
+        loader.fragment_stream(
+            spark, path, schema, name_glob=glob, files_per_batch=FILES_PER_BATCH, when_done=when_done
+        )
+        for glob in loader.lane_globs(LANES)
+    ]
+
+
 def stream_fragment_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Establishments arriving as fragments, taken in by micro-batches and merged."""
     path = _arrivals(spark, folder)
     schema = spark.read.parquet(path).schema
     spec, intake = targets.geo_location(TODAY), loader.Intake(scratch_path(spark, "intake"))
-    stream = loader.fragment_stream(spark, path, schema, files_per_batch=FILES_PER_BATCH)
-    loader.take_in(stream, [loader.Feed(spec)], intake, "seq").awaitTermination()
-    return loader.merged(spark, None, spec, intake)
+    loader.take_in_lanes(_lanes(spark, path, schema), [loader.Feed(spec)], intake, "seq")
+    return loader.merged(spark, None, spec, intake.lanes(LANES), [-1] * LANES)
 
 
 def stream_published(spark: SparkSession, folder: str) -> DataFrame:
@@ -523,11 +535,9 @@ def stream_published(spark: SparkSession, folder: str) -> DataFrame:
     store, intake = scratch_path(spark, "store"), loader.Intake(scratch_path(spark, "intake"))
     spec, flow = targets.geo_location(TODAY), "arrivals"
     for version in (1, 2):
-        stream = loader.fragment_stream(
-            spark, path, schema, files_per_batch=FILES_PER_BATCH, when_done="delete"
-        )
+        streams = _lanes(spark, path, schema, when_done="delete")
         run = jobs.Run(spark, store, version, AS_OF)
-        jobs.load_fragments(run, flow, stream, [loader.Feed(spec)], intake)
+        jobs.load_fragments(run, flow, streams, [loader.Feed(spec)], intake)
     return jobs.Run(spark, store, 3, AS_OF).current(flow, [spec])[spec.table]
 
 

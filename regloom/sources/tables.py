@@ -145,7 +145,7 @@ class Manifest:
     together. Until it is there, the version may be written again.
     """
 
-    SCHEMA = "table string, buckets int, keys array<string>, batch bigint, flow string, version int"
+    SCHEMA = "table string, buckets int, keys array<string>, batch bigint, batches array<bigint>, flow string, version int"
 
     def __init__(self, spark: SparkSession, store: str):
         self.spark, self.store = spark, store.rstrip("/")
@@ -180,9 +180,10 @@ class Manifest:
         return not found.filter(~F.col("path").contains(f"/version={version}/")).isEmpty()
 
     def record(self, flow: str, version: int, entries: Sequence[tuple]) -> None:
-        """Entries are (table, buckets, keys, last batch or None)."""
+        """Entries are (table, buckets, keys, last batch, or that of each lane, or None)."""
+        placed = [(*e[:3], None, list(e[3])) if isinstance(e[3], Sequence) else (*e, None) for e in entries]
         rows = self.spark.createDataFrame(
-            list(entries), "table string, buckets int, keys array<string>, batch bigint"
+            placed, "table string, buckets int, keys array<string>, batch bigint, batches array<bigint>"
         )
         path = f"{self.store}/manifest/flow={flow}/version={version}"
         rows.coalesce(1).write.mode("overwrite").json(path)

@@ -2,7 +2,9 @@
 
 import os
 import time
+from dataclasses import replace
 
+import pytest
 from pyspark.sql import DataFrameWriter
 
 from regloom import session
@@ -146,6 +148,60 @@ def test_a_small_batch_is_one_stage_of_one_task(spark, tmp_path):
     assert loader._narrowed(stream, [loader.Feed(SPEC, watched)], "seq").columns == stream.columns
 
 
+def test_a_batch_is_one_job(spark, tmp_path):
+    """Its changes; what is logged of it is written without another."""
+    arrivals, intake = str(tmp_path / "in"), loader.Intake(str(tmp_path / "intake"))
+    source(spark, 0, 300).coalesce(1).write.option("maxRecordsPerFile", 100).parquet(arrivals)
+    query = run(spark, arrivals, intake, spark.read.parquet(arrivals).schema)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))) == 3
+    assert loader.last_batch(spark, intake) == 2
+    assert [r.flow for r in loader.batch_log(spark, intake).collect()] == ["t"] * 3
+
+
+def test_every_name_is_dealt_to_one_lane(spark):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    written = [f"part-00007-5bb1-c{n:03}.snappy.parquet" for n in range(30)]
+    odd = ["a", "x.csv", "fifteen-letters", "sixteen-letters_", "no ending but long enough", "Z.snappy.parquet"]
+    odd += ["é-[,]{}^!.snappy.parquet", "part-0-c000.zstd.parquet", "Stock_12.csv", "ABC^.snappy.parquet", "a,b"]
+    for count in (1, 2, 3, 5, 10):
+        filters = [hadoop.GlobFilter(glob) for glob in loader.lane_globs(count)]
+        dealt = {n: [f.accept(hadoop.Path(f"/in/{n}")) for f in filters] for n in written + odd}
+        assert {n: sum(fits) for n, fits in dealt.items()} == dict.fromkeys(written + odd, 1)
+        shares = [sum(dealt[n][lane] for n in written) for lane in range(count)]
+        assert max(shares) == 3 * -(-10 // count)
+    with pytest.raises(ValueError, match="11 streams"):
+        loader.lane_globs(11)
+
+
+def test_lanes_publish_what_one_stream_does(spark, tmp_path):
+    arrivals, store = str(tmp_path / "in"), str(tmp_path / "store")
+    spec, intake = replace(SPEC, table="dealt_to_lanes"), loader.Intake(str(tmp_path / "intake"))
+
+    def load(version, count=3):
+        schema = spark.read.parquet(arrivals).schema
+        streams = [
+            loader.fragment_stream(spark, arrivals, schema, name_glob=glob, files_per_batch=1)
+            for glob in loader.lane_globs(count)
+        ]
+        last = jobs.load_fragments(jobs.Run(spark, store, version), "lanes", streams, [loader.Feed(spec)], intake)
+        return last, rows(jobs.Run(spark, store, version + 1).current("lanes", [spec])[spec.table])
+
+    # A lane has one fragment, another two, the third none.
+    for low, high, each in ((0, 100, 100), (100, 150, 25)):
+        source(spark, low, high).coalesce(1).write.mode("append").option("maxRecordsPerFile", each).parquet(arrivals)
+    assert load(1) == (1, rows(upsert(None, source(spark, 0, 150), spec, "seq")))
+    assert load(2) == (1, rows(upsert(None, source(spark, 0, 150), spec, "seq")))
+    # The second lane's next batch has a lower number than what the first one has already published.
+    source(spark, 150, 350).coalesce(1).write.mode("append").option("maxRecordsPerFile", 50).parquet(arrivals)
+    assert load(3) == (3, rows(upsert(None, source(spark, 0, 350), spec, "seq")))
+    entry = jobs.Run(spark, store, 4).manifest.current("lanes")[spec.table]
+    assert (entry.batch, entry.batches) == (None, [3, 1, 0])
+    # What one stream has taken in would be new to others.
+    for count in (1, 2):
+        with pytest.raises(ValueError, match="streams"):
+            load(4, count)
+
+
 def test_the_session_keeps_its_settings(spark):
     key = "spark.sql.codegen.hugeMethodLimit"
     before = spark.conf.get(key)
